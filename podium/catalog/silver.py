@@ -106,34 +106,29 @@ def distinct_line_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     """
-SELECT c_custkey, CASE c_nationkey % 7 WHEN 3 THEN 100.0 ELSE c_acctbal END AS c_acctbal,
-       c_mktsegment
-FROM customer
-WHERE c_nationkey % 7 IN (0, 3, 4, 5, 6) AND c_mktsegment <> 'BUILDING'
+SELECT o_orderkey, CASE o_orderpriority WHEN '5-LOW' THEN 100.0 ELSE o_totalprice END AS o_totalprice
+FROM orders
+WHERE o_orderpriority NOT IN ('1-URGENT', '2-HIGH') AND o_orderstatus <> 'P'
+  AND (o_orderpriority <> '3-MEDIUM' OR o_orderstatus = 'O')
 """
 )
 def numeric_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Balances as text, many of them no number; rows without a usable number or segment drop."""
-    balance = F.col("c_acctbal").cast("string")
-    kind = F.col("c_nationkey") % 7
+    """Prices as text, many of them no number; rows without a usable price or status drop."""
+    price, priority, status = (
+        F.col("o_totalprice").cast("string"), F.col("o_orderpriority"), F.col("o_orderstatus")
+    )
+    junk = F.when(status == "F", "None").when(status == "P", "1,85")
     text = (
-        F.when(kind == 0, F.concat(F.lit(" "), balance, F.lit(" ")))
-        .when(kind == 1, F.element_at(F.array(F.lit("nan"), F.lit("NaN")), 1 + F.col("c_nationkey") % 2))
-        .when(
-            kind == 2,
-            F.element_at(
-                F.array(F.lit("None"), F.lit(""), F.lit("1,85"), F.lit(None).cast("string")),
-                (1 + F.col("c_custkey") % 4).cast("int"),
-            ),
-        )
-        .when(kind == 3, "1e2")
-        .otherwise(balance)
+        F.when(priority == "1-URGENT", "nan")
+        .when(priority == "2-HIGH", F.when(status == "F", "NaN").when(status == "P", ""))
+        .when(priority == "3-MEDIUM", junk.otherwise(F.concat(F.lit(" "), price, F.lit(" "))))
+        .when(priority == "5-LOW", "1e2")
+        .otherwise(price)
     )
-    segment = F.nullif("c_mktsegment", F.lit("BUILDING"))
-    rows = table(spark, sf_dir, "customer").select(
-        "c_custkey", try_number(text).alias("c_acctbal"), segment.alias("c_mktsegment")
+    rows = table(spark, sf_dir, "orders").select(
+        "o_orderkey", try_number(text).alias("o_totalprice"), F.nullif(status, F.lit("P")).alias("status")
     )
-    return valid_features(rows, ["c_acctbal"], required=["c_mktsegment"])
+    return valid_features(rows, ["o_totalprice"], required=["status"]).drop("status")
 
 
 @query(

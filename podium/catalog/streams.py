@@ -10,13 +10,12 @@ from pyspark.sql import functions as F
 
 from podium.catalog.messages import EVENT_MESSAGE, events
 from podium.catalog.registry import query, table
-from podium.config import FeatureConfig, SizingConfig, StreamConfig, TopicConfig
+from podium.config import FeatureConfig, RollingConfig, SizingConfig, StreamConfig, TopicConfig
 from podium.operators import latest_per_key, rolling_averages
 from podium.session import work_folder
 from podium.sinks import read_history, write_topic
 from podium.sources import read_topic
 from podium.streaming import read_features, run_feature_stream, run_rolling_stream
-from podium.streaming.rolling import rolling_stream
 
 EVENT_FEATURES = FeatureConfig(
     key="user_id",
@@ -59,13 +58,14 @@ def event_stream(root: str, **changes) -> StreamConfig:
 
 def publish_weekly(spark: SparkSession, sf_dir: str, topic: TopicConfig) -> Iterator[str]:
     """Publish one calendar week of events per step, oldest first."""
-    week = F.date_trunc("week", "ts")
-    rows = events(spark, sf_dir)
-    weeks = [r["week"] for r in rows.select(week.alias("week")).distinct().orderBy("week").collect()]
-    for start in weeks:
-        load_id = f"{start:%Y%m%d}"
-        write_topic(rows.where(week == F.lit(start)), topic, ["user_id"], load_id=load_id)
-        yield load_id
+    rows = table(spark, sf_dir, "events")
+    week = F.date_format(F.date_trunc("week", "ts"), "yyyy-MM-dd").alias("week")
+    for start in sorted(row["week"] for row in rows.select(week).distinct().collect()):
+        monday = F.lit(start).cast("timestamp_ntz")
+        inside = (F.col("ts") >= monday) & (F.col("ts") < monday + F.expr("INTERVAL 7 DAYS"))
+        loaded = rows.where(inside).withColumn("ts", F.col("ts").cast("timestamp"))
+        write_topic(loaded, topic, ["user_id"], load_id=start)
+        yield start
 
 
 def rounded(averages: DataFrame, *more) -> DataFrame:
@@ -100,7 +100,11 @@ def stream_enrich_update(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(_LATEST)
 def stream_large_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same features when the dimension may not be broadcast."""
-    stream = event_stream(work_folder(spark, "large"), sizing=SizingConfig(broadcast_bytes=-1))
+    stream = event_stream(
+        work_folder(spark, "large"),
+        sizing=SizingConfig(broadcast_bytes=-1),
+        state_partitions=None,  # the join shuffles too
+    )
     write_topic(events(spark, sf_dir), stream.topic, ["user_id"], load_id="all")
     dim = customers(spark, sf_dir)
     run_feature_stream(spark, stream, dim, EVENT_MESSAGE)
@@ -142,59 +146,60 @@ def stream_complete(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _WINDOWS = """
+WITH e AS (
+  SELECT ts, event_type, c_mktsegment, value, c_acctbal
+  FROM events JOIN customer ON user_id = c_custkey WHERE event_type <> 'error'),
+w AS (SELECT *, unnest({starts}) AS s FROM e)
 SELECT strftime(s, '%Y-%m-%d %H:%M:%S') AS window_start,
        strftime(s + INTERVAL 1 DAY, '%Y-%m-%d %H:%M:%S') AS window_end,
-       event_type, round(avg(value), 6) AS avg_value, count(*) AS n_rows
-FROM (SELECT event_type, value, unnest({starts}) AS s FROM events)
-{closed} GROUP BY ALL
+       event_type, c_mktsegment, round(avg(value), 6) AS avg_value,
+       round(avg(c_acctbal), 6) AS avg_c_acctbal
+FROM w WHERE s + INTERVAL 1 DAY <= (SELECT max(ts) FROM e) - INTERVAL 1 HOUR GROUP BY ALL
 """
 _TUMBLING = "[time_bucket(INTERVAL 1 DAY, ts)]"
 _SLIDING = "[time_bucket(INTERVAL 12 HOUR, ts), time_bucket(INTERVAL 12 HOUR, ts) - INTERVAL 12 HOUR]"
-_CLOSED = "WHERE s + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR"
 
 
-def _window_rows(windows: DataFrame) -> DataFrame:
-    shown = "yyyy-MM-dd HH:mm:ss"
-    return windows.select(
-        F.date_format("window_start", shown).alias("window_start"),
-        F.date_format("window_end", shown).alias("window_end"),
-        "event_type",
-        F.round("avg_value", 6).alias("avg_value"),
-        "n_rows",
-    )
+def _shown(windows: DataFrame, measures: tuple[str, ...]) -> DataFrame:
+    shown = {c: F.date_format(c, "yyyy-MM-dd HH:mm:ss") for c in ("window_start", "window_end")}
+    return windows.withColumns(shown | {f"avg_{m}": F.round(f"avg_{m}", 6) for m in measures})
 
 
-def _rolling(spark: SparkSession, root: str, slide: str | None) -> DataFrame:
+def _rolling(spark: SparkSession, root: str, dim: DataFrame, rolling: RollingConfig) -> DataFrame:
     """Process what is waiting; the windows closed so far."""
-    windows = rolling_stream(
-        spark, TopicConfig(f"{root}/topic"), EVENT_MESSAGE, "ts", "1 day",
-        ["event_type"], ["value"], delay="1 hour", slide=slide,
-    )
-    history = f"{root}/history"
-    run_rolling_stream(
-        spark, windows, f"{root}/checkpoint", history, state_partitions=STATE_PARTITIONS
-    )
-    return _window_rows(read_history(spark, history, windows.schema))
+    stream = event_stream(root)
+    schema = run_rolling_stream(spark, stream, rolling, dim, EVENT_MESSAGE)
+    history = read_history(spark, stream.history, schema).drop("batch_id")
+    return _shown(history, EVENT_FEATURES.measures)
 
 
-@query(_WINDOWS.format(starts=_TUMBLING, closed=_CLOSED))
+@query(_WINDOWS.format(starts=_TUMBLING))
 def stream_rolling(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily windows over weekly loads, each load a run on one checkpoint."""
     root = work_folder(spark, "rolling")
+    dim = customers(spark, sf_dir)
     for _ in publish_weekly(spark, sf_dir, TopicConfig(f"{root}/topic")):
-        found = _rolling(spark, root, None)
+        found = _rolling(spark, root, dim, RollingConfig("ts"))
     return found
 
 
-@query(_WINDOWS.format(starts=_SLIDING, closed=_CLOSED))
+@query(_WINDOWS.format(starts=_SLIDING))
 def stream_sliding(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = work_folder(spark, "sliding")
     write_topic(events(spark, sf_dir), TopicConfig(f"{root}/topic"), ["user_id"], load_id="all")
-    return _rolling(spark, root, "12 hours")
+    return _rolling(spark, root, customers(spark, sf_dir), RollingConfig("ts", slide="12 hours"))
 
 
-@query(_WINDOWS.format(starts=_SLIDING, closed=""))
+@query(
+    f"""
+SELECT strftime(s, '%Y-%m-%d %H:%M:%S') AS window_start,
+       strftime(s + INTERVAL 1 DAY, '%Y-%m-%d %H:%M:%S') AS window_end,
+       event_type, round(avg(value), 6) AS avg_value, count(*) AS n_rows
+FROM (SELECT event_type, value, unnest({_SLIDING}) AS s FROM events) GROUP BY ALL
+"""
+)
 def batch_sliding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The rolling operator over a batch: every window is closed."""
+    """The same windows over a batch: every window is closed."""
     rows = events(spark, sf_dir)
-    return _window_rows(rolling_averages(rows, "ts", "1 day", ["event_type"], ["value"], "12 hours"))
+    windows = rolling_averages(rows, "ts", "1 day", ["event_type"], ["value"], "12 hours")
+    return _shown(windows, ("value",))

@@ -93,7 +93,6 @@ class SizingConfig:
 
     broadcast_bytes: int = 64 * 1024 * 1024
     broadcast_rows_per_key: int = 4
-    salts: int = 16
     hot_share: float = 0.001
 
 
@@ -139,6 +138,26 @@ class PublishConfig:
     load_id: str | None = None
 
 
+@dataclass(frozen=True)
+class RollingConfig:
+    """Event-time windows over the rows of a feature stream."""
+
+    event_time: str = "timestamp"
+    size: str = "1 day"
+    slide: str | None = None
+    delay: str = "1 hour"
+
+
+@dataclass(frozen=True)
+class StreamJobConfig:
+    """A feature stream and where its dimension lives: a database table or a Parquet path."""
+
+    stream: StreamConfig
+    dim_table: JdbcConfig | None = None
+    dim_path: str | None = None
+    rolling: RollingConfig | None = None  # windows instead of averages since the start
+
+
 def from_dict(kind: type, values: dict[str, Any]):
     """Build a (nested) settings object; unknown names are errors."""
     hints = get_type_hints(kind)

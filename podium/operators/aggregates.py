@@ -48,7 +48,7 @@ def collapse(df: DataFrame, keys: Sequence[str], measures: Sequence[str]) -> Dat
 
 def weighted_averages(
     df: DataFrame,
-    keys: Sequence[str],
+    keys: Sequence[str | Column],
     weights: dict[str, tuple[Column, Column, Column]],
     time_column: str | None = None,
 ) -> DataFrame:
@@ -94,6 +94,8 @@ def joined_averages(
     right = right.withColumnRenamed(_ROWS, "__right")
     weights = {m: (F.col(_sum(m)), F.col(_count(m)), F.col("__right")) for m in f.fact_measures}
     weights |= {m: (F.col(_sum(m)), F.col(_count(m)), F.col("__left")) for m in f.dim_measures}
+    if not fits_broadcast(profile, sizing):
+        right = right.hint("merge")
     # Bounded per key by its groups, so this join needs no salting.
     return stamp(weighted_averages(left.join(right, f.key), f.keys, weights), f.time_column)
 
@@ -104,15 +106,27 @@ def collapse_dimension(dim: DataFrame, features: FeatureConfig) -> DataFrame:
 
 
 def collapsed_averages(
-    joined: DataFrame, features: FeatureConfig, time_column: str | None = None
+    joined: DataFrame,
+    features: FeatureConfig,
+    time_column: str | None = None,
+    window: Column | None = None,
 ) -> DataFrame:
-    """Averages of rows enriched with a collapsed dimension, batch or stream."""
+    """Averages of rows enriched with a collapsed dimension, batch or stream, per window if given."""
     one = F.lit(1)
     weights = {
         m: (F.col(m), F.col(m).isNotNull().cast("int"), F.col(_ROWS)) for m in features.fact_measures
     }
     weights |= {m: (F.col(_sum(m)), F.col(_count(m)), one) for m in features.dim_measures}
-    return weighted_averages(joined, features.keys, weights, time_column)
+    keys = [*features.keys] if window is None else [window.alias("window"), *features.keys]
+    return weighted_averages(joined, keys, weights, time_column)
+
+
+def window_bounds(df: DataFrame) -> DataFrame:
+    """The window column as its two bounds."""
+    rest = [c for c in df.columns if c != "window"]
+    return df.select(
+        F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"), *rest
+    )
 
 
 def rolling_averages(
@@ -127,17 +141,9 @@ def rolling_averages(
     """Averages per event-time window. With ``delay`` a stream waits that long for late rows."""
     if delay:
         df = df.withWatermark(event_time, delay)
-    return (
-        df.groupBy(F.window(event_time, size, slide or size), *keys)
-        .agg(*_averages(measures), F.count(F.lit(1)).alias("n_rows"))
-        .select(
-            F.col("window.start").alias("window_start"),
-            F.col("window.end").alias("window_end"),
-            *keys,
-            *(f"avg_{m}" for m in measures),
-            "n_rows",
-        )
-    )
+    window = F.window(event_time, size, slide or size).alias("window")
+    averaged = df.groupBy(window, *keys).agg(*_averages(measures), F.count(F.lit(1)).alias("n_rows"))
+    return window_bounds(averaged)
 
 
 def latest_per_key(history: DataFrame, keys: Sequence[str], order: str = "batch_id") -> DataFrame:

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -12,14 +13,17 @@ from podium.config import SizingConfig
 from podium.operators.sizing import SideProfile, fits_broadcast, profile_side
 
 _SALT = "__salt"
-# Tracked candidates of the frequent-key sketch: any key above 1/1000 of the rows is found.
+# Tracked candidates of the frequent-key sketch; finds every key above 1/1000 of the rows.
 _TRACKED = 10_000
+# Rows without a key match nothing, so they spread as wide as we like.
+_MISSING_PARTS = 1024
 
 
-def hot_keys(facts: DataFrame, key: str, sizing: SizingConfig = SizingConfig()) -> list:
-    """Keys holding more than ``hot_share`` of the rows; at most ``1 / hot_share`` values.
+def hot_keys(facts: DataFrame, key: str, sizing: SizingConfig = SizingConfig()) -> dict[int, list]:
+    """Keys holding more than ``hot_share`` of the rows, by the number of parts to split them into.
 
-    One pass, one sketch row. The list only steers salting and never changes a result.
+    Parts are powers of two, enough that each holds at most ``hot_share`` of the rows. One pass and
+    one sketch row of at most ``1 / hot_share`` keys; the list only steers salting, never a result.
     """
     most = int(1 / sizing.hot_share)
     found = (
@@ -30,7 +34,12 @@ def hot_keys(facts: DataFrame, key: str, sizing: SizingConfig = SizingConfig())
         )
         .first()
     )
-    return [row["item"] for row in found["top"] or [] if row["count"] > sizing.hot_share * found["n"]]
+    hot: dict[int, list] = {}
+    for row in found["top"] or []:
+        parts = math.ceil(row["count"] / (sizing.hot_share * found["n"]))
+        if parts > 1:
+            hot.setdefault(1 << (parts - 1).bit_length(), []).append(row["item"])
+    return hot
 
 
 def align_keys(facts: DataFrame, dim: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
@@ -55,14 +64,15 @@ def keep_one_side(facts: DataFrame, dim: DataFrame, key: str, keep_from: str | N
     raise ValueError(f"columns on both sides, say keep_from='facts' or 'dim': {shared}")
 
 
-def _salted(facts: DataFrame, dim: DataFrame, key: str, hot: Sequence, salts: int):
+def _salted(facts: DataFrame, dim: DataFrame, key: str, hot: Mapping[int, Sequence]):
     """Spread hot and missing keys of the facts; repeat only the hot rows of the dimension."""
-    hot = list(hot)
-    is_hot = F.col(key).isin(hot) if hot else F.lit(False)
-    spread = F.floor(F.rand() * salts).cast("int")
-    facts = facts.withColumn(_SALT, F.when(F.col(key).isNull() | is_hot, spread).otherwise(F.lit(0)))
-    every = F.sequence(F.lit(0), F.lit(salts - 1))
-    dim = dim.withColumn(_SALT, F.explode(F.when(is_hot, every).otherwise(F.array(F.lit(0)))))
+    parts = F.when(F.col(key).isNull(), _MISSING_PARTS)
+    for count, keys in hot.items():
+        parts = parts.when(F.col(key).isin(list(keys)), count)
+    parts = parts.otherwise(1)
+    facts = facts.withColumn(_SALT, F.floor(F.rand() * parts).cast("int"))
+    dim = dim.where(F.col(key).isNotNull())
+    dim = dim.withColumn(_SALT, F.explode(F.sequence(F.lit(0), parts - 1)))
     return facts, dim
 
 
@@ -74,12 +84,13 @@ def enrich(
     keep_from: str | None = None,
     sizing: SizingConfig = SizingConfig(),
     profile: SideProfile | None = None,
-    hot: Sequence | None = None,
+    hot: Mapping[int, Sequence] | None = None,
 ) -> DataFrame:
     """Join facts (batch or stream) with a batch dimension; the key appears once.
 
     A dimension measured below the limit is broadcast and the facts never move. A larger one is
     shuffled, with the hot keys of the facts salted; a stream passes ``hot`` since it cannot be counted.
+    Adaptive execution, where it applies, splits what is left of a skewed partition.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"how must be 'inner' or 'left': {how}")
@@ -88,6 +99,7 @@ def enrich(
     if fits_broadcast(profile or profile_side(dim, [key]), sizing):
         return facts.join(F.broadcast(dim), key, how)
     if hot is None:
-        hot = [] if facts.isStreaming else hot_keys(facts, key, sizing)
-    facts, dim = _salted(facts, dim, key, hot, sizing.salts)
-    return facts.join(dim, [key, _SALT], how).drop(_SALT)
+        hot = {} if facts.isStreaming else hot_keys(facts, key, sizing)
+    facts, dim = _salted(facts, dim, key, hot)
+    # Measured too large: the hint keeps compressed file sizes from suggesting a broadcast.
+    return facts.join(dim.hint("merge"), [key, _SALT], how).drop(_SALT)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import partial
 
@@ -32,7 +32,7 @@ class Dimension:
 
     rows: DataFrame
     profile: SideProfile
-    hot: Sequence
+    hot: Mapping[int, Sequence]
 
 
 def prepare_dimension(
@@ -52,19 +52,27 @@ def prepare_dimension(
     overwrite_parquet(collapse_dimension(dim, f), path)
     stored = spark.read.parquet(path)
     profile = profile_side(stored, [f.key])
-    hot = []
+    hot = {}
     if not fits_broadcast(profile, stream.sizing):
         hot = hot_keys(parse_messages(read_topic(spark, stream.topic), schema), f.key, stream.sizing)
     return Dimension(stored, profile, hot)
 
 
 def enriched_stream(
-    spark: SparkSession, stream: StreamConfig, dimension: Dimension, schema: StructType
+    spark: SparkSession,
+    stream: StreamConfig,
+    dimension: Dimension,
+    schema: StructType,
+    event_time: str | None = None,
+    delay: str | None = None,
 ) -> DataFrame:
-    """Valid, enriched facts of the topic."""
+    """Valid, enriched facts of the topic, with a watermark when there is an event time."""
     f = stream.features
     facts = parse_messages(stream_topic(spark, stream.topic), schema)
     wanted = [f.key, *f.fact_keys, *f.fact_measures]
+    if event_time:
+        facts = facts.withWatermark(event_time, delay)
+        wanted.append(event_time)
     if stream.sentinel_column and stream.sentinel_column not in wanted:
         wanted.append(stream.sentinel_column)
     facts = number_columns(facts.select(*wanted), f.fact_measures, f.measure_type)
@@ -90,13 +98,19 @@ def feature_stream(
     return collapsed_averages(joined, stream.features, stream.features.time_column)
 
 
-def _start(writer: DataStreamWriter, checkpoint: str, trigger: str | None) -> StreamingQuery:
+def start(writer: DataStreamWriter, checkpoint: str, trigger: str | None) -> StreamingQuery:
     writer = writer.option("checkpointLocation", checkpoint)
     if trigger:
         return writer.trigger(processingTime=trigger).start()
     return writer.trigger(availableNow=True).start()
 
 
+def state_settings(stream: StreamConfig) -> dict[str, str]:
+    """The checkpoint fixes these at first start."""
+    partitions = stream.state_partitions
+    return {"spark.sql.shuffle.partitions": str(partitions)} if partitions else {}
+
+
 def sinks_of(stream: StreamConfig) -> dict[str, Sink]:
     keys = stream.features.keys
     found: dict[str, Sink] = {}
@@ -121,25 +135,21 @@ def start_feature_stream(
     """Start the main query (changed groups) and, if asked for, the diagnostic one (all groups)."""
     dimension = prepare_dimension(spark, dim, stream, schema)
     running = feature_stream(spark, stream, dimension, schema)
-    tuning = {}
-    if stream.state_partitions:
-        # Fixed by the checkpoint at first start.
-        tuning["spark.sql.shuffle.partitions"] = str(stream.state_partitions)
-    with settings(spark, tuning):
+    with settings(spark, state_settings(stream)):
         fan_out = FanOut(stream.history, sinks_of(stream) if sinks is None else sinks)
         main = running.writeStream.outputMode("update").foreachBatch(fan_out)
-        started = [_start(main, f"{stream.checkpoint}/main", stream.trigger)]
+        started = [start(main, f"{stream.checkpoint}/main", stream.trigger)]
         if stream.snapshot:
             everything = running.writeStream.outputMode("complete").foreachBatch(
                 lambda batch, _: batch.write.mode("overwrite").parquet(stream.snapshot)
             )
             started.append(
-                _start(everything, f"{stream.checkpoint}/snapshot", stream.snapshot_trigger)
+                start(everything, f"{stream.checkpoint}/snapshot", stream.snapshot_trigger)
             )
     return started
 
 
-def await_all(spark: SparkSession, started: list[StreamingQuery]) -> None:
+def await_all(started: list[StreamingQuery]) -> None:
     """Wait for every query; when one fails stop the others and raise its error at once."""
     waiting = list(started)
     try:
@@ -157,7 +167,7 @@ def run_feature_stream(
     schema: StructType,
     sinks: dict[str, Sink] | None = None,
 ) -> None:
-    await_all(spark, start_feature_stream(spark, stream, dim, schema, sinks))
+    await_all(start_feature_stream(spark, stream, dim, schema, sinks))
 
 
 def feature_schema(stream: StreamConfig, schema: StructType, dim: DataFrame) -> StructType:

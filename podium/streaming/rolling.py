@@ -1,51 +1,55 @@
-"""Event-time windows over a topic; closed windows are appended once."""
+"""Event-time windows over an enriched stream; closed windows are appended once."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from podium.config import TopicConfig
-from podium.functions.messages import parse_messages
-from podium.operators.aggregates import rolling_averages
+from podium.config import RollingConfig, StreamConfig
+from podium.operators.aggregates import collapsed_averages, window_bounds
 from podium.session import settings
 from podium.sinks.fanout import FanOut
-from podium.sources.topic import stream_topic
+from podium.streaming.features import (
+    Dimension,
+    await_all,
+    enriched_stream,
+    prepare_dimension,
+    start,
+    state_settings,
+)
 
 
 def rolling_stream(
     spark: SparkSession,
-    topic: TopicConfig,
+    stream: StreamConfig,
+    rolling: RollingConfig,
+    dimension: Dimension,
     schema: StructType,
-    event_time: str,
-    size: str,
-    keys: Sequence[str],
-    measures: Sequence[str],
-    delay: str,
-    slide: str | None = None,
 ) -> DataFrame:
-    facts = parse_messages(stream_topic(spark, topic), schema)
-    return rolling_averages(facts, event_time, size, keys, measures, slide, delay)
+    """Averages per event-time window and group; the stream waits ``delay`` for late rows."""
+    joined = enriched_stream(
+        spark, stream, dimension, schema, event_time=rolling.event_time, delay=rolling.delay
+    )
+    window = F.window(rolling.event_time, rolling.size, rolling.slide or rolling.size)
+    return window_bounds(collapsed_averages(joined, stream.features, window=window))
 
 
 def run_rolling_stream(
     spark: SparkSession,
-    windows: DataFrame,
-    checkpoint: str,
-    history: str,
-    trigger: str | None = None,
-    state_partitions: int | None = None,
-) -> None:
-    """Append each window when the watermark closes it. Rows later than the delay may be dropped."""
-    tuning = {"spark.sql.shuffle.partitions": str(state_partitions)} if state_partitions else {}
-    writer = (
-        windows.writeStream.outputMode("append")
-        .foreachBatch(FanOut(history, {}))
-        .option("checkpointLocation", checkpoint)
-    )
-    when = {"processingTime": trigger} if trigger else {"availableNow": True}
-    with settings(spark, tuning):
-        query = writer.trigger(**when).start()
-    query.awaitTermination()
+    stream: StreamConfig,
+    rolling: RollingConfig,
+    dim: DataFrame,
+    schema: StructType,
+) -> StructType:
+    """Append each window when the watermark closes it; returns the schema of the history.
+
+    The join keeps no state, so order does not matter to it. Rows later than the delay may be dropped.
+    """
+    dimension = prepare_dimension(spark, dim, stream, schema)
+    windows = rolling_stream(spark, stream, rolling, dimension, schema)
+    writer = windows.writeStream.outputMode("append").foreachBatch(FanOut(stream.history, {}))
+    with settings(spark, state_settings(stream)):
+        query = start(writer, f"{stream.checkpoint}/rolling", stream.trigger)
+    await_all([query])
+    return windows.schema
