@@ -131,7 +131,7 @@ def _two_nations(spark: SparkSession, sf_dir: str, keep_from: str) -> DataFrame:
     )
     facts = enrich(lines, suppliers, "l_suppkey").select("l_orderkey", "l_quantity", "nation")
     dim = enrich(orders, customers, "o_custkey").select("l_orderkey", "nation")
-    joined = enrich(facts, dim, "l_orderkey", keep_from=keep_from)
+    joined = enrich(facts, dim, "l_orderkey", keep_from=keep_from, sizing=LARGE)
     return joined.groupBy("nation").agg(
         F.count(F.lit(1)).alias("n_rows"), F.sum("l_quantity").alias("sum_quantity")
     )

@@ -109,7 +109,7 @@ GROUP BY variant, has_id, has_type, has_value
 def malformed_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every event as a good message and spoiled in eleven ways; what each field parses to."""
     number, kind, value = F.col("event_id").cast("string"), F.col("event_type"), F.col("value")
-    good = message("event_id", "event_type", "value")
+    good = F.col("good")
 
     def with_id(text: Column) -> Column:
         rest = message("event_type", "value")
@@ -117,7 +117,7 @@ def malformed_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     spoiled = {
         "good": good,
-        "more fields": message("*"),
+        "more fields": message("event_id", "event_type", "value", "props", "user_id"),
         "text id": with_id(F.concat(F.lit('"'), number, F.lit('"'))),
         "decimal id": with_id(F.concat(number, F.lit(".0"))),
         "huge id": with_id(F.concat(F.lit("99999999999999999999"), number)),
@@ -134,7 +134,9 @@ def malformed_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     variants = F.array(
         *(F.struct(F.lit(name).alias("variant"), text.alias("value")) for name, text in spoiled.items())
     )
-    records = table(spark, sf_dir, "events").select(F.explode(variants).alias("r")).select("r.*")
+    rows = table(spark, sf_dir, "events")
+    rows = rows.withColumn("good", message("event_id", "event_type", "value"))
+    records = rows.select(F.explode(variants).alias("r")).select("r.*")
     schema = StructType([f for f in EVENT_MESSAGE.fields if f.name in ("event_id", "event_type", "value")])
     parsed = records.select("variant", F.from_json("value", schema).alias("data")).select("variant", "data.*")
     valid = is_number(F.col("value")) & (F.col("event_type") != "error")

@@ -15,7 +15,13 @@ from podium.operators import latest_per_key, rolling_averages
 from podium.session import work_folder
 from podium.sinks import read_history, write_topic
 from podium.sources import read_topic
-from podium.streaming import read_features, run_feature_stream, run_rolling_stream
+from podium.streaming import (
+    Dimension,
+    prepare_dimension,
+    read_features,
+    run_feature_stream,
+    run_rolling_stream,
+)
 
 EVENT_FEATURES = FeatureConfig(
     key="user_id",
@@ -130,8 +136,9 @@ def stream_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A run per weekly load on one checkpoint: every batch adds its changed groups."""
     stream = event_stream(work_folder(spark, "history"))
     dim = customers(spark, sf_dir)
+    dimension = prepare_dimension(spark, dim, stream, EVENT_MESSAGE)
     for _ in publish_weekly(spark, sf_dir, stream.topic):
-        run_feature_stream(spark, stream, dim, EVENT_MESSAGE)
+        run_feature_stream(spark, stream, dimension, EVENT_MESSAGE)
     return rounded(read_features(spark, stream, EVENT_MESSAGE, dim), "batch_id")
 
 
@@ -165,10 +172,11 @@ def _shown(windows: DataFrame, measures: tuple[str, ...]) -> DataFrame:
     return windows.withColumns(shown | {f"avg_{m}": F.round(f"avg_{m}", 6) for m in measures})
 
 
-def _rolling(spark: SparkSession, root: str, dim: DataFrame, rolling: RollingConfig) -> DataFrame:
+def _rolling(
+    spark: SparkSession, stream: StreamConfig, dimension: DataFrame | Dimension, rolling: RollingConfig
+) -> DataFrame:
     """Process what is waiting; the windows closed so far."""
-    stream = event_stream(root)
-    schema = run_rolling_stream(spark, stream, rolling, dim, EVENT_MESSAGE)
+    schema = run_rolling_stream(spark, stream, rolling, dimension, EVENT_MESSAGE)
     history = read_history(spark, stream.history, schema).drop("batch_id")
     return _shown(history, EVENT_FEATURES.measures)
 
@@ -176,18 +184,18 @@ def _rolling(spark: SparkSession, root: str, dim: DataFrame, rolling: RollingCon
 @query(_WINDOWS.format(starts=_TUMBLING))
 def stream_rolling(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily windows over weekly loads, each load a run on one checkpoint."""
-    root = work_folder(spark, "rolling")
-    dim = customers(spark, sf_dir)
-    for _ in publish_weekly(spark, sf_dir, TopicConfig(f"{root}/topic")):
-        found = _rolling(spark, root, dim, RollingConfig("ts"))
+    stream = event_stream(work_folder(spark, "rolling"))
+    dimension = prepare_dimension(spark, customers(spark, sf_dir), stream, EVENT_MESSAGE)
+    for _ in publish_weekly(spark, sf_dir, stream.topic):
+        found = _rolling(spark, stream, dimension, RollingConfig("ts"))
     return found
 
 
 @query(_WINDOWS.format(starts=_SLIDING))
 def stream_sliding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    root = work_folder(spark, "sliding")
-    write_topic(events(spark, sf_dir), TopicConfig(f"{root}/topic"), ["user_id"], load_id="all")
-    return _rolling(spark, root, customers(spark, sf_dir), RollingConfig("ts", slide="12 hours"))
+    stream = event_stream(work_folder(spark, "sliding"))
+    write_topic(events(spark, sf_dir), stream.topic, ["user_id"], load_id="all")
+    return _rolling(spark, stream, customers(spark, sf_dir), RollingConfig("ts", slide="12 hours"))
 
 
 @query(

@@ -89,7 +89,10 @@ STREAM_FEATURES = FeatureConfig(
 
 @dataclass(frozen=True)
 class SizingConfig:
-    """Limits that a side must be measured against before it is broadcast."""
+    """Limits that a side must be measured against before it is broadcast.
+
+    A negative ``broadcast_bytes`` rules a broadcast out without measuring.
+    """
 
     broadcast_bytes: int = 64 * 1024 * 1024
     broadcast_rows_per_key: int = 4

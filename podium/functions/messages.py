@@ -22,6 +22,8 @@ def parse_messages(records: DataFrame, schema: StructType, value: str = "value")
     """Typed rows from message records.
 
     Parsing is permissive: a field of the wrong type is NULL, an unreadable message is a row of NULLs.
+    Expanded by a generator, so that later filters do not parse each message a second time; give
+    only the fields that are needed.
     """
-    text = F.col(value).cast("string")
-    return records.select(F.from_json(text, schema, TIME_FORMATS).alias("data")).select("data.*")
+    parsed = F.from_json(F.col(value).cast("string"), schema, TIME_FORMATS)
+    return records.select(F.inline(F.array(parsed)))

@@ -82,8 +82,10 @@ def joined_averages(
     f = features
     facts = facts.select(f.key, *f.fact_keys, *f.fact_measures)
     dim = dim.select(f.key, *f.dim_keys, *f.dim_measures)
-    profile = profile or profile_side(dim, [f.key])
-    if fits_broadcast(profile, sizing) and profile.rows_per_key <= sizing.broadcast_rows_per_key:
+    if sizing.broadcast_bytes >= 0 and profile is None:
+        profile = profile_side(dim, [f.key])
+    small = profile is not None and fits_broadcast(profile, sizing)
+    if small and profile.rows_per_key <= sizing.broadcast_rows_per_key:
         joined = enrich(facts, dim, f.key, sizing=sizing, profile=profile)
         return stamp(feature_averages(joined, f.keys, f.measures), f.time_column)
 
@@ -94,7 +96,7 @@ def joined_averages(
     right = right.withColumnRenamed(_ROWS, "__right")
     weights = {m: (F.col(_sum(m)), F.col(_count(m)), F.col("__right")) for m in f.fact_measures}
     weights |= {m: (F.col(_sum(m)), F.col(_count(m)), F.col("__left")) for m in f.dim_measures}
-    if not fits_broadcast(profile, sizing):
+    if not small:
         right = right.hint("merge")
     # Bounded per key by its groups, so this join needs no salting.
     return stamp(weighted_averages(left.join(right, f.key), f.keys, weights), f.time_column)

@@ -64,6 +64,15 @@ def keep_one_side(facts: DataFrame, dim: DataFrame, key: str, keep_from: str | N
     raise ValueError(f"columns on both sides, say keep_from='facts' or 'dim': {shared}")
 
 
+def may_broadcast(
+    dim: DataFrame, key: str, sizing: SizingConfig, profile: SideProfile | None = None
+) -> bool:
+    """Whether the side is measured below the limit; a negative limit rules it out unmeasured."""
+    if sizing.broadcast_bytes < 0:
+        return False
+    return fits_broadcast(profile or profile_side(dim, [key]), sizing)
+
+
 def _salted(facts: DataFrame, dim: DataFrame, key: str, hot: Mapping[int, Sequence]):
     """Spread hot and missing keys of the facts; repeat only the hot rows of the dimension."""
     parts = F.when(F.col(key).isNull(), _MISSING_PARTS)
@@ -88,7 +97,8 @@ def enrich(
 ) -> DataFrame:
     """Join facts (batch or stream) with a batch dimension; the key appears once.
 
-    A dimension measured below the limit is broadcast and the facts never move. A larger one is
+    A dimension measured below the limit is broadcast and the facts never move. Measuring computes the
+    side once more: for one that is itself a large join say so with a negative limit. A larger side is
     shuffled, with the hot keys of the facts salted; a stream passes ``hot`` since it cannot be counted.
     Adaptive execution, where it applies, splits what is left of a skewed partition.
     """
@@ -96,7 +106,7 @@ def enrich(
         raise ValueError(f"how must be 'inner' or 'left': {how}")
     facts, dim = keep_one_side(facts, dim, key, keep_from)
     facts, dim = align_keys(facts, dim, key)
-    if fits_broadcast(profile or profile_side(dim, [key]), sizing):
+    if may_broadcast(dim, key, sizing, profile):
         return facts.join(F.broadcast(dim), key, how)
     if hot is None:
         hot = {} if facts.isStreaming else hot_keys(facts, key, sizing)

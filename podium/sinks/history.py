@@ -15,6 +15,6 @@ def read_batch(spark: SparkSession, history: str, batch_id: int) -> DataFrame:
 
 
 def read_history(spark: SparkSession, history: str, schema: StructType) -> DataFrame:
-    """All batches with their ``batch_id``; no rows before the first batch."""
+    """All batches with their ``batch_id``; an error before the first one."""
     full = StructType([*schema.fields, StructField("batch_id", LongType())])
     return spark.read.schema(full).option("basePath", history).parquet(history)

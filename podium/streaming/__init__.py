@@ -1,4 +1,5 @@
 from podium.streaming.features import (
+    Dimension,
     enriched_stream,
     feature_schema,
     feature_stream,
@@ -9,6 +10,7 @@ from podium.streaming.features import (
 from podium.streaming.rolling import run_rolling_stream
 
 __all__ = [
+    "Dimension",
     "enriched_stream",
     "feature_schema",
     "feature_stream",

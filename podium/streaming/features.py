@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from pyspark.sql.types import StructType
 
@@ -54,7 +55,8 @@ def prepare_dimension(
     profile = profile_side(stored, [f.key])
     hot = {}
     if not fits_broadcast(profile, stream.sizing):
-        hot = hot_keys(parse_messages(read_topic(spark, stream.topic), schema), f.key, stream.sizing)
+        keys = parse_messages(read_topic(spark, stream.topic), StructType([schema[f.key]]))
+        hot = hot_keys(keys, f.key, stream.sizing)
     return Dimension(stored, profile, hot)
 
 
@@ -68,14 +70,13 @@ def enriched_stream(
 ) -> DataFrame:
     """Valid, enriched facts of the topic, with a watermark when there is an event time."""
     f = stream.features
+    wanted = {f.key, *f.fact_keys, *f.fact_measures, stream.sentinel_column, event_time}
+    # Fields that nothing needs are not parsed.
+    schema = StructType([field for field in schema.fields if field.name in wanted])
     facts = parse_messages(stream_topic(spark, stream.topic), schema)
-    wanted = [f.key, *f.fact_keys, *f.fact_measures]
     if event_time:
         facts = facts.withWatermark(event_time, delay)
-        wanted.append(event_time)
-    if stream.sentinel_column and stream.sentinel_column not in wanted:
-        wanted.append(stream.sentinel_column)
-    facts = number_columns(facts.select(*wanted), f.fact_measures, f.measure_type)
+    facts = number_columns(facts, f.fact_measures, f.measure_type)
     required = [c for c in stream.required if c in facts.columns]
     facts = valid_features(
         facts, f.fact_measures, required, stream.sentinel_column, stream.sentinel
@@ -93,9 +94,13 @@ def enriched_stream(
 def feature_stream(
     spark: SparkSession, stream: StreamConfig, dimension: Dimension, schema: StructType
 ) -> DataFrame:
-    """Running averages since the start of the stream, per group."""
+    """Running averages since the start of the stream, per group.
+
+    The query progress tells the rows of each micro-batch, without a count of its own.
+    """
     joined = enriched_stream(spark, stream, dimension, schema)
-    return collapsed_averages(joined, stream.features, stream.features.time_column)
+    running = collapsed_averages(joined, stream.features, stream.features.time_column)
+    return running.observe("batch", F.count(F.lit(1)).alias("n_rows"))
 
 
 def start(writer: DataStreamWriter, checkpoint: str, trigger: str | None) -> StreamingQuery:
@@ -128,12 +133,12 @@ def _to_topic(batch: DataFrame, batch_id: int, stream: StreamConfig) -> None:
 def start_feature_stream(
     spark: SparkSession,
     stream: StreamConfig,
-    dim: DataFrame,
+    dim: DataFrame | Dimension,
     schema: StructType,
     sinks: dict[str, Sink] | None = None,
 ) -> list[StreamingQuery]:
     """Start the main query (changed groups) and, if asked for, the diagnostic one (all groups)."""
-    dimension = prepare_dimension(spark, dim, stream, schema)
+    dimension = dim if isinstance(dim, Dimension) else prepare_dimension(spark, dim, stream, schema)
     running = feature_stream(spark, stream, dimension, schema)
     with settings(spark, state_settings(stream)):
         fan_out = FanOut(stream.history, sinks_of(stream) if sinks is None else sinks)
@@ -163,10 +168,14 @@ def await_all(started: list[StreamingQuery]) -> None:
 def run_feature_stream(
     spark: SparkSession,
     stream: StreamConfig,
-    dim: DataFrame,
+    dim: DataFrame | Dimension,
     schema: StructType,
     sinks: dict[str, Sink] | None = None,
 ) -> None:
+    """Run to the end of what is waiting, or on and on with a trigger.
+
+    Runs that follow each other may share one prepared ``Dimension``.
+    """
     await_all(start_feature_stream(spark, stream, dim, schema, sinks))
 
 

@@ -39,14 +39,14 @@ def run_rolling_stream(
     spark: SparkSession,
     stream: StreamConfig,
     rolling: RollingConfig,
-    dim: DataFrame,
+    dim: DataFrame | Dimension,
     schema: StructType,
 ) -> StructType:
     """Append each window when the watermark closes it; returns the schema of the history.
 
     The join keeps no state, so order does not matter to it. Rows later than the delay may be dropped.
     """
-    dimension = prepare_dimension(spark, dim, stream, schema)
+    dimension = dim if isinstance(dim, Dimension) else prepare_dimension(spark, dim, stream, schema)
     windows = rolling_stream(spark, stream, rolling, dimension, schema)
     writer = windows.writeStream.outputMode("append").foreachBatch(FanOut(stream.history, {}))
     with settings(spark, state_settings(stream)):

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import random
 from datetime import datetime
 
 import pytest
@@ -15,6 +16,7 @@ from pyspark.sql.types import (
 )
 
 from podium.functions import clean_text, is_number, message, parse_messages, try_number
+from podium.functions.text import KEPT
 from podium.operators import clean_strings, valid_features
 
 NAN = math.nan
@@ -73,6 +75,15 @@ def test_clean_text(spark, text, expected):
     assert row.select(clean_text(F.col("t"))).first()[0] == expected
 
 
+def test_clean_text_equals_character_wise_removal(spark):
+    pick = random.Random(5)
+    alphabet = [chr(c) for c in range(1, 300)] + list("éЖ漢😀𝒳\\\\]]^^--[[&&``") + list(" aZ09,.\"'") * 8
+    texts = ["".join(pick.choices(alphabet, k=pick.randrange(40))) for _ in range(3000)]
+    rows = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    found = dict(rows.select("i", clean_text(F.col("t"))).collect())
+    assert found == {i: "".join(c for c in t if c in KEPT) for i, t in enumerate(texts)}
+
+
 def test_clean_text_options(spark):
     row = spark.createDataFrame([("Figure Skating!", None)], "a string, b string")
     kept = row.select(clean_text(F.col("a"), keep_spaces=True), clean_text(F.col("b"), null_token=None))

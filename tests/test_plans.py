@@ -7,10 +7,13 @@ import io
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 import __spark_entry__ as registered
 from podium.config import SizingConfig
+from podium.functions import parse_messages
 from podium.operators import clean_strings, enrich, number_columns, valid_features
+from podium.sinks import read_history, write_batch
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -73,3 +76,22 @@ def test_numbers_filter_in_one_stage(spark):
 @pytest.mark.parametrize("name", ["publish_text_topic", "parse_event_props", "malformed_messages"])
 def test_messages_need_no_python(spark, name):
     assert "Python" not in plan_of(registered.queries()[name](spark, SF_DIR))
+
+
+def test_message_is_parsed_once(spark):
+    topic = spark.createDataFrame([], "key binary, value binary")
+    schema = StructType([StructField("v", DoubleType()), StructField("k", StringType())])
+    parsed = valid_features(parse_messages(topic, schema), ["v"], ["k"])
+    optimized = parsed._jdf.queryExecution().optimizedPlan().toString()
+    assert optimized.count("from_json") <= 1
+    physical = spark.read.schema("key binary, value binary").parquet(f"{SF_DIR}/events.parquet")
+    plan = plan_of(valid_features(parse_messages(physical, schema), ["v"], ["k"]))
+    assert plan.count("from_json") == 1
+
+
+def test_history_reads_only_the_batches_asked_for(spark, tmp_path):
+    rows = spark.range(5).selectExpr("id AS k")
+    for batch_id in range(3):
+        write_batch(rows, str(tmp_path), batch_id)
+    plan = plan_of(read_history(spark, str(tmp_path), rows.schema).where("batch_id = 2"))
+    assert "PartitionFilters: [isnotnull(batch_id" in plan

@@ -209,6 +209,15 @@ def test_failure_of_one_query_stops_the_other(spark, stream, dim, results, tmp_p
     assert not any(query.isActive for query in started)
 
 
+def test_progress_tells_the_rows_of_a_batch(spark, stream, dim, results):
+    write_topic(results, stream.topic)
+    (query,) = start_feature_stream(spark, stream, dim, RESULT_MESSAGE)
+    await_all([query])
+    told = query.lastProgress["observedMetrics"]["batch"]["n_rows"]
+    assert told == batches(spark, stream, dim)[0] > 0
+    assert query.lastProgress["stateOperators"][0]["numRowsTotal"] == told
+
+
 def test_processing_time_trigger(spark, stream, dim, results):
     stream = replace(stream, trigger="200 milliseconds")
     write_topic(results, stream.topic, load_id="1")
