@@ -6,7 +6,13 @@ from podium.operators.aggregates import (
 )
 from podium.operators.joins import enrich, hot_keys
 from podium.operators.rows import clean_strings, distinct_rows, number_columns, stamp, valid_features
-from podium.operators.sizing import SideProfile, fits_broadcast, profile_side
+from podium.operators.sizing import (
+    SideProfile,
+    fits_broadcast,
+    may_broadcast,
+    most_rows_per_key,
+    profile_side,
+)
 
 __all__ = [
     "SideProfile",
@@ -18,6 +24,8 @@ __all__ = [
     "hot_keys",
     "joined_averages",
     "latest_per_key",
+    "may_broadcast",
+    "most_rows_per_key",
     "number_columns",
     "profile_side",
     "rolling_averages",

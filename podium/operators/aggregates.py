@@ -8,9 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from podium.config import FeatureConfig, SizingConfig
-from podium.operators.joins import align_keys, enrich, keep_one_side
+from podium.operators.joins import align_keys
 from podium.operators.rows import stamp
-from podium.operators.sizing import SideProfile, fits_broadcast, profile_side
+from podium.operators.sizing import SideProfile, may_broadcast, most_rows_per_key
 
 _ROWS = "__rows"
 
@@ -82,11 +82,10 @@ def joined_averages(
     f = features
     facts = facts.select(f.key, *f.fact_keys, *f.fact_measures)
     dim = dim.select(f.key, *f.dim_keys, *f.dim_measures)
-    if sizing.broadcast_bytes >= 0 and profile is None:
-        profile = profile_side(dim, [f.key])
-    small = profile is not None and fits_broadcast(profile, sizing)
-    if small and profile.rows_per_key <= sizing.broadcast_rows_per_key:
-        joined = enrich(facts, dim, f.key, sizing=sizing, profile=profile)
+    small = may_broadcast(dim, f.key, sizing, profile)
+    if small and most_rows_per_key(dim, [f.key]) <= sizing.broadcast_rows_per_key:
+        facts, dim = align_keys(facts, dim, f.key)
+        joined = facts.join(F.broadcast(dim), f.key)
         return stamp(feature_averages(joined, f.keys, f.measures), f.time_column)
 
     facts, dim = align_keys(facts, dim, f.key)

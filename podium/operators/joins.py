@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType, StringType
 
 from podium.config import SizingConfig
-from podium.operators.sizing import SideProfile, fits_broadcast, profile_side
+from podium.operators.sizing import SideProfile, may_broadcast
 
 _SALT = "__salt"
 # Tracked candidates of the frequent-key sketch; finds every key above 1/1000 of the rows.
@@ -64,15 +64,6 @@ def keep_one_side(facts: DataFrame, dim: DataFrame, key: str, keep_from: str | N
     raise ValueError(f"columns on both sides, say keep_from='facts' or 'dim': {shared}")
 
 
-def may_broadcast(
-    dim: DataFrame, key: str, sizing: SizingConfig, profile: SideProfile | None = None
-) -> bool:
-    """Whether the side is measured below the limit; a negative limit rules it out unmeasured."""
-    if sizing.broadcast_bytes < 0:
-        return False
-    return fits_broadcast(profile or profile_side(dim, [key]), sizing)
-
-
 def _salted(facts: DataFrame, dim: DataFrame, key: str, hot: Mapping[int, Sequence]):
     """Spread hot and missing keys of the facts; repeat only the hot rows of the dimension."""
     parts = F.when(F.col(key).isNull(), _MISSING_PARTS)

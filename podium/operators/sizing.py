@@ -18,7 +18,6 @@ from podium.config import SizingConfig
 class SideProfile:
     rows: int
     bytes: int
-    rows_per_key: int
 
 
 def _width(column: StructField) -> Column:
@@ -30,18 +29,32 @@ def _width(column: StructField) -> Column:
     return F.coalesce(F.octet_length(F.to_json(F.struct(value))), F.lit(0)) + 16
 
 
+def _keyed(df: DataFrame, keys: Iterable[str]) -> DataFrame:
+    """Rows without a key never join."""
+    return df.where(reduce(and_, (F.col(k).isNotNull() for k in keys)))
+
+
 def profile_side(df: DataFrame, keys: Iterable[str]) -> SideProfile:
-    """Rows, bytes and most rows of one key, in one distributed pass. Keyless rows never join."""
-    keys = list(keys)
+    """Rows and bytes, in one pass that shuffles nothing but its partial sums."""
     width = reduce(add, (_width(column) for column in df.schema.fields)).cast("long")
-    per_key = (
-        df.where(reduce(and_, (F.col(k).isNotNull() for k in keys)))
-        .groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("n"), F.sum(width).alias("b"))
-    )
-    found = per_key.agg(F.sum("n").alias("n"), F.sum("b").alias("b"), F.max("n").alias("top")).first()
-    return SideProfile(found["n"] or 0, found["b"] or 0, found["top"] or 0)
+    sums = _keyed(df, keys).agg(F.count(F.lit(1)).alias("n"), F.sum(width).alias("b")).first()
+    return SideProfile(sums["n"], sums["b"] or 0)
+
+
+def most_rows_per_key(df: DataFrame, keys: Iterable[str]) -> int:
+    """Rows of the most frequent key; for sides already measured small."""
+    keys = list(keys)
+    return _keyed(df, keys).groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
 
 
 def fits_broadcast(profile: SideProfile, sizing: SizingConfig) -> bool:
     return profile.bytes <= sizing.broadcast_bytes
+
+
+def may_broadcast(
+    df: DataFrame, key: str, sizing: SizingConfig, profile: SideProfile | None = None
+) -> bool:
+    """Whether the side is measured below the limit; a negative limit rules it out unmeasured."""
+    if sizing.broadcast_bytes < 0:
+        return False
+    return fits_broadcast(profile or profile_side(df, [key]), sizing)

@@ -6,6 +6,7 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -26,16 +27,26 @@ def build_session(app_name: str, settings: dict[str, str] | None = None) -> Spar
 
 
 def utc(spark: SparkSession) -> SparkSession:
-    """The session itself when it runs in UTC, else a sibling session that does."""
+    """The session itself when it runs in UTC, else a sibling session with its settings that does."""
     if spark.conf.get("spark.sql.session.timeZone") in ("UTC", "Etc/UTC", "Z", "+00:00"):
         return spark
     sibling = spark.newSession()
+    for name, value in spark.conf.getAll.items():
+        if sibling.conf.isModifiable(name):
+            sibling.conf.set(name, value)
     sibling.conf.set("spark.sql.session.timeZone", "UTC")
     return sibling
 
 
 def is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
+    """Whether driver and executors are one process."""
+    master = spark.sparkContext.master
+    return master == "local" or master.startswith("local[")
+
+
+@cache
+def _own_folder(application: str) -> str:
+    return tempfile.mkdtemp(prefix="podium-")
 
 
 def work_folder(spark: SparkSession, label: str) -> str:
@@ -48,8 +59,7 @@ def work_folder(spark: SparkSession, label: str) -> str:
     if not root:
         if not is_local(spark):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="podium-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        root = _own_folder(spark.sparkContext.applicationId)
     return f"{root.rstrip('/')}/podium-{label}-{uuid.uuid4().hex}"
 
 
