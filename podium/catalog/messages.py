@@ -14,11 +14,13 @@ from pyspark.sql.types import (
 )
 
 from podium.catalog.registry import query, table
-from podium.config import TopicConfig
+from podium.config import PublishConfig, TopicConfig
 from podium.functions import is_number, message, parse_messages
+from podium.plans import publish_facts
 from podium.session import work_folder
 from podium.sinks import write_topic
 from podium.sources import read_topic, stream_topic
+from podium.streaming.features import await_all, start
 
 EVENT_MESSAGE = StructType(
     [
@@ -56,15 +58,11 @@ def publish_parse_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every event as a JSON message, read back as a stream."""
     root = work_folder(spark, "roundtrip")
     topic = TopicConfig(f"{root}/topic")
-    write_topic(events(spark, sf_dir), topic, ["user_id"], load_id="events")
-    parsed = parse_messages(stream_topic(spark, topic), EVENT_MESSAGE)
-    (
-        parsed.writeStream.format("parquet")
-        .option("checkpointLocation", f"{root}/checkpoint")
-        .trigger(availableNow=True)
-        .start(f"{root}/parsed")
-        .awaitTermination()
+    publish_facts(
+        spark, PublishConfig(topic, key_columns=("user_id",), load_id="events"), events(spark, sf_dir)
     )
+    parsed = parse_messages(stream_topic(spark, topic), EVENT_MESSAGE)
+    await_all([start(parsed.writeStream.option("path", f"{root}/parsed"), f"{root}/checkpoint")])
     stamp = F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS")
     return spark.read.parquet(f"{root}/parsed").withColumn("ts", stamp)
 

@@ -7,14 +7,16 @@ from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from podium.catalog.messages import EVENT_MESSAGE, events
 from podium.catalog.registry import query, table
 from podium.config import FeatureConfig, RollingConfig, SizingConfig, StreamConfig, TopicConfig
-from podium.operators import latest_per_key, rolling_averages
+from podium.functions import parse_messages
+from podium.operators import enrich, latest_per_key, rolling_averages
 from podium.session import work_folder
 from podium.sinks import read_history, write_topic
-from podium.sources import read_topic
+from podium.sources import read_topic, stream_topic
 from podium.streaming import (
     Dimension,
     prepare_dimension,
@@ -22,6 +24,7 @@ from podium.streaming import (
     run_feature_stream,
     run_rolling_stream,
 )
+from podium.streaming.features import await_all, start
 
 EVENT_FEATURES = FeatureConfig(
     key="user_id",
@@ -152,6 +155,28 @@ def stream_complete(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(spark.read.parquet(stream.snapshot))
 
 
+@query(
+    """
+SELECT event_type, count(*) AS n_rows, count(c_mktsegment) AS n_matched
+FROM events LEFT JOIN (SELECT * FROM customer WHERE c_acctbal > 0) ON user_id = c_custkey
+GROUP BY ALL
+"""
+)
+def stream_left_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event enriched as it arrives; those without a customer stay."""
+    root = work_folder(spark, "left")
+    topic = TopicConfig(f"{root}/topic")
+    write_topic(events(spark, sf_dir), topic, ["user_id"], load_id="all")
+    wanted = StructType([EVENT_MESSAGE["user_id"], EVENT_MESSAGE["event_type"]])
+    facts = parse_messages(stream_topic(spark, topic), wanted)
+    dim = customers(spark, sf_dir).where("c_acctbal > 0").select("user_id", "c_mktsegment")
+    joined = enrich(facts, dim, "user_id", how="left")
+    await_all([start(joined.writeStream.option("path", f"{root}/rows"), f"{root}/checkpoint")])
+    return spark.read.parquet(f"{root}/rows").groupBy("event_type").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count("c_mktsegment").alias("n_matched")
+    )
+
+
 _WINDOWS = """
 WITH e AS (
   SELECT ts, event_type, c_mktsegment, value, c_acctbal

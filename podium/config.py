@@ -135,8 +135,8 @@ class StreamConfig:
 
 @dataclass(frozen=True)
 class PublishConfig:
-    table: JdbcConfig
     topic: TopicConfig
+    table: JdbcConfig | None = None
     key_columns: tuple[str, ...] = ("athlete_id",)
     load_id: str | None = None
 

@@ -13,8 +13,8 @@ from podium.config import SizingConfig
 from podium.operators.sizing import SideProfile, may_broadcast
 
 _SALT = "__salt"
-# Tracked candidates of the frequent-key sketch; finds every key above 1/1000 of the rows.
-_TRACKED = 10_000
+# Candidates that the frequent-key sketch tracks per key it may report.
+_TRACKED = 10
 # Rows without a key match nothing, so they spread as wide as we like.
 _MISSING_PARTS = 1024
 
@@ -29,7 +29,7 @@ def hot_keys(facts: DataFrame, key: str, sizing: SizingConfig = SizingConfig())
     found = (
         facts.where(F.col(key).isNotNull())
         .agg(
-            F.expr(f"approx_top_k(`{key}`, {most}, {max(most, _TRACKED)})").alias("top"),
+            F.expr(f"approx_top_k(`{key}`, {most}, {most * _TRACKED})").alias("top"),
             F.count(F.lit(1)).alias("n"),
         )
         .first()

@@ -103,7 +103,8 @@ def feature_stream(
     return running.observe("batch", F.count(F.lit(1)).alias("n_rows"))
 
 
-def start(writer: DataStreamWriter, checkpoint: str, trigger: str | None) -> StreamingQuery:
+def start(writer: DataStreamWriter, checkpoint: str, trigger: str | None = None) -> StreamingQuery:
+    """Start a query; without a trigger it takes what is waiting and stops."""
     writer = writer.option("checkpointLocation", checkpoint)
     if trigger:
         return writer.trigger(processingTime=trigger).start()

@@ -48,6 +48,18 @@ def test_try_number(spark, text, kind, expected):
     assert found == expected or (expected is NAN and math.isnan(found))
 
 
+@pytest.mark.parametrize("kind", ["double", "float"])
+def test_try_number_equals_the_cast_without_ansi(spark, kind):
+    pick = random.Random(11)
+    texts = ["".join(pick.choices("0123456789.,-+eE fdnaNIity_x\t", k=pick.randrange(7))) for _ in range(3000)]
+    lenient = spark.newSession()
+    lenient.conf.set("spark.sql.ansi.enabled", "false")
+    schema = "i int, t string"
+    ours = spark.createDataFrame(list(enumerate(texts)), schema).select("i", try_number(F.col("t"), kind))
+    theirs = lenient.createDataFrame(list(enumerate(texts)), schema).select("i", F.col("t").cast(kind))
+    assert repr(ours.collect()).replace("TRY_", "") == repr(theirs.collect()).replace("TRY_", "")
+
+
 def test_is_number(spark):
     rows = spark.createDataFrame([(1.0,), (NAN,), (None,), (math.inf,)], "v double")
     assert [r[0] for r in rows.select(is_number(F.col("v"))).collect()] == [True, False, False, True]

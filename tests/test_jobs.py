@@ -88,7 +88,7 @@ def test_publish_and_stream_jobs(spark, tmp_path):
         table("bios"),
     )
     topic = TopicConfig(str(tmp_path / "topic"))
-    run("publish", tmp_path, PublishConfig(table("results"), topic, load_id="1"))
+    run("publish", tmp_path, PublishConfig(topic, table("results"), load_id="1"))
     assert read_topic(spark, topic).schema == TOPIC_RECORD
     stream = StreamConfig(
         topic, str(tmp_path / "c"), str(tmp_path / "h"), out_table=table("features"), state_partitions=2

@@ -160,6 +160,6 @@ def test_publish_table(spark, database, tmp_path):
     rows = spark.createDataFrame([(1, "Gold"), (2, None)], "athlete_id int, medal string")
     append_rows(rows, database)
     topic = TopicConfig(str(tmp_path / "topic"))
-    publish_facts(spark, PublishConfig(database, topic, load_id="all"))
+    publish_facts(spark, PublishConfig(topic, database, load_id="all"))
     values = {bytes(r.value) for r in read_topic(spark, topic).collect()}
     assert values == {b'{"athlete_id":1,"medal":"Gold"}', b'{"athlete_id":2}'}

@@ -120,6 +120,17 @@ def test_restart_adds_only_new_messages(spark, stream, dim, results):
     assert latest(spark, stream, dim) == batch_answer(results, dim)
 
 
+def test_one_time_per_batch(spark, stream, dim, results):
+    write_topic(results.repartition(3), stream.topic)
+    stream = replace(stream, topic=replace(stream.topic, max_per_trigger=1))
+    run_feature_stream(spark, stream, dim, RESULT_MESSAGE)
+    times = read_features(spark, stream, RESULT_MESSAGE, dim).groupBy("batch_id").agg(
+        F.count_distinct("calculated_at").alias("n"), F.max("calculated_at").alias("at")
+    )
+    found = times.orderBy("batch_id").collect()
+    assert [r.n for r in found] == [1, 1, 1] and found[0].at < found[1].at < found[2].at
+
+
 def test_update_mode_emits_touched_groups_only(spark, stream, dim, results):
     write_topic(results, stream.topic, load_id="1")
     run_feature_stream(spark, stream, dim, RESULT_MESSAGE)
