@@ -7,7 +7,7 @@ from dataclasses import replace
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from podium.catalog.registry import query, table
+from podium.catalog.registry import query, settled, table
 from podium.config import FeatureConfig, LakeConfig, SizingConfig
 from podium.functions import clean_text, try_number
 from podium.operators import enrich, feature_averages, number_columns, valid_features
@@ -78,8 +78,8 @@ d AS (
               ELSE CAST(c_custkey AS VARCHAR) END AS k, c_nationkey, c_acctbal
   FROM customer)
 SELECT o_orderstatus, c_nationkey,
-       round(avg(CAST(o_totalprice AS FLOAT)), 4) AS avg_o_totalprice,
-       round(avg(CAST(c_acctbal AS FLOAT)), 4) AS avg_c_acctbal
+       round(avg(CAST(o_totalprice AS FLOAT)) + 1e-7, 4) AS avg_o_totalprice,
+       round(avg(CAST(c_acctbal AS FLOAT)) + 1e-7, 4) AS avg_c_acctbal
 FROM f JOIN d USING (k) GROUP BY ALL
 """
 )
@@ -92,7 +92,7 @@ def gold_missing_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     dim = _customers(spark, sf_dir).withColumn("custkey", clean_text(F.when(~building, key)))
     features = replace(ORDER_FEATURES, fact_keys=("o_orderstatus",), dim_keys=("c_nationkey",))
     return feature_table(facts, dim, features).select(
-        *features.keys, *(F.round(f"avg_{m}", 4).alias(f"avg_{m}") for m in features.measures)
+        *features.keys, *(settled(f"avg_{m}", 4).alias(f"avg_{m}") for m in features.measures)
     )
 
 
@@ -149,7 +149,7 @@ def join_keep_dim_column(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     """
-SELECT event_type, count(*) AS n_rows, round(avg(c_acctbal), 6) AS avg_c_acctbal
+SELECT event_type, count(*) AS n_rows, round(avg(c_acctbal) + 1e-9, 6) AS avg_c_acctbal
 FROM events LEFT JOIN customer ON user_id = c_custkey
 WHERE c_mktsegment <> 'MACHINERY' AND c_acctbal IS NOT NULL AND event_type <> 'error'
 GROUP BY ALL
@@ -167,7 +167,7 @@ def join_left_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
     joined = enrich(table(spark, sf_dir, "events"), dim, "user_id", how="left")
     valid = valid_features(joined, ["c_acctbal"], sentinel_column="event_type", sentinel="error")
     return valid.groupBy("event_type").agg(
-        F.count(F.lit(1)).alias("n_rows"), F.round(F.avg("c_acctbal"), 6).alias("avg_c_acctbal")
+        F.count(F.lit(1)).alias("n_rows"), settled(F.avg("c_acctbal"), 6).alias("avg_c_acctbal")
     )
 
 

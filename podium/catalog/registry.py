@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from podium.session import utc
 
@@ -29,3 +30,9 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def settled(value: str | Column, digits: int) -> Column:
+    """Rounded with ties falling one way, whatever the order of summation; the SQL does the same."""
+    column = F.col(value) if isinstance(value, str) else value
+    return F.round(column + 10.0 ** -(digits + 3), digits)

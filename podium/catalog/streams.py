@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from podium.catalog.messages import EVENT_MESSAGE, events
-from podium.catalog.registry import query, table
+from podium.catalog.registry import query, settled, table
 from podium.config import FeatureConfig, RollingConfig, SizingConfig, StreamConfig, TopicConfig
 from podium.functions import parse_messages
 from podium.operators import enrich, latest_per_key, rolling_averages
@@ -40,8 +40,8 @@ EVENT_FEATURES = FeatureConfig(
 STATE_PARTITIONS = 8
 
 _LATEST = """
-SELECT event_type, c_mktsegment, round(avg(value), 6) AS avg_value,
-       round(avg(c_acctbal), 6) AS avg_c_acctbal, TRUE AS has_time
+SELECT event_type, c_mktsegment, round(avg(value) + 1e-9, 6) AS avg_value,
+       round(avg(c_acctbal) + 1e-9, 6) AS avg_c_acctbal, TRUE AS has_time
 FROM events JOIN customer ON user_id = c_custkey
 WHERE event_type <> 'error' GROUP BY ALL
 """
@@ -82,7 +82,7 @@ def rounded(averages: DataFrame, *more) -> DataFrame:
     return averages.select(
         *more,
         *f.keys,
-        *(F.round(f"avg_{m}", 6).alias(f"avg_{m}") for m in f.measures),
+        *(settled(f"avg_{m}", 6).alias(f"avg_{m}") for m in f.measures),
         F.col(f.time_column).isNotNull().alias("has_time"),
     )
 
@@ -128,8 +128,8 @@ WITH w AS (
          sum(value) AS v, sum(c_acctbal) AS a
   FROM events JOIN customer ON user_id = c_custkey WHERE event_type <> 'error' GROUP BY ALL)
 SELECT CAST(b.batch_id AS BIGINT) AS batch_id, event_type, c_mktsegment,
-       round(sum(v) OVER g / sum(n) OVER g, 6) AS avg_value,
-       round(sum(a) OVER g / sum(n) OVER g, 6) AS avg_c_acctbal, TRUE AS has_time
+       round(sum(v) OVER g / sum(n) OVER g + 1e-9, 6) AS avg_value,
+       round(sum(a) OVER g / sum(n) OVER g + 1e-9, 6) AS avg_c_acctbal, TRUE AS has_time
 FROM w JOIN (SELECT week, row_number() OVER (ORDER BY week) - 1 AS batch_id
              FROM (SELECT DISTINCT date_trunc('week', ts) AS week FROM events)) b USING (week)
 WINDOW g AS (PARTITION BY event_type, c_mktsegment ORDER BY week)
@@ -184,8 +184,8 @@ WITH e AS (
 w AS (SELECT *, unnest({starts}) AS s FROM e)
 SELECT strftime(s, '%Y-%m-%d %H:%M:%S') AS window_start,
        strftime(s + INTERVAL 1 DAY, '%Y-%m-%d %H:%M:%S') AS window_end,
-       event_type, c_mktsegment, round(avg(value), 6) AS avg_value,
-       round(avg(c_acctbal), 6) AS avg_c_acctbal
+       event_type, c_mktsegment, round(avg(value) + 1e-9, 6) AS avg_value,
+       round(avg(c_acctbal) + 1e-9, 6) AS avg_c_acctbal
 FROM w WHERE s + INTERVAL 1 DAY <= (SELECT max(ts) FROM e) - INTERVAL 1 HOUR GROUP BY ALL
 """
 _TUMBLING = "[time_bucket(INTERVAL 1 DAY, ts)]"
@@ -194,7 +194,7 @@ _SLIDING = "[time_bucket(INTERVAL 12 HOUR, ts), time_bucket(INTERVAL 12 HOUR, ts
 
 def _shown(windows: DataFrame, measures: tuple[str, ...]) -> DataFrame:
     shown = {c: F.date_format(c, "yyyy-MM-dd HH:mm:ss") for c in ("window_start", "window_end")}
-    return windows.withColumns(shown | {f"avg_{m}": F.round(f"avg_{m}", 6) for m in measures})
+    return windows.withColumns(shown | {f"avg_{m}": settled(f"avg_{m}", 6) for m in measures})
 
 
 def _rolling(
@@ -227,7 +227,7 @@ def stream_sliding(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"""
 SELECT strftime(s, '%Y-%m-%d %H:%M:%S') AS window_start,
        strftime(s + INTERVAL 1 DAY, '%Y-%m-%d %H:%M:%S') AS window_end,
-       event_type, round(avg(value), 6) AS avg_value, count(*) AS n_rows
+       event_type, round(avg(value) + 1e-9, 6) AS avg_value, count(*) AS n_rows
 FROM (SELECT event_type, value, unnest({_SLIDING}) AS s FROM events) GROUP BY ALL
 """
 )

@@ -148,6 +148,7 @@ class RollingConfig:
     event_time: str = "timestamp"
     size: str = "1 day"
     slide: str | None = None
+    offset: str | None = None
     delay: str = "1 hour"
 
 

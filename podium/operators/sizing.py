@@ -20,6 +20,10 @@ class SideProfile:
     bytes: int
 
 
+# Generous: row header and hash table entry.
+_ROW_BYTES = 48
+
+
 def _width(column: StructField) -> Column:
     value = F.col(f"`{column.name}`")
     if isinstance(column.dataType, (StringType, BinaryType)):
@@ -36,7 +40,7 @@ def _keyed(df: DataFrame, keys: Iterable[str]) -> DataFrame:
 
 def profile_side(df: DataFrame, keys: Iterable[str]) -> SideProfile:
     """Rows and bytes, in one pass that shuffles nothing but its partial sums."""
-    width = reduce(add, (_width(column) for column in df.schema.fields)).cast("long")
+    width = reduce(add, (_width(column) for column in df.schema.fields), F.lit(_ROW_BYTES)).cast("long")
     sums = _keyed(df, keys).agg(F.count(F.lit(1)).alias("n"), F.sum(width).alias("b")).first()
     return SideProfile(sums["n"], sums["b"] or 0)
 

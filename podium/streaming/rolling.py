@@ -31,7 +31,7 @@ def rolling_stream(
     joined = enriched_stream(
         spark, stream, dimension, schema, event_time=rolling.event_time, delay=rolling.delay
     )
-    window = F.window(rolling.event_time, rolling.size, rolling.slide or rolling.size)
+    window = F.window(rolling.event_time, rolling.size, rolling.slide or rolling.size, rolling.offset)
     return window_bounds(collapsed_averages(joined, stream.features, window=window))
 
 
