@@ -180,7 +180,8 @@ GROUP BY ALL
 )
 def join_left_unmatched(spark: SparkSession, sf_dir: str) -> DataFrame:
     dim = _customers(spark, sf_dir).where("c_acctbal > 0").select("custkey", "c_name")
-    joined = enrich(_orders(spark, sf_dir), dim, "custkey", how="left", sizing=LARGE)
+    facts = _orders(spark, sf_dir).select("custkey", "o_orderkey", "o_orderstatus")
+    joined = enrich(facts, dim, "custkey", how="left", sizing=LARGE)
     return joined.groupBy("o_orderstatus").agg(
         F.count(F.lit(1)).alias("n_rows"), F.count("c_name").alias("n_matched")
     )
@@ -202,7 +203,9 @@ def join_hot_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(F.col("l_returnflag") == "A", F.lit(None))
         .otherwise(F.col("l_suppkey"))
     )
-    facts = table(spark, sf_dir, "lineitem").select(key.alias("s_suppkey"), "l_quantity")
+    facts = table(spark, sf_dir, "lineitem").select(
+        key.alias("s_suppkey"), "l_orderkey", "l_linenumber", "l_quantity"
+    )
     dim = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     joined = enrich(facts, dim, "s_suppkey", how="left", sizing=LARGE)
     return joined.groupBy("s_nationkey").agg(

@@ -5,9 +5,9 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import NumericType, StringType
+from pyspark.sql.types import AtomicType, NumericType, StringType
 
 from podium.config import SizingConfig
 from podium.operators.sizing import SideProfile, may_broadcast
@@ -17,6 +17,7 @@ _SALT = "__salt"
 _TRACKED = 10
 # Rows without a key match nothing, so they spread as wide as we like.
 _MISSING_PARTS = 1024
+_SEED = 17
 
 
 def hot_keys(facts: DataFrame, key: str, sizing: SizingConfig = SizingConfig()) -> dict[int, list]:
@@ -64,13 +65,25 @@ def keep_one_side(facts: DataFrame, dim: DataFrame, key: str, keep_from: str | N
     raise ValueError(f"columns on both sides, say keep_from='facts' or 'dim': {shared}")
 
 
+def _spread(facts: DataFrame, parts: Column) -> Column:
+    """A number below ``parts`` that a repeated task computes again for the same row.
+
+    The records of a micro-batch are read in a fixed order, so there a seeded random number serves. In
+    a batch the facts may come from a shuffle, whose order is not fixed: the row itself decides.
+    """
+    if facts.isStreaming:
+        return F.floor(F.rand(_SEED) * parts).cast("int")
+    plain = [f.name for f in facts.schema.fields if isinstance(f.dataType, AtomicType)]
+    return F.pmod(F.xxhash64(*(F.col(f"`{name}`") for name in plain)), parts).cast("int")
+
+
 def _salted(facts: DataFrame, dim: DataFrame, key: str, hot: Mapping[int, Sequence]):
     """Spread hot and missing keys of the facts; repeat only the hot rows of the dimension."""
     parts = F.when(F.col(key).isNull(), _MISSING_PARTS)
     for count, keys in hot.items():
         parts = parts.when(F.col(key).isin(list(keys)), count)
     parts = parts.otherwise(1)
-    facts = facts.withColumn(_SALT, F.floor(F.rand() * parts).cast("int"))
+    facts = facts.withColumn(_SALT, _spread(facts, parts))
     dim = dim.where(F.col(key).isNotNull())
     dim = dim.withColumn(_SALT, F.explode(F.sequence(F.lit(0), parts - 1)))
     return facts, dim
@@ -91,7 +104,8 @@ def enrich(
     A dimension measured below the limit is broadcast and the facts never move. Measuring computes the
     side once more: for one that is itself a large join say so with a negative limit. A larger side is
     shuffled, with the hot keys of the facts salted; a stream passes ``hot`` since it cannot be counted.
-    Adaptive execution, where it applies, splits what is left of a skewed partition.
+    Adaptive execution, where it applies, splits what is left of a skewed partition. Select the
+    columns you need first: all of them decide the salt.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"how must be 'inner' or 'left': {how}")

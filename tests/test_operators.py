@@ -21,6 +21,7 @@ from podium.operators import (
     most_rows_per_key,
     profile_side,
 )
+from podium.operators.joins import _salted
 from podium.operators.aggregates import collapse_dimension, collapsed_averages, weighted_averages
 
 LARGE = SizingConfig(broadcast_bytes=-1)
@@ -121,6 +122,19 @@ def test_salted_join_equals_plain_join(spark, how):
     assert salted.exceptAll(plain).isEmpty() and plain.exceptAll(salted).isEmpty()
 
 
+def test_hot_rows_spread_evenly_and_repeatably(spark):
+    facts = spark.range(20000).select(F.lit(7).alias("k"), "id", F.lit(None).cast("map<int,int>").alias("m"))
+    dim = spark.createDataFrame([(7, "M"), (8, "F"), (None, "F")], "k int, sex string")
+    sizes = []
+    for partitions in (1, 5):
+        salted, repeated = _salted(facts.repartition(partitions), dim, "k", {16: [7]})
+        rows = salted.groupBy("__salt").agg(F.count(F.lit(1)).alias("n"), F.sum("id").alias("s"))
+        sizes.append({r["__salt"]: (r.n, r.s) for r in rows.collect()})
+        assert repeated.groupBy("k").count().orderBy("k").collect() == [(7, 16), (8, 1)]
+    assert sizes[0] == sizes[1] and set(sizes[0]) == set(range(16))
+    assert max(n for n, _ in sizes[0].values()) < 1.2 * 20000 / 16
+
+
 def test_hot_keys_follow_the_share(spark):
     facts = spark.range(9000).select(
         F.when(F.col("id") % 3 == 0, 0).when(F.col("id") % 10 == 1, None).otherwise(F.col("id")).alias("k")
