@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from dataclasses import replace
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -132,7 +130,7 @@ SELECT sport, medal, event_noc AS country_noc, sex, round(avg(height) + 1e-9, 6)
 def athlete_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw texts: event-side country, rows without a usable height, weight, sex or medal dropped."""
     stream = _stream(work_folder(spark, "athletes"))
-    write_topic(results(spark, sf_dir), stream.topic, ["athlete_id"], load_id="all")
+    write_topic(results(spark, sf_dir), stream.topic, load_id="all")
     dim = bio(spark, sf_dir)
     run_feature_stream(spark, stream, dim, RESULT_MESSAGE)
     newest = latest_per_key(read_features(spark, stream, RESULT_MESSAGE, dim), stream.features.keys)
@@ -154,9 +152,7 @@ GROUP BY ALL
 def athlete_rolling(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Weekly features by the time in the messages; closed weeks only."""
     stream = _stream(work_folder(spark, "athletes"))
-    # Years of groups: more state than the running averages hold.
-    stream = replace(stream, state_partitions=None)
-    write_topic(results(spark, sf_dir), stream.topic, ["athlete_id"], load_id="all")
+    write_topic(results(spark, sf_dir), stream.topic, load_id="all")
     # Weeks start on Monday, the epoch on a Thursday.
     weeks = RollingConfig(size="7 days", delay="1 day", offset="4 days")
     schema = run_rolling_stream(spark, stream, weeks, bio(spark, sf_dir), TIMED_RESULT_MESSAGE)

@@ -73,7 +73,7 @@ def publish_weekly(spark: SparkSession, sf_dir: str, topic: TopicConfig) -> Iter
         monday = F.lit(start).cast("timestamp_ntz")
         inside = (F.col("ts") >= monday) & (F.col("ts") < monday + F.expr("INTERVAL 7 DAYS"))
         loaded = rows.where(inside).withColumn("ts", F.col("ts").cast("timestamp"))
-        write_topic(loaded, topic, ["user_id"], load_id=start)
+        write_topic(loaded, topic, load_id=start)
         yield start
 
 
@@ -114,7 +114,7 @@ def stream_large_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
         sizing=SizingConfig(broadcast_bytes=-1),
         state_partitions=None,  # the join shuffles too
     )
-    write_topic(events(spark, sf_dir), stream.topic, ["user_id"], load_id="all")
+    write_topic(events(spark, sf_dir), stream.topic, load_id="all")
     dim = customers(spark, sf_dir)
     run_feature_stream(spark, stream, dim, EVENT_MESSAGE)
     history = read_features(spark, stream, EVENT_MESSAGE, dim)
@@ -150,7 +150,7 @@ def stream_complete(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Complete mode next to the main query: a snapshot of all groups."""
     root = work_folder(spark, "complete")
     stream = event_stream(root, snapshot=f"{root}/snapshot")
-    write_topic(events(spark, sf_dir), stream.topic, ["user_id"], load_id="all")
+    write_topic(events(spark, sf_dir), stream.topic, load_id="all")
     run_feature_stream(spark, stream, customers(spark, sf_dir), EVENT_MESSAGE)
     return rounded(spark.read.parquet(stream.snapshot))
 
@@ -166,7 +166,7 @@ def stream_left_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every event enriched as it arrives; those without a customer stay."""
     root = work_folder(spark, "left")
     topic = TopicConfig(f"{root}/topic")
-    write_topic(events(spark, sf_dir), topic, ["user_id"], load_id="all")
+    write_topic(events(spark, sf_dir), topic, load_id="all")
     wanted = StructType([EVENT_MESSAGE["user_id"], EVENT_MESSAGE["event_type"]])
     facts = parse_messages(stream_topic(spark, topic), wanted)
     dim = customers(spark, sf_dir).where("c_acctbal > 0").select("user_id", "c_mktsegment")
@@ -219,7 +219,7 @@ def stream_rolling(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(_WINDOWS.format(starts=_SLIDING))
 def stream_sliding(spark: SparkSession, sf_dir: str) -> DataFrame:
     stream = event_stream(work_folder(spark, "sliding"))
-    write_topic(events(spark, sf_dir), stream.topic, ["user_id"], load_id="all")
+    write_topic(events(spark, sf_dir), stream.topic, load_id="all")
     return _rolling(spark, stream, customers(spark, sf_dir), RollingConfig("ts", slide="12 hours"))
 
 

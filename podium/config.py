@@ -137,7 +137,8 @@ class StreamConfig:
 class PublishConfig:
     topic: TopicConfig
     table: JdbcConfig | None = None
-    key_columns: tuple[str, ...] = ("athlete_id",)
+    # A key sends all its messages to one Kafka partition: name none that a hot value could fill.
+    key_columns: tuple[str, ...] = ()
     load_id: str | None = None
 
 

@@ -12,7 +12,7 @@ from pyspark.sql.types import AtomicType, NumericType, StringType
 from podium.config import SizingConfig
 from podium.operators.sizing import SideProfile, may_broadcast
 
-_SALT = "__salt"
+SALT = "__salt"
 # Candidates that the frequent-key sketch tracks per key it may report.
 _TRACKED = 10
 # Rows without a key match nothing, so they spread as wide as we like.
@@ -77,16 +77,32 @@ def _spread(facts: DataFrame, parts: Column) -> Column:
     return F.pmod(F.xxhash64(*(F.col(f"`{name}`") for name in plain)), parts).cast("int")
 
 
-def _salted(facts: DataFrame, dim: DataFrame, key: str, hot: Mapping[int, Sequence]):
-    """Spread hot and missing keys of the facts; repeat only the hot rows of the dimension."""
+def _parts(key: str, hot: Mapping[int, Sequence]) -> Column:
     parts = F.when(F.col(key).isNull(), _MISSING_PARTS)
     for count, keys in hot.items():
         parts = parts.when(F.col(key).isin(list(keys)), count)
-    parts = parts.otherwise(1)
-    facts = facts.withColumn(_SALT, _spread(facts, parts))
-    dim = dim.where(F.col(key).isNotNull())
-    dim = dim.withColumn(_SALT, F.explode(F.sequence(F.lit(0), parts - 1)))
-    return facts, dim
+    return parts.otherwise(1)
+
+
+def salt_facts(facts: DataFrame, key: str, hot: Mapping[int, Sequence]) -> DataFrame:
+    """Spread hot and missing keys over their parts."""
+    return facts.withColumn(SALT, _spread(facts, _parts(key, hot)))
+
+
+def salt_dimension(dim: DataFrame, key: str, hot: Mapping[int, Sequence]) -> DataFrame:
+    """Repeat the rows of hot keys once per part."""
+    every = F.sequence(F.lit(0), _parts(key, hot) - 1)
+    return dim.where(F.col(key).isNotNull()).withColumn(SALT, F.explode(every))
+
+
+def join_salted(
+    facts: DataFrame, salted: DataFrame, key: str, hot: Mapping[int, Sequence], how: str = "inner"
+) -> DataFrame:
+    """Shuffled join with a dimension that is salted for the same hot keys.
+
+    The hint keeps compressed file sizes from suggesting a broadcast of a side measured too large.
+    """
+    return salt_facts(facts, key, hot).join(salted.hint("merge"), [key, SALT], how).drop(SALT)
 
 
 def enrich(
@@ -115,6 +131,4 @@ def enrich(
         return facts.join(F.broadcast(dim), key, how)
     if hot is None:
         hot = {} if facts.isStreaming else hot_keys(facts, key, sizing)
-    facts, dim = _salted(facts, dim, key, hot)
-    # Measured too large: the hint keeps compressed file sizes from suggesting a broadcast.
-    return facts.join(dim.hint("merge"), [key, _SALT], how).drop(_SALT)
+    return join_salted(facts, salt_dimension(dim, key, hot), key, hot, how)

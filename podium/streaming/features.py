@@ -5,16 +5,17 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import partial
+from hashlib import sha256
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
-from pyspark.sql.types import StructType
+from pyspark.sql.types import NumericType, StructType
 
 from podium.config import StreamConfig
 from podium.functions.messages import parse_messages
 from podium.operators.aggregates import collapse_dimension, collapsed_averages
-from podium.operators.joins import enrich, hot_keys
+from podium.operators.joins import SALT, align_keys, enrich, hot_keys, join_salted, salt_dimension
 from podium.operators.rows import number_columns, valid_features
 from podium.operators.sizing import SideProfile, fits_broadcast, profile_side
 from podium.schemas import averages
@@ -29,11 +30,14 @@ from podium.sources.topic import read_topic, stream_topic
 
 @dataclass(frozen=True)
 class Dimension:
-    """A dimension as of the start of a run, with its measured size."""
+    """A dimension as of the start of a run, with its measured size.
+
+    One too large to broadcast is salted for the hot keys and stored in buckets.
+    """
 
     rows: DataFrame
     profile: SideProfile
-    hot: Mapping[int, Sequence]
+    hot: Mapping[int, Sequence] | None = None
 
 
 def prepare_dimension(
@@ -47,17 +51,43 @@ def prepare_dimension(
     f = stream.features
     dim = dim.select(f.key, *f.dim_keys, *f.dim_measures)
     dim = number_columns(dim, f.dim_measures, f.measure_type)
+    if isinstance(schema[f.key].dataType, NumericType):
+        # Not even a cast shall come between the buckets and the messages.
+        dim = dim.withColumn(f.key, F.col(f.key).try_cast(schema[f.key].dataType))
     required = [c for c in stream.required if c in dim.columns]
     dim = valid_features(dim, f.dim_measures, [f.key, *required])
     path = f"{stream.checkpoint}/dimension"
     overwrite_parquet(collapse_dimension(dim, f), path)
     stored = spark.read.parquet(path)
     profile = profile_side(stored, [f.key])
-    hot = {}
-    if not fits_broadcast(profile, stream.sizing):
-        keys = parse_messages(read_topic(spark, stream.topic), StructType([schema[f.key]]))
-        hot = hot_keys(keys, f.key, stream.sizing)
-    return Dimension(stored, profile, hot)
+    if fits_broadcast(profile, stream.sizing):
+        return Dimension(stored, profile)
+    waiting = parse_messages(read_topic(spark, stream.topic), StructType([schema[f.key]]))
+    hot = hot_keys(waiting, f.key, stream.sizing)
+    return Dimension(_bucketed(spark, stored, stream, hot), profile, hot)
+
+
+def _bucketed(
+    spark: SparkSession, dim: DataFrame, stream: StreamConfig, hot: Mapping[int, Sequence]
+) -> DataFrame:
+    """Store the salted dimension in one bucket per shuffle partition.
+
+    Every micro-batch then shuffles its messages only.
+    """
+    key = stream.features.key
+    path = f"{stream.checkpoint}/dimension-buckets"
+    buckets = stream.state_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name = f"podium_dimension_{sha256(path.encode()).hexdigest()[:16]}"
+    (
+        salt_dimension(dim, key, hot)
+        .repartition(buckets, key, SALT)
+        .write.bucketBy(buckets, key, SALT)
+        .sortBy(key, SALT)
+        .mode("overwrite")
+        .option("path", path)
+        .saveAsTable(name)
+    )
+    return spark.table(name)
 
 
 def enriched_stream(
@@ -81,14 +111,10 @@ def enriched_stream(
     facts = valid_features(
         facts, f.fact_measures, required, stream.sentinel_column, stream.sentinel
     )
-    return enrich(
-        facts,
-        dimension.rows,
-        f.key,
-        sizing=stream.sizing,
-        profile=dimension.profile,
-        hot=dimension.hot,
-    )
+    if dimension.hot is None:
+        return enrich(facts, dimension.rows, f.key, sizing=stream.sizing, profile=dimension.profile)
+    facts, dim = align_keys(facts, dimension.rows, f.key)
+    return join_salted(facts, dim, f.key, dimension.hot)
 
 
 def feature_stream(

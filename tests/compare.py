@@ -13,6 +13,14 @@ TABLES = (
     "benchmark labels conversations"
 ).split()
 
+KINDS = {
+    "string": "VARCHAR",
+    "bigint": "BIGINT",
+    "int": "INTEGER",
+    "double": "DOUBLE",
+    "boolean": "BOOLEAN",
+}
+
 
 def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
     connection = duckdb.connect()
@@ -38,12 +46,15 @@ def differences(frame, connection, sql: str) -> str | None:
     columns = [d[0] for d in found.description]
     if sorted(frame.columns) != sorted(columns):
         return f"columns {sorted(frame.columns)} != {sorted(columns)}"
-    kinds = {name: kind for name, kind in zip(columns, found.description, strict=True)}
+    kinds = {d[0]: str(d[1]) for d in found.description}
+    wrong = [(c, kind, kinds[c]) for c, kind in frame.dtypes if KINDS.get(kind) != kinds[c]]
+    if wrong:
+        return f"types {wrong}"
     ours = _bag(frame.columns, [tuple(r) for r in frame.collect()])
     theirs = _bag(columns, found.fetchall())
     if ours == theirs:
         return None
     return (
         f"{sum(ours.values())} vs {sum(theirs.values())} rows; ours only: "
-        f"{list((ours - theirs).items())[:3]}; theirs only: {list((theirs - ours).items())[:3]}; {kinds}"
+        f"{list((ours - theirs).items())[:3]}; theirs only: {list((theirs - ours).items())[:3]}"
     )

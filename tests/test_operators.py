@@ -21,7 +21,7 @@ from podium.operators import (
     most_rows_per_key,
     profile_side,
 )
-from podium.operators.joins import _salted
+from podium.operators.joins import salt_dimension, salt_facts
 from podium.operators.aggregates import collapse_dimension, collapsed_averages, weighted_averages
 
 LARGE = SizingConfig(broadcast_bytes=-1)
@@ -127,7 +127,8 @@ def test_hot_rows_spread_evenly_and_repeatably(spark):
     dim = spark.createDataFrame([(7, "M"), (8, "F"), (None, "F")], "k int, sex string")
     sizes = []
     for partitions in (1, 5):
-        salted, repeated = _salted(facts.repartition(partitions), dim, "k", {16: [7]})
+        salted = salt_facts(facts.repartition(partitions), "k", {16: [7]})
+        repeated = salt_dimension(dim, "k", {16: [7]})
         rows = salted.groupBy("__salt").agg(F.count(F.lit(1)).alias("n"), F.sum("id").alias("s"))
         sizes.append({r["__salt"]: (r.n, r.s) for r in rows.collect()})
         assert repeated.groupBy("k").count().orderBy("k").collect() == [(7, 16), (8, 1)]

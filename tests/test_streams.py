@@ -10,6 +10,7 @@ from pathlib import Path
 import pytest
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from podium.config import JdbcConfig, RollingConfig, SizingConfig, StreamConfig, TopicConfig
 from podium.operators import latest_per_key, rolling_averages
@@ -102,6 +103,35 @@ def test_large_dimension_equals_batch(spark, stream, dim, results):
     assert latest(spark, stream, dim) == batch_answer(results, dim)
 
 
+def test_large_dimension_is_not_shuffled_per_batch(spark, stream, dim, results):
+    write_topic(results, stream.topic)
+    stream = replace(stream, sizing=SizingConfig(broadcast_bytes=-1, hot_share=0.05))
+    (query,) = start_feature_stream(spark, stream, dim, RESULT_MESSAGE)
+    await_all([query])
+    plan = query._jsq.explainInternal(False)
+    assert "SortMergeJoin" in plan and "Bucketed: true" in plan and "rand(" in plan
+    # One exchange for the messages, one for the partial sums.
+    assert plan.count("Exchange hashpartitioning") == 2
+    assert latest(spark, stream, dim) == batch_answer(results, dim)
+
+
+def test_large_dimension_over_several_runs(spark, stream, dim, results):
+    stream = replace(stream, sizing=SizingConfig(broadcast_bytes=-1, hot_share=0.05))
+    for load in range(3):
+        write_topic(results.where(f"result_id % 3 = {load}"), stream.topic, load_id=str(load))
+        run_feature_stream(spark, stream, dim, RESULT_MESSAGE)
+    assert latest(spark, stream, dim) == batch_answer(results, dim)
+
+
+def test_text_keys_in_messages(spark, stream, dim, results):
+    schema = StructType([StructField("athlete_id", StringType()), *RESULT_MESSAGE.fields[2:]])
+    write_topic(results.withColumn("athlete_id", F.col("athlete_id").cast("string")), stream.topic)
+    for sizing in (SizingConfig(), SizingConfig(broadcast_bytes=-1)):
+        one = replace(stream, sizing=sizing, history=f"{stream.history}{sizing.broadcast_bytes}", checkpoint=f"{stream.checkpoint}{sizing.broadcast_bytes}")
+        run_feature_stream(spark, one, dim, schema)
+        assert latest(spark, one, dim) == batch_answer(results, dim)
+
+
 def test_repeated_dimension_rows_count_like_the_join(spark, stream, dim, results):
     dim = dim.union(dim).union(dim.where("athlete_id = 7").withColumn("height", F.lit("200")))
     write_topic(results, stream.topic)
