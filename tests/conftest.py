@@ -13,7 +13,7 @@ from podium.session import SETTINGS  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
-    builder = SparkSession.builder.master("local[8]").appName("podium-tests")
+    builder = SparkSession.builder.master("local[8,3]").appName("podium-tests")
     for name, value in SETTINGS.items():
         builder = builder.config(name, value)
     session = (

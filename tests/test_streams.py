@@ -120,6 +120,10 @@ def test_large_dimension_over_several_runs(spark, stream, dim, results):
     for load in range(3):
         write_topic(results.where(f"result_id % 3 = {load}"), stream.topic, load_id=str(load))
         run_feature_stream(spark, stream, dim, RESULT_MESSAGE)
+        # As a later application without this catalog: the files stay, the table is unknown.
+        for table in spark.catalog.listTables():
+            if table.name.startswith("podium_dimension_"):
+                spark.sql(f"DROP TABLE {table.name}")
     assert latest(spark, stream, dim) == batch_answer(results, dim)
 
 
