@@ -202,7 +202,7 @@ def _rolling(
 ) -> DataFrame:
     """Process what is waiting; the windows closed so far."""
     schema = run_rolling_stream(spark, stream, rolling, dimension, EVENT_MESSAGE)
-    history = read_history(spark, stream.history, schema).drop("batch_id")
+    history = read_history(spark, stream.history, schema).drop("batch_id", "calculated_at")
     return _shown(history, EVENT_FEATURES.measures)
 
 

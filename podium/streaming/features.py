@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
-from functools import partial
 from hashlib import sha256
 
 from pyspark.sql import DataFrame, SparkSession
@@ -143,20 +142,19 @@ def state_settings(stream: StreamConfig) -> dict[str, str]:
     return {"spark.sql.shuffle.partitions": str(partitions)} if partitions else {}
 
 
-def sinks_of(stream: StreamConfig) -> dict[str, Sink]:
-    keys = stream.features.keys
+def sinks_of(stream: StreamConfig, keys: Sequence[str] = ()) -> dict[str, Sink]:
+    """The configured sinks; rows of a batch are told apart by the group columns and ``keys``."""
+    keys = [*keys, *stream.features.keys]
     found: dict[str, Sink] = {}
     if stream.out_topic:
-        found["topic"] = partial(_to_topic, stream=stream)
+        found["topic"] = lambda batch, batch_id: write_topic(
+            batch, stream.out_topic, keys, load_id=str(batch_id)
+        )
     if stream.out_table:
         found["table"] = lambda batch, batch_id: append_batch(batch, stream.out_table, batch_id, keys)
     return found
 
 
-def _to_topic(batch: DataFrame, batch_id: int, stream: StreamConfig) -> None:
-    write_topic(batch, stream.out_topic, stream.features.keys, load_id=str(batch_id))
-
-
 def start_feature_stream(
     spark: SparkSession,
     stream: StreamConfig,

@@ -15,6 +15,7 @@ from podium.streaming.features import (
     await_all,
     enriched_stream,
     prepare_dimension,
+    sinks_of,
     start,
     state_settings,
 )
@@ -32,7 +33,8 @@ def rolling_stream(
         spark, stream, dimension, schema, event_time=rolling.event_time, delay=rolling.delay
     )
     window = F.window(rolling.event_time, rolling.size, rolling.slide or rolling.size, rolling.offset)
-    return window_bounds(collapsed_averages(joined, stream.features, window=window))
+    averaged = collapsed_averages(joined, stream.features, stream.features.time_column, window)
+    return window_bounds(averaged)
 
 
 def run_rolling_stream(
@@ -42,13 +44,14 @@ def run_rolling_stream(
     dim: DataFrame | Dimension,
     schema: StructType,
 ) -> StructType:
-    """Append each window when the watermark closes it; returns the schema of the history.
+    """Append each window to all sinks when the watermark closes it; returns the history's schema.
 
     The join keeps no state, so order does not matter to it. Rows later than the delay may be dropped.
     """
     dimension = dim if isinstance(dim, Dimension) else prepare_dimension(spark, dim, stream, schema)
     windows = rolling_stream(spark, stream, rolling, dimension, schema)
-    writer = windows.writeStream.outputMode("append").foreachBatch(FanOut(stream.history, {}))
+    fan_out = FanOut(stream.history, sinks_of(stream, ("window_start", "window_end")))
+    writer = windows.writeStream.outputMode("append").foreachBatch(fan_out)
     with settings(spark, state_settings(stream)):
         query = start(writer, f"{stream.checkpoint}/rolling", stream.trigger)
     await_all([query])

@@ -111,11 +111,19 @@ def test_rolling_job(spark, tmp_path):
     spark.sql("SELECT 1 AS athlete_id, 'M' AS sex, 180D AS height, 80D AS weight").write.parquet(
         str(tmp_path / "bio")
     )
-    stream = StreamConfig(topic, str(tmp_path / "c"), str(tmp_path / "h"), state_partitions=2)
+    driver = "org.apache.derby.iapi.jdbc.AutoloadedDriver"
+    table = JdbcConfig(f"jdbc:derby:{tmp_path}/db;create=true", "windows", driver)
+    stream = StreamConfig(
+        topic, str(tmp_path / "c"), str(tmp_path / "h"), state_partitions=2,
+        out_topic=TopicConfig(str(tmp_path / "out")), out_table=table,
+    )
     job = StreamJobConfig(stream, dim_path=str(tmp_path / "bio"), rolling=RollingConfig())
     run("feature_stream", tmp_path, job)
     found = spark.read.parquet(stream.history)
     assert [r.avg_height for r in found.collect()] == [180.0, 180.0]
+    stored = read_jdbc(spark, table)
+    assert stored.drop("batch_id").exceptAll(found.select(stored.drop("batch_id").columns)).isEmpty()
+    assert stored.count() == read_topic(spark, stream.out_topic).count() == 2
 
 
 def test_stream_job_needs_one_dimension(tmp_path):
