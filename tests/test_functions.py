@@ -13,6 +13,7 @@ from pyspark.sql.types import (
     StringType,
     StructField,
     StructType,
+    TimestampType,
 )
 
 from podium.functions import clean_text, is_number, message, parse_messages, try_number
@@ -145,6 +146,28 @@ def test_parse_messages(spark, text, expected):
     assert tuple(parse_messages(record, MESSAGE).first()) == expected
 
 
+@pytest.mark.parametrize(
+    ("text", "expected"),
+    [
+        ("2024-01-02T03:04:05.678901Z", "2024-01-02 03:04:05.678901"),
+        ("2024-01-02T03:04:05.678901+02:00", "2024-01-02 01:04:05.678901"),
+        ("2024-01-02T03:04:05Z", "2024-01-02 03:04:05"),
+        ("2024-01-02 03:04:05", "2024-01-02 03:04:05"),
+        ("yesterday", None),
+    ],
+)
+def test_message_times(spark, text, expected):
+    record = spark.createDataFrame([(f'{{"at":"{text}"}}',)], "value string")
+    schema = StructType([StructField("at", TimestampType())])
+    assert parse_messages(record, schema).select(F.col("at").cast("string")).first()[0] == expected
+
+
+def test_local_times_keep_microseconds(spark):
+    row = spark.sql("SELECT timestamp_ntz'2024-01-02 03:04:05.678901' AS at, 1 AS i")
+    back = parse_messages(row.select(message().alias("value")), row.schema)
+    assert back.exceptAll(row).isEmpty()
+
+
 def test_message_leaves_out_missing_fields_and_keeps_microseconds(spark):
     row = spark.createDataFrame(
         [(1, None, NAN, datetime(2024, 1, 2, 3, 4, 5, 678901))], "a int, b string, c double, ts timestamp"
