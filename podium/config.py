@@ -22,7 +22,8 @@ class JdbcConfig:
     driver: str | None = None
     user_env: str | None = None
     password_env: str | None = None
-    # Parallel reads: split on this column. Bounds are looked up when not given.
+    # Parallel reads: split on this column, written as in the database's SQL (quotes included where a
+    # name needs them). Bounds are looked up when not given.
     partition_column: str | None = None
     lower_bound: str | None = None
     upper_bound: str | None = None

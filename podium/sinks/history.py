@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 
@@ -10,6 +11,10 @@ def write_batch(batch: DataFrame, history: str, batch_id: int) -> None:
     batch.write.mode("overwrite").parquet(f"{history}/batch_id={batch_id}")
 
 
+def with_batch_id(batch: DataFrame, batch_id: int) -> DataFrame:
+    return batch.withColumn("batch_id", F.lit(batch_id).cast("long"))
+
+
 def read_batch(spark: SparkSession, history: str, batch_id: int) -> DataFrame:
     return spark.read.parquet(f"{history}/batch_id={batch_id}")
 

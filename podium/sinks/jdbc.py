@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from podium.config import JdbcConfig
+from podium.sinks.history import with_batch_id
 from podium.sources.jdbc import read_jdbc
 
 
@@ -33,7 +34,7 @@ def append_batch(batch: DataFrame, table: JdbcConfig, batch_id: int, keys: Seque
     key on (batch_id, keys) to refuse those too; ``latest_per_key`` ignores them in any case.
     """
     spark = batch.sparkSession
-    tagged = batch.withColumn("batch_id", F.lit(batch_id).cast("long"))
+    tagged = with_batch_id(batch, batch_id)
     append_rows(spark.createDataFrame([], tagged.schema), table)  # creates the table if missing
     stored = read_jdbc(spark, table).where(F.col("batch_id") == batch_id)
     stored = stored.select(*(F.col(k).alias(f"stored_{k}") for k in keys))

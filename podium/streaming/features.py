@@ -21,7 +21,7 @@ from podium.schemas import averages
 from podium.session import settings
 from podium.sinks.fanout import FanOut, Sink
 from podium.sinks.files import overwrite_parquet
-from podium.sinks.history import read_history
+from podium.sinks.history import read_history, with_batch_id
 from podium.sinks.jdbc import append_batch
 from podium.sinks.topic import write_topic
 from podium.sources.topic import read_topic, stream_topic
@@ -143,12 +143,15 @@ def state_settings(stream: StreamConfig) -> dict[str, str]:
 
 
 def sinks_of(stream: StreamConfig, keys: Sequence[str] = ()) -> dict[str, Sink]:
-    """The configured sinks; rows of a batch are told apart by the group columns and ``keys``."""
+    """The configured sinks; rows of a batch are told apart by the group columns and ``keys``.
+
+    Messages and table rows carry the batch id, so that readers recognise a repeated one.
+    """
     keys = [*keys, *stream.features.keys]
     found: dict[str, Sink] = {}
     if stream.out_topic:
         found["topic"] = lambda batch, batch_id: write_topic(
-            batch, stream.out_topic, keys, load_id=str(batch_id)
+            with_batch_id(batch, batch_id), stream.out_topic, keys, load_id=str(batch_id)
         )
     if stream.out_table:
         found["table"] = lambda batch, batch_id: append_batch(batch, stream.out_table, batch_id, keys)
