@@ -95,7 +95,7 @@ class SizingConfig:
     A negative ``broadcast_bytes`` rules a broadcast out without measuring.
     """
 
-    broadcast_bytes: int = 64 * 1024 * 1024
+    broadcast_bytes: int = 128 * 1024 * 1024
     broadcast_rows_per_key: int = 4
     hot_share: float = 0.001
 

@@ -74,21 +74,24 @@ def joined_averages(
 ) -> DataFrame:
     """Averages over ``facts`` inner-joined with ``dim``.
 
-    A dimension that is measured small, with few rows per key, is broadcast: the facts are averaged
-    where they lie and only partial sums are shuffled. Otherwise both sides are first collapsed to one
-    row per join key and group, so that a key held by many rows on either side, or on both, meets as
-    a few weighted rows and its pairs are never formed.
+    A dimension that is measured small, with few rows or groups per key, is broadcast: the facts are
+    averaged where they lie and only partial sums are shuffled. Otherwise both sides are first
+    collapsed to one row per join key and group, so that a key held by many rows on either side, or on
+    both, meets as a few weighted rows and its pairs are never formed.
     """
     f = features
     facts = facts.select(f.key, *f.fact_keys, *f.fact_measures)
     dim = dim.select(f.key, *f.dim_keys, *f.dim_measures)
+    facts, dim = align_keys(facts, dim, f.key)
     small = may_broadcast(dim, f.key, sizing, profile)
     if small and most_rows_per_key(dim, [f.key]) <= sizing.broadcast_rows_per_key:
-        facts, dim = align_keys(facts, dim, f.key)
         joined = facts.join(F.broadcast(dim), f.key)
         return stamp(feature_averages(joined, f.keys, f.measures), f.time_column)
+    groups = dim.select(f.key, *f.dim_keys).distinct()
+    if small and most_rows_per_key(groups, [f.key]) <= sizing.broadcast_rows_per_key:
+        joined = facts.join(F.broadcast(collapse_dimension(dim, f)), f.key)
+        return stamp(collapsed_averages(joined, f), f.time_column)
 
-    facts, dim = align_keys(facts, dim, f.key)
     left = collapse(facts.where(F.col(f.key).isNotNull()), [f.key, *f.fact_keys], f.fact_measures)
     right = collapse(dim.where(F.col(f.key).isNotNull()), [f.key, *f.dim_keys], f.dim_measures)
     left = left.withColumnRenamed(_ROWS, "__left")

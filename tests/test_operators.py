@@ -82,8 +82,8 @@ def _same(found, expected):
 @pytest.mark.parametrize("seed", [1, 2])
 @pytest.mark.parametrize(
     "sizing",
-    [SizingConfig(broadcast_rows_per_key=1000), SizingConfig(), LARGE],
-    ids=["broadcast", "repeated keys", "large"],
+    [SizingConfig(broadcast_rows_per_key=1000), SizingConfig(), SizingConfig(broadcast_rows_per_key=1), LARGE],
+    ids=["few rows per key", "few groups per key", "many groups per key", "large"],
 )
 def test_joined_averages(spark, seed, sizing):
     facts, dim = _rows(seed)

@@ -10,9 +10,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 import __spark_entry__ as registered
+from podium.catalog.gold import ORDER_FEATURES
 from podium.config import SizingConfig
 from podium.functions import parse_messages
 from podium.operators import clean_strings, enrich, number_columns, valid_features
+from podium.plans import feature_table
 from podium.sinks import read_history, write_batch
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -42,6 +44,16 @@ def test_large_dimension_is_collapsed_before_the_join(spark):
     assert plan.count("partial_count(1)") >= 2
 
 
+def test_repeated_dimension_rows_do_not_move_the_facts(spark):
+    facts = read(spark, "orders").withColumnRenamed("o_custkey", "custkey")
+    dim = read(spark, "customer").withColumnRenamed("c_custkey", "custkey")
+    repeated = dim.crossJoin(spark.range(6)).withColumn("c_acctbal", F.col("c_acctbal") + F.col("id"))
+    plan = plan_of(feature_table(facts, repeated, ORDER_FEATURES))
+    assert "BroadcastHashJoin" in plan
+    # The collapsed dimension and the final averages.
+    assert plan.count("hashpartitioning") == 2
+
+
 def test_left_join_becomes_inner_and_filters_reach_the_scans(spark):
     plan = plan_of(registered.queries()["join_left_filtered"](spark, SF_DIR))
     assert "Join type: Inner" in plan and "LeftOuter" not in plan
