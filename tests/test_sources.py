@@ -13,7 +13,7 @@ from podium.config import JdbcConfig, PublishConfig, TopicConfig
 from podium.functions import parse_messages
 from podium.plans import publish_facts
 from podium.sinks import append_batch, append_rows, write_topic
-from podium.sources import ingest_landing, read_csv, read_jdbc, read_topic
+from podium.sources import ingest_landing, read_csv, read_jdbc, read_topic, stream_topic
 from podium.sources.topic import file_options, kafka_options
 
 
@@ -109,6 +109,17 @@ def test_kafka_options():
     assert "maxOffsetsPerTrigger" not in kafka_options(strict, streaming=False)
 
 
+def test_kafka_is_asked_for(spark):
+    topic = TopicConfig("results", "kafka", options={"kafka.bootstrap.servers": "broker:9092"})
+    for use in (
+        lambda: stream_topic(spark, topic),
+        lambda: read_topic(spark, topic),
+        lambda: write_topic(spark.range(1), topic),
+    ):
+        with pytest.raises(AnalysisException, match="(?i)kafka"):
+            use()
+
+
 def test_file_options():
     topic = TopicConfig("dir", max_per_trigger=4)
     assert file_options(topic, streaming=True)["maxFilesPerTrigger"] == "4"
