@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
-from podium.sinks.history import read_batch, write_batch
+from podium.sinks.history import has_later_batches, read_batch, write_batch
 
 Sink = Callable[[DataFrame, int], None]
 
@@ -28,6 +28,9 @@ class FanOut:
     sinks: Mapping[str, Sink]
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        if batch_id == 0 and has_later_batches(batch, self.history, batch_id):
+            # Batch ids would meet those of another checkpoint, and rows be taken for replayed ones.
+            raise SinkFailure(f"{self.history} belongs to an older checkpoint: name a new history and sinks")
         write_batch(batch, self.history, batch_id)
         if not self.sinks:
             return

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
@@ -15,6 +16,17 @@ def with_batch_id(batch: DataFrame, batch_id: int) -> DataFrame:
     return batch.withColumn("batch_id", F.lit(batch_id).cast("long"))
 
 
+def has_later_batches(batch: DataFrame, history: str, batch_id: int) -> bool:
+    """Whether the history already holds batches after this one."""
+    try:
+        stored = read_history(batch.sparkSession, history, batch.schema)
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise
+    return not stored.where(F.col("batch_id") > batch_id).isEmpty()
+
+
 def read_batch(spark: SparkSession, history: str, batch_id: int) -> DataFrame:
     return spark.read.parquet(f"{history}/batch_id={batch_id}")
 

@@ -233,6 +233,16 @@ def test_failing_sink_does_not_stop_the_other_and_is_retried(spark, both_sinks,
     assert read_topic(spark, stream.out_topic).count() == len(answer)
 
 
+def test_history_of_another_checkpoint_is_refused(spark, stream, dim, results):
+    for load in range(2):
+        write_topic(results.where(f"result_id % 2 = {load}"), stream.topic, load_id=str(load))
+        run_feature_stream(spark, stream, dim, RESULT_MESSAGE)
+    before = batches(spark, stream, dim)
+    with pytest.raises(StreamingQueryException, match="older checkpoint"):
+        run_feature_stream(spark, replace(stream, checkpoint=f"{stream.checkpoint}2"), dim, RESULT_MESSAGE)
+    assert batches(spark, stream, dim) == before
+
+
 def test_complete_snapshot(spark, stream, dim, results, tmp_path):
     stream = replace(stream, snapshot=str(tmp_path / "snapshot"))
     write_topic(results.repartition(2), stream.topic)
