@@ -8,7 +8,9 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 from functools import cache
 
-from pyspark.sql import SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 # ANSI mode stays at its default (on); tolerant parsing is explicit through try_cast.
 SETTINGS = {
@@ -63,6 +65,16 @@ def work_folder(spark: SparkSession, label: str) -> str:
     return f"{root.rstrip('/')}/podium-{label}-{uuid.uuid4().hex}"
 
 
+def read_if_present(spark: SparkSession, path: str, schema: StructType) -> DataFrame | None:
+    """A Parquet table, or None where there is none yet."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+
+
 @contextmanager
 def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
     """Apply session settings for one statement, e.g. a query start, which copies them."""

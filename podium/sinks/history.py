@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
+from podium.session import read_if_present
+
 
 def write_batch(batch: DataFrame, history: str, batch_id: int) -> None:
     batch.write.mode("overwrite").parquet(f"{history}/batch_id={batch_id}")
@@ -18,13 +19,8 @@ def with_batch_id(batch: DataFrame, batch_id: int) -> DataFrame:
 
 def has_later_batches(batch: DataFrame, history: str, batch_id: int) -> bool:
     """Whether the history already holds batches after this one."""
-    try:
-        stored = read_history(batch.sparkSession, history, batch.schema)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return False
-        raise
-    return not stored.where(F.col("batch_id") > batch_id).isEmpty()
+    stored = read_if_present(batch.sparkSession, history, _schema(batch.schema))
+    return stored is not None and not stored.where(F.col("batch_id") > batch_id).isEmpty()
 
 
 def read_batch(spark: SparkSession, history: str, batch_id: int) -> DataFrame:
@@ -33,5 +29,8 @@ def read_batch(spark: SparkSession, history: str, batch_id: int) -> DataFrame:
 
 def read_history(spark: SparkSession, history: str, schema: StructType) -> DataFrame:
     """All batches with their ``batch_id``; an error before the first one."""
-    full = StructType([*schema.fields, StructField("batch_id", LongType())])
-    return spark.read.schema(full).option("basePath", history).parquet(history)
+    return spark.read.schema(_schema(schema)).parquet(history)
+
+
+def _schema(rows: StructType) -> StructType:
+    return StructType([*rows.fields, StructField("batch_id", LongType())])

@@ -9,7 +9,7 @@ from hashlib import sha256
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
-from pyspark.sql.types import NumericType, StructType
+from pyspark.sql.types import IntegerType, NumericType, StructField, StructType
 
 from podium.config import StreamConfig
 from podium.functions.messages import parse_messages
@@ -18,7 +18,7 @@ from podium.operators.joins import SALT, align_keys, enrich, hot_keys, join_salt
 from podium.operators.rows import number_columns, valid_features
 from podium.operators.sizing import SideProfile, fits_broadcast, profile_side
 from podium.schemas import averages
-from podium.session import settings
+from podium.session import read_if_present, settings
 from podium.sinks.fanout import FanOut, Sink
 from podium.sinks.files import overwrite_parquet
 from podium.sinks.history import read_history, with_batch_id
@@ -61,11 +61,34 @@ def prepare_dimension(
     profile = profile_side(stored, [f.key])
     if fits_broadcast(profile, stream.sizing):
         return Dimension(stored, profile)
-    waiting = parse_messages(read_topic(spark, stream.topic), StructType([schema[f.key]]))
-    hot = hot_keys(waiting, f.key, stream.sizing)
+    hot = _remembered_hot_keys(spark, stream, schema)
     return Dimension(_bucketed(spark, stored, stream, hot), profile, hot)
 
 
+def _remembered_hot_keys(
+    spark: SparkSession, stream: StreamConfig, schema: StructType
+) -> dict[int, list]:
+    """Hot keys of the messages waiting at the first run, kept next to the checkpoint.
+
+    Later runs need not read old messages again; outdated keys cost time, not rows.
+    """
+    key = schema[stream.features.key]
+    path = f"{stream.checkpoint}/hot-keys"
+    kind = StructType([StructField("parts", IntegerType()), StructField("key", key.dataType)])
+    stored = read_if_present(spark, path, kind)
+    if stored is None:
+        waiting = parse_messages(read_topic(spark, stream.topic), StructType([key]))
+        hot = hot_keys(waiting, key.name, stream.sizing)
+        if hot or not waiting.isEmpty():
+            rows = [(parts, k) for parts, keys in hot.items() for k in keys]
+            overwrite_parquet(spark.createDataFrame(rows, kind), path)
+        return hot
+    hot = {}
+    for parts, k in stored.collect():
+        hot.setdefault(parts, []).append(k)
+    return hot
+
+
 def _bucketed(
     spark: SparkSession, dim: DataFrame, stream: StreamConfig, hot: Mapping[int, Sequence]
 ) -> DataFrame:

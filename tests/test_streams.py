@@ -17,7 +17,7 @@ from podium.operators import latest_per_key, rolling_averages
 from podium.schemas import RESULT_MESSAGE, TIMED_RESULT_MESSAGE
 from podium.sinks import read_history, write_topic
 from podium.sources import read_jdbc, read_topic
-from podium.streaming import read_features, run_feature_stream, run_rolling_stream
+from podium.streaming import features, prepare_dimension, read_features, run_feature_stream, run_rolling_stream
 from podium.functions import parse_messages
 from podium.streaming.features import await_all, feature_schema, sinks_of, start_feature_stream
 
@@ -127,6 +127,15 @@ def test_large_dimension_over_several_runs(spark, stream, dim, results):
     assert latest(spark, stream, dim) == batch_answer(results, dim)
 
 
+def test_hot_keys_are_looked_up_once(spark, stream, dim, results, monkeypatch):
+    stream = replace(stream, sizing=SizingConfig(broadcast_bytes=-1, hot_share=0.05))
+    write_topic(results.where("result_id < 400"), stream.topic, load_id="0")
+    first = prepare_dimension(spark, dim, stream, RESULT_MESSAGE)
+    assert list(first.hot.values()) == [[7]]
+    monkeypatch.setattr(features, "read_topic", None)
+    assert prepare_dimension(spark, dim, stream, RESULT_MESSAGE).hot == first.hot
+
+
 def test_text_keys_in_messages(spark, stream, dim, results):
     schema = StructType([StructField("athlete_id", StringType()), *RESULT_MESSAGE.fields[2:]])
     write_topic(results.withColumn("athlete_id", F.col("athlete_id").cast("string")), stream.topic)
