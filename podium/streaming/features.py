@@ -48,6 +48,9 @@ def prepare_dimension(
     that was measured stays true for the whole run. The next run replaces the copy.
     """
     f = stream.features
+    unknown = {*stream.required} - {f.key, *f.keys, *f.measures, stream.sentinel_column}
+    if unknown:
+        raise ValueError(f"required columns that the features do not use: {sorted(unknown)}")
     dim = dim.select(f.key, *f.dim_keys, *f.dim_measures)
     dim = number_columns(dim, f.dim_measures, f.measure_type)
     if isinstance(schema[f.key].dataType, NumericType):

@@ -127,6 +127,18 @@ def test_large_dimension_over_several_runs(spark, stream, dim, results):
     assert latest(spark, stream, dim) == batch_answer(results, dim)
 
 
+def test_unknown_required_column_is_an_error(spark, stream, dim):
+    with pytest.raises(ValueError, match="sexx"):
+        prepare_dimension(spark, dim, replace(stream, required=("sexx",)), RESULT_MESSAGE)
+
+
+def test_required_message_column(spark, stream, dim, results):
+    write_topic(results, stream.topic)
+    run_feature_stream(spark, replace(stream, required=("sex", "country_noc")), dim, RESULT_MESSAGE)
+    answer = batch_answer(results.where("country_noc IS NOT NULL"), dim)
+    assert latest(spark, stream, dim) == answer
+
+
 def test_hot_keys_are_looked_up_once(spark, stream, dim, results, monkeypatch):
     stream = replace(stream, sizing=SizingConfig(broadcast_bytes=-1, hot_share=0.05))
     write_topic(results.where("result_id < 400"), stream.topic, load_id="0")
