@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from podium.catalog.registry import Query, table
-from podium.llm import byte_bpe, decontaminate, exact_dedup
+from podium.llm import byte_bpe, decontaminate, exact_dedup, jaccard_join, language, quality, secret_scan
 from podium.llm.work import ship
 from podium.session import utc
 
@@ -40,6 +40,33 @@ def split_pattern() -> str:
     return public_tokenizers.PATTERN
 
 
+def fold(modulus: int) -> Column:
+    """The fold of a document: a checksum of its id as text."""
+    return F.crc32(F.col("doc_id").cast("string")) % modulus
+
+
+def _digest(kinds: tuple[str, ...]) -> Column:
+    chosen = F.filter("spans", lambda s: s["kind"].isin(*kinds))
+    return F.array_join(F.transform(chosen, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+
+@query()
+def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = secret_scan.scan(docs, secret_scan.train(docs))
+    kinds = secret_scan.KINDS
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id",
+        *(count(kind) for kind in kinds),
+        F.sha2(_digest(kinds[:3]), 256).alias("base_sha256"),
+        _digest(kinds).alias("spans"),
+    )
+
+
 @query()
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ids = byte_bpe.encode(table(spark, sf_dir, "documents"), ranks_path(), split_pattern())
@@ -52,6 +79,11 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query()
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.similarity_classes(table(spark, sf_dir, "documents"))
+
+
 _EXACT = r"""
 WITH t AS (
     SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256
@@ -107,3 +139,19 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
         (F.size("items") > 0).alias("contaminated"),
     )
+
+
+@query()
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = quality.train(docs, labels.where(fold(3) != 1))
+    scored = quality.score(docs, model)
+    return scored.select("doc_id", (fold(3) == 1).alias("held_out"), "score", "predicted")
+
+
+@query()
+def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = language.train(docs, fold(4) != 2)
+    found = language.predict(docs, model)
+    return found.select("doc_id", (fold(4) == 2).alias("held_out"), "lang_pred", "score", "accepted")
