@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from podium.llm.words import Words, pieces, window_hashes, words_of
+from podium.llm.words import Words, cut_words, pieces, window_hashes, words_of
 
 WINDOW = 10
 MAX_WINDOWS = 2_000_000
@@ -219,28 +219,9 @@ def remove_spans(
     docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", **settings
 ) -> DataFrame:
     """The documents with each run of hit words replaced by one space, with all their columns."""
-    from podium.llm.words import text_buffer
-
     hits = contamination(docs, items, id_col=id_col, text_col=text_col, **settings).where(F.size("items") > 0)
     hits = hits.select(F.col(id_col).alias("__hit"), "hit_from", "hit_to").dropDuplicates(["__hit"])
 
-    def cut(text: pa.Array, begins: pa.Array, ends: pa.Array) -> pa.Array:
-        out = []
-        data, offsets = text_buffer(text)
-        for i, (value, begin, end) in enumerate(zip(text, begins, ends, strict=True)):
-            if begin.as_py() is None:
-                out.append(value.as_py())
-                continue
-            own = data[offsets[i] : offsets[i + 1]]
-            words = words_of(own, np.array([0, len(own)]))
-            parts, at = [], 0
-            for b, e in zip(begin.as_py(), end.as_py(), strict=True):
-                parts.append(own[at : words.start[b]].tobytes())
-                at = words.end[e - 1]
-            out.append(b" ".join([*parts, own[at:].tobytes()]).decode())
-        return pa.array(out, pa.string())
-
-    cut.__annotations__ = {"text": pa.Array, "begins": pa.Array, "ends": pa.Array, "return": pa.Array}
     joined = docs.join(hits, docs[id_col] == hits["__hit"], "left")
-    text = F.arrow_udf(cut, "string")(joined[text_col], "hit_from", "hit_to")
+    text = F.arrow_udf(cut_words, "string")(docs[text_col], hits["hit_from"], hits["hit_to"])
     return joined.select(*(text.alias(c) if c == text_col else docs[c] for c in docs.columns))

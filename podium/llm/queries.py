@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from podium.catalog.registry import Query, table
-from podium.llm import byte_bpe, decontaminate, exact_dedup, jaccard_join, language, quality, secret_scan
+from podium.llm import byte_bpe, decontaminate, exact_dedup, jaccard_join, language, paragraph_dedup, quality, secret_scan
 from podium.llm.work import ship
 from podium.session import utc
 
@@ -155,3 +155,8 @@ def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = language.train(docs, fold(4) != 2)
     found = language.predict(docs, model)
     return found.select("doc_id", (fold(4) == 2).alias("held_out"), "lang_pred", "score", "accepted")
+
+
+@query()
+def op10_paragraph_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return paragraph_dedup.repeated_passages(table(spark, sf_dir, "documents"))

@@ -177,3 +177,24 @@ def minhash(values: np.ndarray, offsets: np.ndarray, size: int, seed: int = 1) -
             least = np.minimum.reduceat(own * factor, block - block[0])
             out[full[lo : lo + step], j] = (least >> np.uint64(32)).astype(np.uint32)
     return out
+
+
+def cut_words(text: pa.Array, begins: pa.Array, ends: pa.Array) -> pa.Array:
+    """Texts with the runs of words from ``begins`` to ``ends`` replaced by one space each; null means no runs."""
+    data, offsets = text_buffer(text)
+    out = []
+    for i, (begin, end) in enumerate(zip(begins.to_pylist(), ends.to_pylist(), strict=True)):
+        if not begin:
+            out.append(text[i].as_py())
+            continue
+        own = data[offsets[i] : offsets[i + 1]]
+        words = words_of(own, np.array([0, len(own)]))
+        parts, at = [], 0
+        for b, e in zip(begin, end, strict=True):
+            parts.append(own[at : words.start[b]].tobytes())
+            at = words.end[e - 1]
+        out.append(b" ".join([*parts, own[at:].tobytes()]).decode())
+    return pa.array(out, pa.string())
+
+
+cut_words.__annotations__ = {"text": pa.Array, "begins": pa.Array, "ends": pa.Array, "return": pa.Array}
