@@ -8,7 +8,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from podium.catalog.registry import Query, table
-from podium.llm import byte_bpe, decontaminate, exact_dedup, jaccard_join, language, paragraph_dedup, quality, secret_scan
+from podium.llm import (
+    byte_bpe, decontaminate, exact_dedup, jaccard_join, language, line_dedup, paragraph_dedup, quality, secret_scan,
+    url_filter,
+)
 from podium.llm.work import ship
 from podium.session import utc
 
@@ -67,6 +70,11 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query()
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.repeated_lines(table(spark, sf_dir, "documents"))
+
+
 @query()
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ids = byte_bpe.encode(table(spark, sf_dir, "documents"), ranks_path(), split_pattern())
@@ -79,6 +87,58 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+_URL_FILTER = r"""
+WITH p AS (
+    SELECT page_id, TIMESTAMP '2024-01-01' + INTERVAL 1 SECOND * ((page_id * 7919) % 2592000) AS fetched_at,
+           nullif(lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]+)', 1)), '') AS host,
+           regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1) AS path
+    FROM pages
+), h AS (SELECT DISTINCT host FROM p WHERE host IS NOT NULL),
+pat AS (
+    SELECT host AS pattern, (length(host) * 7 + ascii(substr(host, 3, 1))) % 100 AS u FROM h
+    UNION SELECT host || '/en', (length(host) * 5 + ascii(substr(host, 4, 1))) % 100 FROM h
+    UNION SELECT regexp_extract(host, '[^.]+[.][^.]+$'), length(host) % 100 FROM h
+), ch AS (
+    SELECT pattern, ts, min(event_type = 'error') AS added FROM pat JOIN events ON user_id = u
+    WHERE event_type IN ('error', 'view') GROUP BY pattern, ts
+), iv AS (
+    SELECT pattern, regexp_extract(pattern, '^[^/]+') AS on_host, regexp_replace(pattern, '^[^/]+', '') AS on_path,
+           ts AS valid_from, lead(ts) OVER (PARTITION BY pattern ORDER BY ts) AS valid_to, added
+    FROM ch
+), met AS (
+    SELECT DISTINCT page_id, pattern FROM p JOIN iv
+    ON added AND fetched_at >= valid_from AND (valid_to IS NULL OR fetched_at < valid_to)
+       AND (host = on_host OR ends_with(host, '.' || on_host))
+       AND (on_path = '' OR path = on_path OR starts_with(path, on_path || '/'))
+), found AS (SELECT page_id, string_agg(pattern, ',' ORDER BY pattern) AS entries FROM met GROUP BY page_id)
+SELECT page_id, host, coalesce(entries, '') AS entries, entries IS NOT NULL AS listed FROM p LEFT JOIN found USING (page_id)
+"""
+
+
+@query(_URL_FILTER)
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page, fetched at a time that follows from its id, against lists whose changes are events of users.
+
+    An ``error`` of a user puts the patterns that fall to the user on the list, a ``view`` takes them off.
+    """
+    seconds = F.lit(1_704_067_200) + (F.col("page_id") * 7919) % 2_592_000
+    captures = table(spark, sf_dir, "pages").select("page_id", "url", F.timestamp_seconds(seconds).alias("fetched_at"))
+    hosts = captures.select(url_filter.host_of("url").alias("host")).where("host is not null").distinct()
+
+    def letter(place: int) -> Column:
+        return F.ascii(F.substring("host", place, 1))
+
+    size = F.length("host")
+    patterns = hosts.select(F.col("host").alias("pattern"), ((size * 7 + letter(3)) % 100).alias("user_id"))
+    patterns = patterns.union(hosts.select(F.concat("host", F.lit("/en")), (size * 5 + letter(4)) % 100))
+    patterns = patterns.union(hosts.select(F.regexp_extract("host", r"[^.]+[.][^.]+$", 0), size % 100)).distinct()
+    events = table(spark, sf_dir, "events").where(F.col("event_type").isin("error", "view"))
+    events = events.select("user_id", F.col("ts").cast("timestamp").alias("at"), (F.col("event_type") == "error").alias("added"))
+    changes = events.join(patterns.withColumn("user_id", F.col("user_id").cast("long")), "user_id")
+    found = url_filter.listed(captures, changes)
+    return found.withColumn("entries", F.array_join("entries", ","))
+
+
 @query()
 def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.similarity_classes(table(spark, sf_dir, "documents"))
