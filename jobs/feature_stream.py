@@ -7,11 +7,13 @@ from __future__ import annotations
 
 import argparse
 
+from pyspark.sql import DataFrame
+
 from podium.config import StreamJobConfig, load
 from podium.schemas import RESULT_MESSAGE, TIMED_RESULT_MESSAGE
 from podium.session import build_session
 from podium.sources import read_jdbc, read_parquet
-from podium.streaming import run_feature_stream, run_rolling_stream
+from podium.streaming import run_feature_stream, run_refreshed_stream, run_rolling_stream
 
 
 def main(arguments: list[str] | None = None) -> None:
@@ -21,11 +23,16 @@ def main(arguments: list[str] | None = None) -> None:
     if (job.dim_table is None) == (job.dim_path is None):
         raise ValueError("give one of dim_table and dim_path")
     spark = build_session("podium-feature-stream")
-    dim = read_jdbc(spark, job.dim_table) if job.dim_table else read_parquet(spark, job.dim_path)
+
+    def dim() -> DataFrame:
+        return read_jdbc(spark, job.dim_table) if job.dim_table else read_parquet(spark, job.dim_path)
+
     if job.rolling:
-        run_rolling_stream(spark, job.stream, job.rolling, dim, TIMED_RESULT_MESSAGE)
+        run_rolling_stream(spark, job.stream, job.rolling, dim(), TIMED_RESULT_MESSAGE)
+    elif job.stream.refresh_seconds:
+        run_refreshed_stream(spark, job.stream, dim, RESULT_MESSAGE)
     else:
-        run_feature_stream(spark, job.stream, dim, RESULT_MESSAGE)
+        run_feature_stream(spark, job.stream, dim(), RESULT_MESSAGE)
 
 
 if __name__ == "__main__":

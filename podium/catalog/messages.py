@@ -84,8 +84,7 @@ GROUP BY ALL
 )
 def parse_event_props(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = StructType([StructField("k", LongType())])
-    k = F.from_json("props", schema)["k"].alias("k")
-    rows = table(spark, sf_dir, "events").select("event_type", k)
+    rows = parse_messages(table(spark, sf_dir, "events"), schema, "props", keep=["event_type"])
     return rows.groupBy("event_type").agg(F.count("k").alias("n_rows"), F.sum("k").alias("sum_k"))
 
 
@@ -136,7 +135,7 @@ def malformed_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = rows.withColumn("good", message("event_id", "event_type", "value"))
     records = rows.select(F.explode(variants).alias("r")).select("r.*")
     schema = StructType([f for f in EVENT_MESSAGE.fields if f.name in ("event_id", "event_type", "value")])
-    parsed = records.select("variant", F.from_json("value", schema).alias("data")).select("variant", "data.*")
+    parsed = parse_messages(records, schema, keep=["variant"])
     valid = is_number(F.col("value")) & (F.col("event_type") != "error")
     return parsed.groupBy("variant").agg(
         F.count(F.lit(1)).alias("n_rows"),

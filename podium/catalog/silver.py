@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from podium.catalog.registry import query, table
-from podium.functions import clean_text, try_number
+from podium.functions import try_number
 from podium.operators import clean_strings, distinct_rows, valid_features
 from podium.plans import clean_layer
 from podium.session import work_folder
@@ -42,19 +42,25 @@ def bronze_csv_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _through_csv(spark, table(spark, sf_dir, "customer"), "customer")
 
 
-@query("SELECT CAST(doc_id AS VARCHAR) AS doc_id, text FROM documents")
+@query(
+    """
+SELECT CAST(doc_id AS VARCHAR) AS doc_id, text, lang, source, CAST(n_chars AS VARCHAR) AS n_chars
+FROM documents
+"""
+)
 def bronze_csv_multiline(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return _through_csv(spark, rows, "documents", multi_line=True)
+    return _through_csv(spark, table(spark, sf_dir, "documents"), "documents", multi_line=True)
 
 
 @query(
     f"""
-SELECT DISTINCT {_cleaned("p_brand")} AS p_brand, {_cleaned("p_type")} AS p_type, p_size FROM part
+SELECT DISTINCT p_partkey, {_cleaned("p_name")} AS p_name, {_cleaned("p_brand")} AS p_brand,
+       {_cleaned("p_type")} AS p_type, p_size, p_retailprice
+FROM part
 """
 )
 def silver_clean_part(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return clean_layer(table(spark, sf_dir, "part").select("p_brand", "p_type", "p_size"))
+    return clean_layer(table(spark, sf_dir, "part"))
 
 
 @query(f"SELECT DISTINCT {_cleaned('text')} AS text, lang FROM documents")
@@ -79,23 +85,26 @@ def silver_keep_spaces(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     f"""
-SELECT c_custkey, coalesce({_cleaned("nullif(c_mktsegment, 'BUILDING')")}, 'None') AS c_mktsegment
+SELECT c_custkey, {_cleaned("c_name")} AS c_name, c_nationkey, c_acctbal,
+       coalesce({_cleaned("nullif(c_mktsegment, 'BUILDING')")}, 'None') AS c_mktsegment
 FROM customer
 """
 )
 def silver_null_token(spark: SparkSession, sf_dir: str) -> DataFrame:
-    segment = clean_text(F.nullif("c_mktsegment", F.lit("BUILDING")))
-    return table(spark, sf_dir, "customer").select("c_custkey", segment.alias("c_mktsegment"))
+    segment = F.nullif("c_mktsegment", F.lit("BUILDING"))
+    return clean_strings(table(spark, sf_dir, "customer").withColumn("c_mktsegment", segment))
 
 
 @query(
     f"""
-SELECT c_custkey, {_cleaned("nullif(c_mktsegment, 'BUILDING')")} AS c_mktsegment FROM customer
+SELECT c_custkey, {_cleaned("c_name")} AS c_name, c_nationkey, c_acctbal,
+       {_cleaned("nullif(c_mktsegment, 'BUILDING')")} AS c_mktsegment
+FROM customer
 """
 )
 def silver_keep_null(spark: SparkSession, sf_dir: str) -> DataFrame:
-    segment = clean_text(F.nullif("c_mktsegment", F.lit("BUILDING")), null_token=None)
-    return table(spark, sf_dir, "customer").select("c_custkey", segment.alias("c_mktsegment"))
+    segment = F.nullif("c_mktsegment", F.lit("BUILDING"))
+    return clean_strings(table(spark, sf_dir, "customer").withColumn("c_mktsegment", segment), null_token=None)
 
 
 @query("SELECT DISTINCT l_returnflag, l_linestatus, l_quantity, l_discount, l_tax FROM lineitem")
@@ -104,6 +113,25 @@ def distinct_line_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return distinct_rows(table(spark, sf_dir, "lineitem").select(*terms))
 
 
+@query(
+    """
+SELECT DISTINCT r.*
+FROM (SELECT event_id % 100 AS event_id, strftime(ts, '%Y-%m-%d') AS ts, user_id, event_type,
+             CAST(floor(value / 10) AS BIGINT) AS value, substr(props, 1, 7) AS props
+      FROM events) r
+"""
+)
+def distinct_event_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Duplicates over all columns of the whole table, made coarser so that rows repeat."""
+    coarse = {
+        "event_id": F.col("event_id") % 100,
+        "ts": F.date_format("ts", "yyyy-MM-dd"),
+        "value": F.floor(F.col("value") / 10),
+        "props": F.substring("props", 1, 7),
+    }
+    return distinct_rows(table(spark, sf_dir, "events").withColumns(coarse))
+
+
 @query(
     """
 SELECT o_orderkey, CASE o_orderpriority WHEN '5-LOW' THEN 100.0 ELSE o_totalprice END AS o_totalprice

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from contextlib import suppress
 from dataclasses import replace
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -19,12 +21,14 @@ from podium.sinks import read_history, write_topic
 from podium.sources import read_topic, stream_topic
 from podium.streaming import (
     Dimension,
+    feature_schema,
     prepare_dimension,
     read_features,
     run_feature_stream,
+    run_refreshed_stream,
     run_rolling_stream,
 )
-from podium.streaming.features import await_all, start
+from podium.streaming.features import await_all, start, start_feature_stream
 
 EVENT_FEATURES = FeatureConfig(
     key="user_id",
@@ -121,8 +125,7 @@ def stream_large_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(latest_per_key(history, EVENT_FEATURES.keys))
 
 
-@query(
-    """
+_EVERY_BATCH = """
 WITH w AS (
   SELECT date_trunc('week', ts) AS week, event_type, c_mktsegment, count(*) AS n,
          sum(value) AS v, sum(c_acctbal) AS a
@@ -134,7 +137,9 @@ FROM w JOIN (SELECT week, row_number() OVER (ORDER BY week) - 1 AS batch_id
              FROM (SELECT DISTINCT date_trunc('week', ts) AS week FROM events)) b USING (week)
 WINDOW g AS (PARTITION BY event_type, c_mktsegment ORDER BY week)
 """
-)
+
+
+@query(_EVERY_BATCH)
 def stream_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A run per weekly load on one checkpoint: every batch adds its changed groups."""
     stream = event_stream(work_folder(spark, "history"))
@@ -177,6 +182,138 @@ def stream_left_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(_LATEST)
+def stream_replayed_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weekly loads, each published twice under its name with a run after either: the second adds nothing."""
+    stream = event_stream(work_folder(spark, "replayed"))
+    dim = customers(spark, sf_dir)
+    dimension = prepare_dimension(spark, dim, stream, EVENT_MESSAGE)
+    for _ in publish_weekly(spark, sf_dir, stream.topic):
+        run_feature_stream(spark, stream, dimension, EVENT_MESSAGE)
+    for _ in publish_weekly(spark, sf_dir, stream.topic):
+        pass
+    run_feature_stream(spark, stream, dimension, EVENT_MESSAGE)
+    return rounded(latest_per_key(read_features(spark, stream, EVENT_MESSAGE, dim), EVENT_FEATURES.keys))
+
+
+@query(f"SELECT *, TRUE AS refused FROM ({_LATEST})")
+def history_of_another_checkpoint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A second checkpoint on a history of one batch is refused, and the history stays as it was."""
+    stream = event_stream(work_folder(spark, "foreign"))
+    dim = customers(spark, sf_dir)
+    write_topic(events(spark, sf_dir), stream.topic, load_id="all")
+    run_feature_stream(spark, stream, dim, EVENT_MESSAGE)
+    try:
+        run_feature_stream(spark, replace(stream, checkpoint=f"{stream.checkpoint}-2"), dim, EVENT_MESSAGE)
+        refused = False
+    except ValueError:
+        refused = True
+    history = read_features(spark, stream, EVENT_MESSAGE, dim)
+    return rounded(latest_per_key(history, EVENT_FEATURES.keys)).withColumn("refused", F.lit(refused))
+
+
+@query(f"SELECT *, CAST(2 AS BIGINT) AS n_streams FROM ({_LATEST})")
+def topic_of_another_checkpoint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two checkpoints publish to one topic: the messages of both are there."""
+    root = work_folder(spark, "two")
+    dim = customers(spark, sf_dir)
+    first = event_stream(root, out_topic=TopicConfig(f"{root}/out"))
+    second = replace(first, checkpoint=f"{root}/checkpoint-2", history=f"{root}/history-2")
+    write_topic(events(spark, sf_dir), first.topic, load_id="all")
+    for stream in (first, second):
+        run_feature_stream(spark, stream, dim, EVENT_MESSAGE)
+    rows = rounded(parse_messages(read_topic(spark, first.out_topic), feature_schema(first, EVENT_MESSAGE, dim)))
+    return rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("n_streams"))
+
+
+@query(
+    """
+WITH w AS (SELECT *, date_trunc('week', ts) AS week FROM events WHERE event_type <> 'error'),
+b AS (SELECT week, row_number() OVER (ORDER BY week) - 1 AS i FROM (SELECT DISTINCT date_trunc('week', ts) AS week FROM events))
+SELECT event_type, c_mktsegment, round(avg(value) + 1e-9, 6) AS avg_value,
+       round(avg(c_acctbal) + 1e-9, 6) AS avg_c_acctbal, TRUE AS has_time
+FROM w JOIN b USING (week) JOIN customer ON user_id = c_custkey AND c_custkey % 5 <= i GROUP BY ALL
+"""
+)
+def stream_refreshed_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A dimension that gains a fifth of its rows before each weekly load; a round per load."""
+    root = work_folder(spark, "refreshed")
+    stream = event_stream(root)
+    dim = customers(spark, sf_dir)
+    for i, _ in enumerate(publish_weekly(spark, sf_dir, stream.topic)):
+        dim.where(F.col("user_id") % 5 == i).write.mode("append").parquet(f"{root}/customers")
+        run_refreshed_stream(
+            spark, stream, lambda: spark.read.parquet(f"{root}/customers"), EVENT_MESSAGE, rounds=1
+        )
+    return rounded(latest_per_key(read_features(spark, stream, EVENT_MESSAGE, dim), EVENT_FEATURES.keys))
+
+
+@query(f"SELECT sink, l.* FROM ({_LATEST}) l, (VALUES ('steady'), ('flaky')) s(sink)")
+def stream_failing_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A sink that fails at first: the other gets the batch, the run fails, the next run completes both."""
+    root = work_folder(spark, "flaky")
+    stream = event_stream(root)
+    dim = customers(spark, sf_dir)
+    write_topic(events(spark, sf_dir), stream.topic, load_id="all")
+    tries = []
+
+    def keep(name: str) -> Callable[[DataFrame, int], None]:
+        return lambda batch, batch_id: batch.write.mode("overwrite").parquet(f"{root}/{name}/{batch_id}")
+
+    def flaky(batch: DataFrame, batch_id: int) -> None:
+        tries.append(batch_id)
+        if len(tries) == 1:
+            raise ConnectionError("not this time")
+        keep("flaky")(batch, batch_id)
+
+    sinks = {"flaky": flaky, "steady": keep("steady")}
+    with suppress(StreamingQueryException):
+        run_feature_stream(spark, stream, dim, EVENT_MESSAGE, sinks)
+    run_feature_stream(spark, stream, dim, EVENT_MESSAGE, sinks)
+    found = [
+        rounded(spark.read.parquet(f"{root}/{name}/0"), F.lit(name).alias("sink")) for name in ("steady", "flaky")
+    ]
+    return found[0].unionByName(found[1])
+
+
+@query(f"SELECT batch_id, count(*) AS n_rows FROM ({_EVERY_BATCH}) GROUP BY batch_id")
+def stream_batch_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of each micro-batch as the query's progress tells them; an empty load reaches no sink."""
+    stream = event_stream(work_folder(spark, "rows"))
+    dimension = prepare_dimension(spark, customers(spark, sf_dir), stream, EVENT_MESSAGE)
+    told, reached = {}, set()
+    sinks = {"seen": lambda batch, batch_id: reached.add(batch_id)}
+
+    def run() -> None:
+        started = start_feature_stream(spark, stream, dimension, EVENT_MESSAGE, sinks)
+        await_all(started)
+        for progress in started[0].recentProgress:
+            told[progress.batchId] = progress.observedMetrics["batch"]["n_rows"]
+
+    for _ in publish_weekly(spark, sf_dir, stream.topic):
+        run()
+    write_topic(events(spark, sf_dir).where("false"), stream.topic, load_id="empty")
+    run()
+    rows = [(batch_id, n) for batch_id, n in told.items() if batch_id in reached]
+    return spark.createDataFrame(rows, "batch_id long, n_rows long")
+
+
+@query(_LATEST)
+def stream_triggered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A query that goes on, a micro-batch per second, over a topic whose lost files are tolerated."""
+    stream = event_stream(work_folder(spark, "triggered"), trigger="1 second")
+    stream = replace(stream, topic=replace(stream.topic, tolerate_loss=True))
+    dim = customers(spark, sf_dir)
+    for _ in publish_weekly(spark, sf_dir, stream.topic):
+        pass
+    (running,) = start_feature_stream(spark, stream, dim, EVENT_MESSAGE)
+    try:
+        running.processAllAvailable()
+    finally:
+        running.stop()
+    return rounded(latest_per_key(read_features(spark, stream, EVENT_MESSAGE, dim), EVENT_FEATURES.keys))
+
+
 _WINDOWS = """
 WITH e AS (
   SELECT ts, event_type, c_mktsegment, value, c_acctbal
@@ -216,6 +353,18 @@ def stream_rolling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found
 
 
+@query(_WINDOWS.format(starts=_TUMBLING))
+def stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first week comes once more, changed, when its windows are closed: nothing of it counts."""
+    stream = event_stream(work_folder(spark, "late"))
+    dimension = prepare_dimension(spark, customers(spark, sf_dir), stream, EVENT_MESSAGE)
+    for _ in publish_weekly(spark, sf_dir, stream.topic):
+        _rolling(spark, stream, dimension, RollingConfig("ts"))
+    late = events(spark, sf_dir).where("ts < timestamp '2024-01-08'").withColumn("value", F.col("value") + 1000)
+    write_topic(late, stream.topic, load_id="late")
+    return _rolling(spark, stream, dimension, RollingConfig("ts"))
+
+
 @query(_WINDOWS.format(starts=_SLIDING))
 def stream_sliding(spark: SparkSession, sf_dir: str) -> DataFrame:
     stream = event_stream(work_folder(spark, "sliding"))

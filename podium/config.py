@@ -131,7 +131,10 @@ class StreamConfig:
     snapshot: str | None = None  # complete-mode diagnostic output
     trigger: str | None = None  # e.g. "30 seconds"; None = process what is there, then stop
     snapshot_trigger: str | None = None
+    # Used where the dimension is broadcast: partitions of the state alone.
     state_partitions: int | None = None
+    # Seconds between rounds that take the dimension anew; None keeps its rows as of the start.
+    refresh_seconds: float | None = None
 
 
 @dataclass(frozen=True)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -18,12 +20,14 @@ def message(*columns: str | Column) -> Column:
     return F.to_json(F.struct(*(columns or ("*",))), TIME_FORMATS)
 
 
-def parse_messages(records: DataFrame, schema: StructType, value: str = "value") -> DataFrame:
-    """Typed rows from message records.
+def parse_messages(
+    records: DataFrame, schema: StructType, value: str = "value", keep: Sequence[str] = ()
+) -> DataFrame:
+    """Typed rows from message records, after the columns of the records in ``keep``.
 
     Parsing is permissive: a field of the wrong type is NULL, an unreadable message is a row of NULLs.
     Expanded by a generator, so that later filters do not parse each message a second time; give
     only the fields that are needed.
     """
     parsed = F.from_json(F.col(value).cast("string"), schema)
-    return records.select(F.inline(F.array(parsed)))
+    return records.select(*keep, F.inline(F.array(parsed)))

@@ -35,16 +35,6 @@ TIMED_RESULT_MESSAGE = StructType([*RESULT_MESSAGE.fields, StructField("timestam
 # Records of a file-backed topic, shaped like the Kafka source's key and value.
 TOPIC_RECORD = StructType([StructField("key", BinaryType()), StructField("value", BinaryType())])
 
-BIO = StructType(
-    [
-        StructField("athlete_id", IntegerType()),
-        StructField("sex", StringType()),
-        StructField("height", DoubleType()),
-        StructField("weight", DoubleType()),
-    ]
-)
-
-
 def averages(keys: tuple[str, ...], measures: tuple[str, ...], time_column: str | None) -> StructType:
     """Schema of a feature table, in column order."""
     columns = [StructField(k, StringType()) for k in keys]

@@ -65,6 +65,24 @@ def work_folder(spark: SparkSession, label: str) -> str:
     return f"{root.rstrip('/')}/podium-{label}-{uuid.uuid4().hex}"
 
 
+def _file_system(spark: SparkSession, path: str):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target, target.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    target, files = _file_system(spark, path)
+    return files.exists(target)
+
+
+def move_into_place(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a finished folder; readers see all of it or nothing."""
+    path, files = _file_system(spark, source)
+    place, _ = _file_system(spark, target)
+    if not files.rename(path, place):
+        raise OSError(f"cannot rename {source} to {target}")
+
+
 def read_if_present(spark: SparkSession, path: str, schema: StructType) -> DataFrame | None:
     """A Parquet table, or None where there is none yet."""
     try:

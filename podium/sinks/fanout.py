@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
-from podium.sinks.history import has_later_batches, read_batch, write_batch
+from podium.sinks.history import read_batch, write_batch
 
 Sink = Callable[[DataFrame, int], None]
 
@@ -20,7 +20,8 @@ class SinkFailure(RuntimeError):
 class FanOut:
     """``foreachBatch`` callback.
 
-    The batch is computed once and stored in the history, which also lets it survive lost executors.
+    The batch is computed once and stored in the history, which also lets it survive lost executors; a
+    replayed batch that was stored whole before is taken from there, so that all sinks agree on it.
     Every sink reads that stored copy and is tried even when another one fails; then failures raise.
     """
 
@@ -28,9 +29,6 @@ class FanOut:
     sinks: Mapping[str, Sink]
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        if batch_id == 0 and has_later_batches(batch, self.history, batch_id):
-            # Batch ids would meet those of another checkpoint, and rows be taken for replayed ones.
-            raise SinkFailure(f"{self.history} belongs to an older checkpoint: name a new history and sinks")
         write_batch(batch, self.history, batch_id)
         if not self.sinks:
             return

@@ -1,26 +1,56 @@
-"""Feature history: one Parquet folder per micro-batch, replaced whole when a batch is replayed."""
+"""Feature history: one Parquet folder per micro-batch, final once it is complete."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from podium.session import read_if_present
+from podium.session import path_exists, read_if_present
 
+_STREAM_ID = StructType([StructField("stream_id", LongType())])
 
-def write_batch(batch: DataFrame, history: str, batch_id: int) -> None:
-    batch.write.mode("overwrite").parquet(f"{history}/batch_id={batch_id}")
+
+def stream_id(spark: SparkSession, checkpoint: str) -> int:
+    """A number that tells this checkpoint's stream from all others; made at its first start."""
+    path = f"{checkpoint.rstrip('/')}-id"
+    known = read_if_present(spark, path, _STREAM_ID)
+    if known is None:
+        spark.createDataFrame([(uuid.uuid4().int >> 65,)], _STREAM_ID).coalesce(1).write.parquet(path)
+        known = spark.read.schema(_STREAM_ID).parquet(path)
+    return known.first()["stream_id"]
 
 
-def with_batch_id(batch: DataFrame, batch_id: int) -> DataFrame:
-    return batch.withColumn("batch_id", F.lit(batch_id).cast("long"))
+def claim_history(spark: SparkSession, history: str, stream: int) -> None:
+    """Make a new history this stream's; one that holds another stream's batches is refused.
 
+    Batch ids of two checkpoints would meet, and rows be taken for replayed ones.
+    """
+    path = f"{history.rstrip('/')}-stream"
+    owner = read_if_present(spark, path, _STREAM_ID)
+    if owner is None:
+        if path_exists(spark, history):
+            raise ValueError(f"{history} holds batches of an unknown stream: name a new history")
+        spark.createDataFrame([(stream,)], _STREAM_ID).coalesce(1).write.parquet(path)
+    elif owner.first()["stream_id"] != stream:
+        raise ValueError(f"{history} belongs to another checkpoint: name a new history")
 
-def has_later_batches(batch: DataFrame, history: str, batch_id: int) -> bool:
-    """Whether the history already holds batches after this one."""
-    stored = read_if_present(batch.sparkSession, history, _schema(batch.schema))
-    return stored is not None and not stored.where(F.col("batch_id") > batch_id).isEmpty()
+
+def write_batch(batch: DataFrame, history: str, batch_id: int) -> None:
+    """Store a micro-batch. A replay of one that is complete is computed but changes nothing."""
+    path = f"{history}/batch_id={batch_id}"
+    if path_exists(batch.sparkSession, f"{path}/_SUCCESS"):
+        batch.write.format("noop").mode("overwrite").save()
+    else:
+        batch.write.mode("overwrite").parquet(path)
+
+
+def with_batch_id(batch: DataFrame, batch_id: int, stream: int) -> DataFrame:
+    return batch.withColumns(
+        {"stream_id": F.lit(stream).cast("long"), "batch_id": F.lit(batch_id).cast("long")}
+    )
 
 
 def read_batch(spark: SparkSession, history: str, batch_id: int) -> DataFrame:
@@ -29,8 +59,4 @@ def read_batch(spark: SparkSession, history: str, batch_id: int) -> DataFrame:
 
 def read_history(spark: SparkSession, history: str, schema: StructType) -> DataFrame:
     """All batches with their ``batch_id``; an error before the first one."""
-    return spark.read.schema(_schema(schema)).parquet(history)
-
-
-def _schema(rows: StructType) -> StructType:
-    return StructType([*rows.fields, StructField("batch_id", LongType())])
+    return spark.read.schema(StructType([*schema.fields, StructField("batch_id", LongType())])).parquet(history)

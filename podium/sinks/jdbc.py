@@ -2,16 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from functools import reduce
-from operator import and_
+import uuid
+from collections.abc import Callable, Sequence
+from dataclasses import replace
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from podium.config import JdbcConfig
 from podium.sinks.history import with_batch_id
-from podium.sources.jdbc import read_jdbc
 
 
 def append_rows(df: DataFrame, table: JdbcConfig) -> None:
@@ -27,16 +26,71 @@ def append_rows(df: DataFrame, table: JdbcConfig) -> None:
     )
 
 
-def append_batch(batch: DataFrame, table: JdbcConfig, batch_id: int, keys: Sequence[str]) -> None:
-    """Append a micro-batch once, tagged with its id: a replay adds only the rows still missing.
+def append_batch(
+    batch: DataFrame, table: JdbcConfig, batch_id: int, keys: Sequence[str], stream: int = 0
+) -> None:
+    """Append a micro-batch exactly once, tagged with its stream and batch id.
 
-    A task that dies between its commit and its report may still repeat rows. Give the table a unique
-    key on (batch_id, keys) to refuse those too; ``latest_per_key`` ignores them in any case.
+    Tasks write to a staging table of this attempt. One transaction on the driver's connection then takes
+    the batch's rows out of the target and puts the staged ones in, each group once: rows that a task
+    repeated, because it died between its commit and its report, share the hash of the group
+    columns and differ in a random mark, of which the least stays.
     """
     spark = batch.sparkSession
-    tagged = with_batch_id(batch, batch_id)
+    tagged = with_batch_id(batch, batch_id, stream)
     append_rows(spark.createDataFrame([], tagged.schema), table)  # creates the table if missing
-    stored = read_jdbc(spark, table).where(F.col("batch_id") == batch_id)
-    stored = stored.select(*(F.col(k).alias(f"stored_{k}") for k in keys))
-    same = reduce(and_, (F.col(k).eqNullSafe(F.col(f"stored_{k}")) for k in keys))
-    append_rows(tagged.join(stored, same, "left_anti"), table)
+    staging = replace(table, table=f"{table.table}_{uuid.uuid4().hex[:8]}", partition_column=None)
+    group = F.xxhash64(*(F.coalesce(F.col(k).cast("string"), F.lit("\0")) for k in keys))
+    mark = (F.rand() * (1 << 62)).cast("long")
+    append_rows(tagged.withColumns({"staged_group": group, "staged_mark": mark}), staging)
+    quote = _quoting(spark, table)
+    columns = ", ".join(quote(c) for c in tagged.columns)
+    same, mark_ = quote("staged_group"), quote("staged_mark")
+    run_transaction(
+        spark,
+        table,
+        before=[f"CREATE INDEX {staging.table}_i ON {staging.table} ({same})"],
+        statements=[
+            f"DELETE FROM {table.table} WHERE {quote('stream_id')} = {stream} AND {quote('batch_id')} = {batch_id}",
+            f"INSERT INTO {table.table} ({columns}) SELECT {columns} FROM {staging.table} s WHERE NOT EXISTS "
+            f"(SELECT 1 FROM {staging.table} o WHERE o.{same} = s.{same} AND o.{mark_} < s.{mark_})",
+        ],
+        after=[f"DROP TABLE {staging.table}"],
+    )
+
+
+def _quoting(spark: SparkSession, table: JdbcConfig) -> Callable[[str], str]:
+    dialect = spark._jvm.org.apache.spark.sql.jdbc.JdbcDialects.get(table.url)
+    return dialect.quoteIdentifier
+
+
+def run_transaction(
+    spark: SparkSession, table: JdbcConfig, before: Sequence[str], statements: Sequence[str], after: Sequence[str]
+) -> None:
+    """Run ``statements`` in one transaction; what comes before and after commits by itself."""
+    jvm = spark._jvm
+    settings = table.connection()
+    if table.driver:
+        jvm.org.apache.spark.sql.execution.datasources.jdbc.DriverRegistry.register(table.driver)
+    properties = jvm.java.util.Properties()
+    for name in ("user", "password"):
+        if name in settings:
+            properties.setProperty(name, settings[name])
+    connection = jvm.java.sql.DriverManager.getConnection(table.url, properties)
+    try:
+        statement = connection.createStatement()
+        for sql in before:
+            statement.executeUpdate(sql)
+        connection.setAutoCommit(False)
+        try:
+            for sql in statements:
+                statement.executeUpdate(sql)
+            connection.commit()
+        except Exception:
+            connection.rollback()
+            raise
+        connection.setAutoCommit(True)
+        for sql in after:
+            statement.executeUpdate(sql)
+    finally:
+        connection.close()

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 
 from podium.config import TopicConfig
 from podium.functions.messages import message
+from podium.session import move_into_place, path_exists
 
 
 def to_records(df: DataFrame, key_columns: Sequence[str] = ()) -> DataFrame:
@@ -21,9 +23,10 @@ def write_topic(
 ) -> None:
     """Publish every row, without a shuffle.
 
-    A file-backed topic keeps each load in its own folder, so loading the same id again replaces it;
-    without an id rows are appended. Kafka may see a replayed load twice: consumers tell by the
-    message key and the batch id in the message.
+    A file-backed topic keeps each load in its own folder. A load becomes visible when it is complete, and is
+    final then: loading the same id again adds nothing, so streams that have read it never meet it twice.
+    Without an id rows are appended. Kafka may see a replayed load twice: consumers tell by the message
+    key and the stream and batch id in the message.
     """
     records = to_records(df, key_columns)
     if topic.format == "kafka":
@@ -36,5 +39,11 @@ def write_topic(
     if load_id is None:
         records.write.format(topic.format).mode("append").options(**topic.options).save(topic.name)
     else:
+        spark = df.sparkSession
         target = f"{topic.name}/load-{load_id}"
-        records.write.format(topic.format).mode("overwrite").options(**topic.options).save(target)
+        if path_exists(spark, target):
+            return
+        # Readers skip names that begin with an underscore.
+        hidden = f"{topic.name}/_loading-{load_id}-{uuid.uuid4().hex}"
+        records.write.format(topic.format).options(**topic.options).save(hidden)
+        move_into_place(spark, hidden, target)

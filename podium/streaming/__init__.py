@@ -6,6 +6,7 @@ from podium.streaming.features import (
     prepare_dimension,
     read_features,
     run_feature_stream,
+    run_refreshed_stream,
 )
 from podium.streaming.rolling import run_rolling_stream
 
@@ -17,5 +18,6 @@ __all__ = [
     "prepare_dimension",
     "read_features",
     "run_feature_stream",
+    "run_refreshed_stream",
     "run_rolling_stream",
 ]

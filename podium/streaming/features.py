@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+import time
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass, replace
 from hashlib import sha256
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,7 +22,7 @@ from podium.schemas import averages
 from podium.session import read_if_present, settings
 from podium.sinks.fanout import FanOut, Sink
 from podium.sinks.files import overwrite_parquet
-from podium.sinks.history import read_history, with_batch_id
+from podium.sinks.history import claim_history, read_history, stream_id, with_batch_id
 from podium.sinks.jdbc import append_batch
 from podium.sinks.topic import write_topic
 from podium.sources.topic import read_topic, stream_topic
@@ -40,9 +41,9 @@ class Dimension:
 
 
 def prepare_dimension(
-    spark: SparkSession, dim: DataFrame, stream: StreamConfig, schema: StructType
+    spark: SparkSession, dim: DataFrame, stream: StreamConfig, schema: StructType, kind: str = "main"
 ) -> Dimension:
-    """Filter, merge and store the dimension once per run.
+    """Filter, merge and store the dimension once per run, next to the checkpoint of that kind of query.
 
     The stored copy is what each micro-batch joins: the database is not scanned again, and the size
     that was measured stays true for the whole run. The next run replaces the copy.
@@ -54,18 +55,22 @@ def prepare_dimension(
     dim = dim.select(f.key, *f.dim_keys, *f.dim_measures)
     dim = number_columns(dim, f.dim_measures, f.measure_type)
     if isinstance(schema[f.key].dataType, NumericType):
-        # Not even a cast shall come between the buckets and the messages.
-        dim = dim.withColumn(f.key, F.col(f.key).try_cast(schema[f.key].dataType))
+        # Not even a cast shall come between the buckets and the messages. A key that the message's
+        # type cannot hold, like a fraction, meets no message.
+        own, cast = F.col(f.key), F.col(f.key).try_cast(schema[f.key].dataType)
+        if isinstance(dim.schema[f.key].dataType, NumericType):
+            dim = dim.where(cast == own)
+        dim = dim.withColumn(f.key, cast)
     required = [c for c in stream.required if c in dim.columns]
     dim = valid_features(dim, f.dim_measures, [f.key, *required])
-    path = f"{stream.checkpoint}/dimension"
+    path = f"{stream.checkpoint}/{kind}-dimension"
     overwrite_parquet(collapse_dimension(dim, f), path)
     stored = spark.read.parquet(path)
     profile = profile_side(stored, [f.key])
     if fits_broadcast(profile, stream.sizing):
         return Dimension(stored, profile)
     hot = _remembered_hot_keys(spark, stream, schema)
-    return Dimension(_bucketed(spark, stored, stream, hot), profile, hot)
+    return Dimension(_bucketed(spark, stored, stream, hot, kind), profile, hot)
 
 
 def _remembered_hot_keys(
@@ -93,15 +98,15 @@ def _remembered_hot_keys(
 
 
 def _bucketed(
-    spark: SparkSession, dim: DataFrame, stream: StreamConfig, hot: Mapping[int, Sequence]
+    spark: SparkSession, dim: DataFrame, stream: StreamConfig, hot: Mapping[int, Sequence], kind: str
 ) -> DataFrame:
     """Store the salted dimension in one bucket per shuffle partition.
 
     Every micro-batch then shuffles its messages only.
     """
     key = stream.features.key
-    path = f"{stream.checkpoint}/dimension-buckets"
-    buckets = stream.state_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = f"{stream.checkpoint}/{kind}-dimension-buckets"
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     name = f"podium_dimension_{sha256(path.encode()).hexdigest()[:16]}"
     (
         salt_dimension(dim, key, hot)
@@ -162,25 +167,32 @@ def start(writer: DataStreamWriter, checkpoint: str, trigger: str | None = None)
     return writer.trigger(availableNow=True).start()
 
 
-def state_settings(stream: StreamConfig) -> dict[str, str]:
-    """The checkpoint fixes these at first start."""
-    partitions = stream.state_partitions
+def state_settings(stream: StreamConfig, dimension: Dimension) -> dict[str, str]:
+    """The checkpoint fixes these at first start.
+
+    A query has one number of shuffle partitions. Only where the dimension is broadcast is the state alone in
+    them; a join that shuffles keeps the session's number.
+    """
+    partitions = stream.state_partitions if dimension.hot is None else None
     return {"spark.sql.shuffle.partitions": str(partitions)} if partitions else {}
 
 
-def sinks_of(stream: StreamConfig, keys: Sequence[str] = ()) -> dict[str, Sink]:
+def sinks_of(stream: StreamConfig, owner: int, keys: Sequence[str] = ()) -> dict[str, Sink]:
     """The configured sinks; rows of a batch are told apart by the group columns and ``keys``.
 
-    Messages and table rows carry the batch id, so that readers recognise a repeated one.
+    Messages and table rows carry the stream's and the batch's id: another checkpoint may use the same
+    sinks, and readers recognise a repeated row.
     """
     keys = [*keys, *stream.features.keys]
     found: dict[str, Sink] = {}
     if stream.out_topic:
         found["topic"] = lambda batch, batch_id: write_topic(
-            with_batch_id(batch, batch_id), stream.out_topic, keys, load_id=str(batch_id)
+            with_batch_id(batch, batch_id, owner), stream.out_topic, keys, load_id=f"{owner}-{batch_id}"
         )
     if stream.out_table:
-        found["table"] = lambda batch, batch_id: append_batch(batch, stream.out_table, batch_id, keys)
+        found["table"] = lambda batch, batch_id: append_batch(
+            batch, stream.out_table, batch_id, keys, owner
+        )
     return found
 
 
@@ -194,8 +206,10 @@ def start_feature_stream(
     """Start the main query (changed groups) and, if asked for, the diagnostic one (all groups)."""
     dimension = dim if isinstance(dim, Dimension) else prepare_dimension(spark, dim, stream, schema)
     running = feature_stream(spark, stream, dimension, schema)
-    with settings(spark, state_settings(stream)):
-        fan_out = FanOut(stream.history, sinks_of(stream) if sinks is None else sinks)
+    owner = stream_id(spark, f"{stream.checkpoint}/main")
+    claim_history(spark, stream.history, owner)
+    with settings(spark, state_settings(stream, dimension)):
+        fan_out = FanOut(stream.history, sinks_of(stream, owner) if sinks is None else sinks)
         main = running.writeStream.outputMode("update").foreachBatch(fan_out)
         started = [start(main, f"{stream.checkpoint}/main", stream.trigger)]
         if stream.snapshot:
@@ -233,6 +247,30 @@ def run_feature_stream(
     await_all(start_feature_stream(spark, stream, dim, schema, sinks))
 
 
+def run_refreshed_stream(
+    spark: SparkSession,
+    stream: StreamConfig,
+    dim: Callable[[], DataFrame],
+    schema: StructType,
+    sinks: dict[str, Sink] | None = None,
+    rounds: int | None = None,
+) -> None:
+    """Take what is waiting every ``refresh_seconds``, each time with the dimension as it is then.
+
+    ``dim`` opens the dimension anew; it is stored and measured again for each round, so that one that
+    has outgrown the limit is no longer broadcast. The rounds share one checkpoint and so one running state.
+    Messages are joined once, with the rows of their round.
+    """
+    bounded = replace(stream, trigger=None, snapshot_trigger=None)
+    done = 0
+    while rounds is None or done < rounds:
+        began = time.monotonic()
+        run_feature_stream(spark, bounded, dim(), schema, sinks)
+        done += 1
+        if rounds is None or done < rounds:
+            time.sleep(max(0.0, (stream.refresh_seconds or 0.0) - (time.monotonic() - began)))
+
+
 def feature_schema(stream: StreamConfig, schema: StructType, dim: DataFrame) -> StructType:
     """Schema of the history: key types follow the message and the dimension."""
     f = stream.features

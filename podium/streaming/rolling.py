@@ -10,6 +10,7 @@ from podium.config import RollingConfig, StreamConfig
 from podium.operators.aggregates import collapsed_averages, window_bounds
 from podium.session import settings
 from podium.sinks.fanout import FanOut
+from podium.sinks.history import claim_history, stream_id
 from podium.streaming.features import (
     Dimension,
     await_all,
@@ -32,6 +33,11 @@ def rolling_stream(
     joined = enriched_stream(
         spark, stream, dimension, schema, event_time=rolling.event_time, delay=rolling.delay
     )
+    joined = joined.observe(
+        "times",
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count_if(F.col(rolling.event_time).isNull()).alias("n_without_time"),
+    )
     window = F.window(rolling.event_time, rolling.size, rolling.slide or rolling.size, rolling.offset)
     averaged = collapsed_averages(joined, stream.features, stream.features.time_column, window)
     return window_bounds(averaged)
@@ -46,13 +52,22 @@ def run_rolling_stream(
 ) -> StructType:
     """Append each window to all sinks when the watermark closes it; returns the history's schema.
 
-    The join keeps no state, so order does not matter to it. Rows later than the delay may be dropped.
+    The join keeps no state, so order does not matter to it. Rows later than the delay may be dropped. If
+    none of the messages read has an event time, that is an error.
     """
-    dimension = dim if isinstance(dim, Dimension) else prepare_dimension(spark, dim, stream, schema)
+    dimension = dim if isinstance(dim, Dimension) else prepare_dimension(
+        spark, dim, stream, schema, "rolling"
+    )
     windows = rolling_stream(spark, stream, rolling, dimension, schema)
-    fan_out = FanOut(stream.history, sinks_of(stream, ("window_start", "window_end")))
+    owner = stream_id(spark, f"{stream.checkpoint}/rolling")
+    claim_history(spark, stream.history, owner)
+    fan_out = FanOut(stream.history, sinks_of(stream, owner, ("window_start", "window_end")))
     writer = windows.writeStream.outputMode("append").foreachBatch(fan_out)
-    with settings(spark, state_settings(stream)):
+    with settings(spark, state_settings(stream, dimension)):
         query = start(writer, f"{stream.checkpoint}/rolling", stream.trigger)
     await_all([query])
+    told = [p.observedMetrics.get("times") for p in query.recentProgress]
+    read = sum(m["n_rows"] for m in told if m)
+    if read and read == sum(m["n_without_time"] for m in told if m):
+        raise ValueError(f"none of {read} messages has a time in {rolling.event_time}: no window can close")
     return windows.schema
