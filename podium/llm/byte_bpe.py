@@ -21,9 +21,12 @@ vocabulary raise an error on decoding.
 from __future__ import annotations
 
 import base64
+import re
+import struct
+import unicodedata
 from collections.abc import Iterator
 from functools import cache
-from itertools import islice
+from itertools import groupby, islice, pairwise
 from pathlib import Path
 
 import numpy as np
@@ -34,19 +37,43 @@ from pyspark.sql import functions as F
 
 #: Ranks are sent to every executor; a larger file is refused.
 MAX_RANK_BYTES = 64 << 20
-MAX_STATES = 300_000
-MAX_WORDS = 400_000
+#: What a worker remembers at most; beyond, it forgets and goes on.
+MAX_STATES = 150_000
+MAX_PAIRS = 300_000
+MAX_WORDS = 250_000
+
+_NONE = 1 << 30
+
+
+@cache
+def _spelled_out(pattern: str) -> re.Pattern | None:
+    """The split pattern in classes of the standard module, twice as fast, for texts without characters beyond U+FFFF.
+
+    The standard module knows no Unicode properties, and its ``\\s`` has U+001C to U+001F as well.
+    """
+
+    def ranges(initial: str) -> str:
+        wanted = (i for i in range(0x10000) if unicodedata.category(chr(i))[0] == initial)
+        runs = [list(run) for _, run in groupby(enumerate(wanted), lambda pair: pair[1] - pair[0])]
+        return "".join(f"{chr(run[0][1])}-{chr(run[-1][1])}" for run in runs)
+
+    space = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+    letters, numbers = ranges("L"), ranges("N")
+    pattern = pattern.replace(r"[^\s\p{L}\p{N}]", f"[^{space}{letters}{numbers}]")
+    for plain, spelled in ((r"\p{L}", letters), (r"\p{N}", numbers), (r"\s", space), (r"\S", f"^{space}")):
+        pattern = pattern.replace(plain, f"[{spelled}]")
+    return None if r"\p" in pattern else re.compile(pattern)
 
 
 class _State:
-    """Places where a token may still begin: (bytes since then, token before, tokens since the last emitted one).
+    """Places where a token may still begin: (vocabulary trie node since then, token before, tokens since the last emitted).
 
     The last place is the end of what was read, so its tokens complete the word if it ends here.
     """
 
     __slots__ = ("hops", "open", "rest")
 
-    def __init__(self, open_: tuple[tuple[bytes, int, tuple[int, ...]], ...]) -> None:
+    def __init__(self, open_: tuple[tuple[int, int, tuple[int, ...]], ...]) -> None:
         self.open = open_
         self.rest = open_[-1][2]
         self.hops: dict[int, tuple[_State, tuple[int, ...]]] = {}
@@ -58,66 +85,83 @@ class Transducer:
     def __init__(self, ranks: dict[bytes, int], max_states: int = MAX_STATES) -> None:
         self.ranks = ranks
         self.bytes_of: dict[int, bytes] = {rank: token for token, rank in ranks.items()}
-        self.prefixes = {token[:k] for token in ranks for k in range(1, len(token))}
+        # A trie of the tokens that merges alone form: node and byte to node, and the token that ends at a node.
+        self._step: dict[int, int] = {}
+        self._token, self._goes_on = [-1], [True]
+        for token, rank in ranks.items():
+            if self.merge(token) != [rank]:
+                continue
+            node = 0
+            for byte in token:
+                self._goes_on[node] = True
+                node = self._step.setdefault(node << 8 | byte, len(self._token))
+                if node == len(self._token):
+                    self._token.append(-1)
+                    self._goes_on.append(False)
+            self._token[node] = rank
         self.max_states = max_states
-        self._pairs: dict[tuple[int, int], bool] = {}
-        self._whole: dict[int, bool] = {}
+        self._pairs: dict[int, bool] = {}
         self._reset()
 
     def _reset(self) -> None:
-        self.root = _State(((b"", -1, ()),))
+        self.root = _State(((0, -1, ()),))
         self._states = {self.root.open: self.root}
 
     def merge(self, word: bytes) -> list[int]:
         """The definition: join the neighbours of lowest rank, leftmost first, until none can be joined."""
         parts = [word[i : i + 1] for i in range(len(word))]
-        while len(parts) > 1:
-            rank, i = min((self.ranks.get(parts[i] + parts[i + 1], 1 << 30), i) for i in range(len(parts) - 1))
-            if rank == 1 << 30:
-                break
+        get = self.ranks.get
+        ranks = [get(a + b, _NONE) for a, b in pairwise(parts)]
+        while ranks and (least := min(ranks)) != _NONE:
+            i = ranks.index(least)
             parts[i : i + 2] = [parts[i] + parts[i + 1]]
+            del ranks[i]
+            if i:
+                ranks[i - 1] = get(parts[i - 1] + parts[i], _NONE)
+            if i < len(ranks):
+                ranks[i] = get(parts[i] + parts[i + 1], _NONE)
         return [self.ranks[part] for part in parts]
 
-    def _reached(self, token: int) -> bool:
-        """Whether merges alone ever form the token."""
-        known = self._whole.get(token)
-        if known is None:
-            known = self._whole[token] = self.merge(self.bytes_of[token]) == [token]
-        return known
-
     def _together(self, left: int, right: int) -> bool:
-        known = self._pairs.get((left, right))
-        if known is None:
-            joined = self.bytes_of[left] + self.bytes_of[right]
-            known = self._pairs[left, right] = self.merge(joined) == [left, right]
+        """Whether two tokens may stand side by side."""
+        joined = self.bytes_of[left] + self.bytes_of[right]
+        if len(self._pairs) >= MAX_PAIRS:
+            self._pairs.clear()
+        known = self._pairs[left << 32 | right] = self.merge(joined) == [left, right]
         return known
 
     def _hop(self, state: _State, byte: int) -> tuple[_State, tuple[int, ...]]:
         end = None
         open_ = []
-        step = bytes((byte,))
-        for since, left, chain in state.open:
-            since += step
-            token = self.ranks.get(since)
-            if end is None and token is not None and self._reached(token) and (left < 0 or self._together(left, token)):
-                end = (b"", token, (*chain, token))
-            if since in self.prefixes:
-                open_.append((since, left, chain))
+        for node, left, chain in state.open:
+            node = self._step.get(node << 8 | byte)
+            if node is None:
+                continue
+            token = self._token[node]
+            if token >= 0 and end is None:
+                known = left < 0 or self._pairs.get(left << 32 | token)
+                if known or known is None and self._together(left, token):
+                    end = (0, token, (*chain, token))
+            if self._goes_on[node]:
+                open_.append((node, left, chain))
         if end is None:
             raise ValueError(f"no token ends with byte {byte} here")
         open_.append(end)
-        shared = min(len(chain) for _, _, chain in open_)
         done = 0
-        while done < shared and all(chain[done] == end[2][done] for _, _, chain in open_):
-            done += 1
-        emitted = end[2][:done]
-        key = tuple((since, left, chain[done:]) for since, left, chain in open_) if done else tuple(open_)
+        if open_[0][2]:
+            last = end[2]
+            shared = min([len(chain) for _, _, chain in open_])
+            while done < shared and all([chain[done] == last[done] for _, _, chain in open_]):
+                done += 1
+        if done:
+            open_ = [(node, left, chain[done:]) for node, left, chain in open_]
+        key = tuple(open_)
         target = self._states.get(key)
         if target is None:
             if len(self._states) >= self.max_states:
                 self._reset()
             target = self._states[key] = _State(key)
-        hop = state.hops[byte] = (target, emitted)
+        hop = state.hops[byte] = (target, end[2][:done])
         return hop
 
     def encode(self, word: bytes) -> list[int]:
@@ -139,10 +183,11 @@ class Encoder(dict):
     def __init__(self, ranks: dict[bytes, int], pattern: str) -> None:
         super().__init__()
         self.transducer = Transducer(ranks)
-        self.pattern = regex.compile(pattern)
+        self.pattern, self.plain = regex.compile(pattern), _spelled_out(pattern)
 
     def __missing__(self, word: str) -> bytes:
-        ids = np.array(self.transducer.encode(word.encode()), "<u4").tobytes()
+        found = self.transducer.encode(word.encode())
+        ids = struct.pack(f"<{len(found)}I", *found)
         if len(word) <= 64:
             if len(self) >= MAX_WORDS:
                 self.clear()
@@ -153,7 +198,8 @@ class Encoder(dict):
         if not text:
             return b""
         if len(text) < 1 << 22:
-            return b"".join(map(self.__getitem__, self.pattern.findall(text)))
+            narrow = self.plain and len(text.encode("utf-16-le")) == 2 * len(text)
+            return b"".join(map(self.__getitem__, (self.plain if narrow else self.pattern).findall(text)))
         words = (match.group() for match in self.pattern.finditer(text))
         parts = []
         while part := b"".join(map(self.__getitem__, islice(words, 1 << 16))):
