@@ -302,3 +302,29 @@ def lake_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
         features=ORDER_FEATURES,
     )
     return run_lake(spark, lake)
+
+
+@query(
+    """
+SELECT o_orderstatus, c_mktsegment, CAST(3 AS BIGINT) AS n_plans,
+       round(CAST(sum(CAST(o_totalprice AS DECIMAL(12, 2))) AS DOUBLE) / count(*) + 1e-7, 4) AS avg_o_totalprice,
+       round(CAST(sum(CAST(c_acctbal AS DECIMAL(12, 2))) AS DOUBLE) / count(*) + 1e-7, 4) AS avg_c_acctbal
+FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY ALL
+"""
+)
+def gold_decimal_plans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Decimal averages are the same to the last digit however the sides are joined."""
+    features = replace(
+        ORDER_FEATURES, fact_keys=("o_orderstatus",), dim_keys=("c_mktsegment",), measure_type="decimal(12,2)"
+    )
+    dim = _customers(spark, sf_dir)
+    dim = dim.union(dim)  # two rows per key, one group
+    plans = (SizingConfig(), SizingConfig(broadcast_rows_per_key=1), LARGE)
+    found = [feature_table(_orders(spark, sf_dir), dim, features, sizing) for sizing in plans]
+    rows = found[0].union(found[1]).union(found[2])
+    counted = rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("n_plans"))
+    return counted.select(
+        *features.keys,
+        "n_plans",
+        *(settled(F.col(f"avg_{m}").cast("double"), 4).alias(f"avg_{m}") for m in features.measures),
+    )

@@ -98,6 +98,8 @@ class SizingConfig:
     broadcast_bytes: int = 128 * 1024 * 1024
     broadcast_rows_per_key: int = 4
     hot_share: float = 0.001
+    part_rows: int = 20_000_000  # rows of one hot key that may meet in a task
+    stream_parts: int = 8  # of every key, in a shuffled stream join without a list of hot keys
 
 
 @dataclass(frozen=True)

@@ -6,6 +6,7 @@ from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, DecimalType
 
 from podium.config import FeatureConfig, SizingConfig
 from podium.operators.joins import align_keys
@@ -38,29 +39,47 @@ def feature_averages(
     return df.groupBy(*keys).agg(*_averages(measures), *_processing_time(time_column))
 
 
+def _summed(measure: str, kind: DataType) -> Column:
+    """The measure as it is summed: decimals exactly, everything else as double."""
+    return F.col(measure) if isinstance(kind, DecimalType) else F.col(measure).cast("double")
+
+
 def collapse(df: DataFrame, keys: Sequence[str], measures: Sequence[str]) -> DataFrame:
     """One row per key group: row count, and sum and count of each measure."""
     parts = [F.count(F.lit(1)).alias(_ROWS)]
     for m in measures:
-        parts += [F.sum(F.col(m).cast("double")).alias(_sum(m)), F.count(m).alias(_count(m))]
+        parts += [F.sum(_summed(m, df.schema[m].dataType)).alias(_sum(m)), F.count(m).alias(_count(m))]
     return df.groupBy(*keys).agg(*parts)
 
 
+def _average(kind: DataType, total: Column, count: Column, weight: Column) -> Column:
+    """Sum over count, in one arithmetic whatever the rows were collapsed to before.
+
+    ``kind`` is the type of the measure. Decimals are summed exactly, so that the way of joining cannot show;
+    weights must leave room in 38 digits. Other numbers are doubles: products of counts may leave the range
+    of long.
+    """
+    if not isinstance(kind, DecimalType):
+        return F.try_divide(F.sum(total * weight), F.sum(count.cast("double") * weight))
+    digits = 38 - 1 - (kind.precision + 10)
+    if digits < 6:
+        raise ValueError(f"averages take decimals of at most 21 digits: {kind.simpleString()}")
+    weight = weight.cast(DecimalType(digits, 0))
+    total = total.cast(DecimalType(kind.precision + 10, kind.scale))
+    n = F.sum(count.cast(DecimalType(20, 0)) * weight.cast(DecimalType(min(digits, 17), 0)))
+    result = DecimalType(kind.precision + 4, min(kind.scale + 4, kind.precision + 4))
+    return F.try_divide(F.sum(total * weight), n.cast(DecimalType(20, 0))).cast(result)
+
+
 def weighted_averages(
     df: DataFrame,
     keys: Sequence[str | Column],
-    weights: dict[str, tuple[Column, Column, Column]],
+    weights: dict[str, tuple[DataType, Column, Column, Column]],
     time_column: str | None = None,
 ) -> DataFrame:
-    """Averages from (sum, count, weight) per measure; a group without values averages to NULL.
-
-    Weighted counts are doubles: products of counts may leave the range of long.
-    """
+    """Averages from (type, sum, count, weight) per measure; a group without values averages to NULL."""
     return df.groupBy(*keys).agg(
-        *(
-            F.try_divide(F.sum(total * weight), F.sum(count.cast("double") * weight)).alias(f"avg_{m}")
-            for m, (total, count, weight) in weights.items()
-        ),
+        *(_average(*parts).alias(f"avg_{m}") for m, parts in weights.items()),
         *_processing_time(time_column),
     )
 
@@ -77,16 +96,22 @@ def joined_averages(
     A dimension that is measured small, with few rows or groups per key, is broadcast: the facts are
     averaged where they lie and only partial sums are shuffled. Otherwise both sides are first
     collapsed to one row per join key and group, so that a key held by many rows on either side, or on
-    both, meets as a few weighted rows and its pairs are never formed.
+    both, meets as a few weighted rows and its pairs are never formed. Types and arithmetic of the
+    averages are the same in each case.
     """
     f = features
     facts = facts.select(f.key, *f.fact_keys, *f.fact_measures)
     dim = dim.select(f.key, *f.dim_keys, *f.dim_measures)
     facts, dim = align_keys(facts, dim, f.key)
+    kinds = {m: facts.schema[m].dataType for m in f.fact_measures}
+    kinds |= {m: dim.schema[m].dataType for m in f.dim_measures}
     small = may_broadcast(dim, f.key, sizing, profile)
     if small and most_rows_per_key(dim, [f.key]) <= sizing.broadcast_rows_per_key:
         joined = facts.join(F.broadcast(dim), f.key)
-        return stamp(feature_averages(joined, f.keys, f.measures), f.time_column)
+        plain = {
+            m: (kinds[m], _summed(m, kinds[m]), F.col(m).isNotNull().cast("int"), F.lit(1)) for m in f.measures
+        }
+        return stamp(weighted_averages(joined, f.keys, plain), f.time_column)
     groups = dim.select(f.key, *f.dim_keys).distinct()
     if small and most_rows_per_key(groups, [f.key]) <= sizing.broadcast_rows_per_key:
         joined = facts.join(F.broadcast(collapse_dimension(dim, f)), f.key)
@@ -96,8 +121,8 @@ def joined_averages(
     right = collapse(dim.where(F.col(f.key).isNotNull()), [f.key, *f.dim_keys], f.dim_measures)
     left = left.withColumnRenamed(_ROWS, "__left")
     right = right.withColumnRenamed(_ROWS, "__right")
-    weights = {m: (F.col(_sum(m)), F.col(_count(m)), F.col("__right")) for m in f.fact_measures}
-    weights |= {m: (F.col(_sum(m)), F.col(_count(m)), F.col("__left")) for m in f.dim_measures}
+    weights = {m: (kinds[m], F.col(_sum(m)), F.col(_count(m)), F.col("__right")) for m in f.fact_measures}
+    weights |= {m: (kinds[m], F.col(_sum(m)), F.col(_count(m)), F.col("__left")) for m in f.dim_measures}
     if not small:
         right = right.hint("merge")
     # Bounded per key by its groups, so this join needs no salting.
@@ -116,11 +141,15 @@ def collapsed_averages(
     window: Column | None = None,
 ) -> DataFrame:
     """Averages of rows enriched with a collapsed dimension, batch or stream, per window if given."""
-    one = F.lit(1)
-    weights = {
-        m: (F.col(m), F.col(m).isNotNull().cast("int"), F.col(_ROWS)) for m in features.fact_measures
-    }
-    weights |= {m: (F.col(_sum(m)), F.col(_count(m)), one) for m in features.dim_measures}
+    weights = {}
+    for m in features.fact_measures:
+        kind = joined.schema[m].dataType
+        weights[m] = (kind, _summed(m, kind), F.col(m).isNotNull().cast("int"), F.col(_ROWS))
+    for m in features.dim_measures:
+        kind = joined.schema[_sum(m)].dataType
+        if isinstance(kind, DecimalType):
+            kind = DecimalType(kind.precision - 10, kind.scale)  # a sum has ten digits more
+        weights[m] = (kind, F.col(_sum(m)), F.col(_count(m)), F.lit(1))
     keys = [*features.keys] if window is None else [window.alias("window"), *features.keys]
     return weighted_averages(joined, keys, weights, time_column)
 

@@ -23,9 +23,12 @@ _SEED = 17
 def hot_keys(facts: DataFrame, key: str, sizing: SizingConfig = SizingConfig()) -> dict[int, list]:
     """Keys holding more than ``hot_share`` of the rows, by the number of parts to split them into.
 
-    Parts are powers of two, enough that each holds at most ``hot_share`` of the rows. One pass and
-    one sketch row of at most ``1 / hot_share`` keys; the list only steers salting, never a result.
+    Parts are powers of two, enough that each holds at most ``hot_share`` of the rows and ``part_rows``
+    rows. One pass and one sketch row of at most ``1 / hot_share`` keys, which Spark limits to shares of
+    1e-5 and more; the list only steers salting, never a result.
     """
+    if not 1e-5 <= sizing.hot_share <= 1:
+        raise ValueError(f"hot_share must lie between 1e-5 and 1: {sizing.hot_share}")
     most = int(1 / sizing.hot_share)
     found = (
         facts.where(F.col(key).isNotNull())
@@ -37,7 +40,7 @@ def hot_keys(facts: DataFrame, key: str, sizing: SizingConfig = SizingConfig())
     )
     hot: dict[int, list] = {}
     for row in found["top"] or []:
-        parts = math.ceil(row["count"] / (sizing.hot_share * found["n"]))
+        parts = math.ceil(row["count"] / min(sizing.hot_share * found["n"], sizing.part_rows))
         if parts > 1:
             hot.setdefault(1 << (parts - 1).bit_length(), []).append(row["item"])
     return hot
@@ -65,44 +68,50 @@ def keep_one_side(facts: DataFrame, dim: DataFrame, key: str, keep_from: str | N
     raise ValueError(f"columns on both sides, say keep_from='facts' or 'dim': {shared}")
 
 
-def _spread(facts: DataFrame, parts: Column) -> Column:
-    """A number below ``parts`` that a repeated task computes again for the same row.
-
-    The records of a micro-batch are read in a fixed order, so there a seeded random number serves. In
-    a batch the facts may come from a shuffle, whose order is not fixed: the row itself decides.
-    """
-    if facts.isStreaming:
-        return F.floor(F.rand(_SEED) * parts).cast("int")
-    plain = [f.name for f in facts.schema.fields if isinstance(f.dataType, AtomicType)]
-    return F.pmod(F.xxhash64(*(F.col(f"`{name}`") for name in plain)), parts).cast("int")
-
-
-def _parts(key: str, hot: Mapping[int, Sequence]) -> Column:
+def _parts(key: str, hot: Mapping[int, Sequence], others: int = 1) -> Column:
     parts = F.when(F.col(key).isNull(), _MISSING_PARTS)
     for count, keys in hot.items():
         parts = parts.when(F.col(key).isin(list(keys)), count)
-    return parts.otherwise(1)
+    return parts.otherwise(others)
 
 
-def salt_facts(facts: DataFrame, key: str, hot: Mapping[int, Sequence]) -> DataFrame:
-    """Spread hot and missing keys over their parts."""
-    return facts.withColumn(SALT, _spread(facts, _parts(key, hot)))
+def salt_facts(facts: DataFrame, key: str, hot: Mapping[int, Sequence], others: int = 1) -> DataFrame:
+    """Deal the rows of hot and missing keys to their parts, the same way when a task is repeated.
+
+    The records of a micro-batch are read in a fixed order, so there a seeded random number serves. In
+    a batch the facts may come from a shuffle, whose order is not fixed: rows are sorted within their
+    partition and dealt by their place, so that equal rows are spread as well.
+    """
+    parts = _parts(key, hot, others)
+    if facts.isStreaming:
+        return facts.withColumn(SALT, F.floor(F.rand(_SEED) * parts).cast("int"))
+    rest = [f.name for f in facts.schema.fields if isinstance(f.dataType, AtomicType) and f.name != key]
+    ordered = facts.sortWithinPartitions(key, *(F.col(f"`{name}`") for name in rest))
+    return ordered.withColumn(SALT, F.pmod(F.xxhash64(F.monotonically_increasing_id()), parts).cast("int"))
 
 
-def salt_dimension(dim: DataFrame, key: str, hot: Mapping[int, Sequence]) -> DataFrame:
+def salt_dimension(dim: DataFrame, key: str, hot: Mapping[int, Sequence], others: int = 1) -> DataFrame:
     """Repeat the rows of hot keys once per part."""
-    every = F.sequence(F.lit(0), _parts(key, hot) - 1)
+    every = F.sequence(F.lit(0), _parts(key, hot, others) - 1)
     return dim.where(F.col(key).isNotNull()).withColumn(SALT, F.explode(every))
 
 
 def join_salted(
-    facts: DataFrame, salted: DataFrame, key: str, hot: Mapping[int, Sequence], how: str = "inner"
+    facts: DataFrame,
+    salted: DataFrame,
+    key: str,
+    hot: Mapping[int, Sequence],
+    how: str = "inner",
+    others: int = 1,
 ) -> DataFrame:
     """Shuffled join with a dimension that is salted for the same hot keys.
 
-    The hint keeps compressed file sizes from suggesting a broadcast of a side measured too large.
+    The hint keeps compressed file sizes from suggesting a broadcast of a side measured too large. Without
+    hot keys, and where missing ones drop out anyway, no salt is needed.
     """
-    return salt_facts(facts, key, hot).join(salted.hint("merge"), [key, SALT], how).drop(SALT)
+    if how == "inner" and not hot and others == 1:
+        return facts.join(salted.drop(SALT).hint("merge"), key)
+    return salt_facts(facts, key, hot, others).join(salted.hint("merge"), [key, SALT], how).drop(SALT)
 
 
 def enrich(
@@ -119,7 +128,8 @@ def enrich(
 
     A dimension measured below the limit is broadcast and the facts never move. Measuring computes the
     side once more: for one that is itself a large join say so with a negative limit. A larger side is
-    shuffled, with the hot keys of the facts salted; a stream passes ``hot`` since it cannot be counted.
+    shuffled, with the hot keys of the facts salted; a stream cannot be counted, so without ``hot`` all its
+    keys are salted over ``stream_parts``.
     Adaptive execution, where it applies, splits what is left of a skewed partition. Select the
     columns you need first: all of them decide the salt.
     """
@@ -129,6 +139,7 @@ def enrich(
     facts, dim = align_keys(facts, dim, key)
     if may_broadcast(dim, key, sizing, profile):
         return facts.join(F.broadcast(dim), key, how)
+    others = sizing.stream_parts if hot is None and facts.isStreaming else 1
     if hot is None:
         hot = {} if facts.isStreaming else hot_keys(facts, key, sizing)
-    return join_salted(facts, salt_dimension(dim, key, hot), key, hot, how)
+    return join_salted(facts, salt_dimension(dim, key, hot, others), key, hot, how, others)

@@ -94,7 +94,7 @@ def test_publish_and_stream_jobs(spark, tmp_path):
         topic, str(tmp_path / "c"), str(tmp_path / "h"), out_table=table("features"), state_partitions=2
     )
     run("feature_stream", tmp_path, StreamJobConfig(stream, dim_table=table("bios")))
-    (row,) = read_jdbc(spark, table("features")).drop("calculated_at").collect()
+    (row,) = read_jdbc(spark, table("features")).drop("calculated_at", "stream_id").collect()
     assert row.asDict() == {
         "sport": "Judo", "medal": "Gold", "country_noc": "USA", "sex": "M",
         "avg_height": 180.0, "avg_weight": 80.0, "batch_id": 0,
@@ -122,7 +122,8 @@ def test_rolling_job(spark, tmp_path):
     found = spark.read.parquet(stream.history)
     assert [r.avg_height for r in found.collect()] == [180.0, 180.0]
     stored = read_jdbc(spark, table)
-    assert stored.drop("batch_id").exceptAll(found.select(stored.drop("batch_id").columns)).isEmpty()
+    stored = stored.drop("stream_id", "batch_id")
+    assert stored.exceptAll(found.select(stored.columns)).isEmpty()
     assert stored.count() == read_topic(spark, stream.out_topic).count() == 2
 
 

@@ -9,6 +9,7 @@ from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 from podium.config import FeatureConfig, SizingConfig
 from podium.operators import (
@@ -101,7 +102,7 @@ def test_joined_averages_of_all_missing_values(spark):
 def test_weighted_counts_do_not_overflow(spark):
     rows = spark.createDataFrame([("a", "M", 4 * 10**12, 2.0)], "sport string, sex string, n long, v double")
     n = F.col("n")
-    weights = {"v": (F.col("v") * n, n, n)}
+    weights = {"v": (DoubleType(), F.col("v") * n, n, n)}
     assert weighted_averages(rows, ["sport", "sex"], weights).first().avg_v == 2.0
 
 
@@ -131,9 +132,48 @@ def test_hot_rows_spread_evenly_and_repeatably(spark):
         repeated = salt_dimension(dim, "k", {16: [7]})
         rows = salted.groupBy("__salt").agg(F.count(F.lit(1)).alias("n"), F.sum("id").alias("s"))
         sizes.append({r["__salt"]: (r.n, r.s) for r in rows.collect()})
+        assert sizes[-1] == {r["__salt"]: (r.n, r.s) for r in rows.collect()}
+        assert set(sizes[-1]) == set(range(16))
+        assert max(n for n, _ in sizes[-1].values()) < 1.2 * 20000 / 16
         assert repeated.groupBy("k").count().orderBy("k").collect() == [(7, 16), (8, 1)]
-    assert sizes[0] == sizes[1] and set(sizes[0]) == set(range(16))
-    assert max(n for n, _ in sizes[0].values()) < 1.2 * 20000 / 16
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_equal_hot_rows_spread(spark, how):
+    facts = spark.range(40000).select(F.when(F.col("id") % 2 == 0, 7 if how == "inner" else None).otherwise(F.col("id")).alias("k"))
+    salted = salt_facts(facts.repartition(4, "k"), "k", {64: [7]})
+    spread = salted.where("k = 7 or k is null").groupBy("k", "__salt").count().select("count")
+    counts = sorted(r["count"] for r in spread.collect())
+    assert counts[-1] <= 2 * counts[len(counts) // 2]
+
+
+def test_hot_share_is_checked(spark):
+    with pytest.raises(ValueError, match="hot_share"):
+        hot_keys(spark.range(3), "id", SizingConfig(hot_share=1e-6))
+
+
+def test_hot_keys_are_split_by_rows(spark):
+    facts = spark.range(1000).select((F.col("id") % 2).alias("k"))
+    assert hot_keys(facts, "k", SizingConfig(hot_share=0.4, part_rows=100)) == {8: [0, 1]} or hot_keys(
+        facts, "k", SizingConfig(hot_share=0.4, part_rows=100)
+    ) == {8: [1, 0]}
+
+
+@pytest.mark.parametrize("kind", ["decimal(12,2)", "decimal(20,4)", "double", "float"])
+def test_averages_have_one_type(spark, kind):
+    facts = spark.range(60).selectExpr("id % 7 AS k", f"cast(id / 3.0 AS {kind}) AS x", "id % 2 AS a")
+    dim = spark.range(7).selectExpr("id AS k", f"cast(id / 7.0 AS {kind}) AS y", "id % 3 AS b")
+    dim = dim.union(dim)
+    f = FeatureConfig("k", ("a",), ("b",), ("x",), ("y",), kind, None)
+    plans = (SizingConfig(), SizingConfig(broadcast_rows_per_key=1), SizingConfig(broadcast_bytes=-1))
+    found = [joined_averages(facts, dim, f, sizing) for sizing in plans]
+    assert len({str(frame.schema) for frame in found}) == 1
+    rows = [sorted(map(tuple, frame.collect())) for frame in found]
+    if kind.startswith("decimal"):
+        assert rows[0] == rows[1] == rows[2]
+    else:
+        for other in rows[1:]:
+            assert all(a == pytest.approx(b) for a, b in zip(rows[0], other))
 
 
 def test_hot_keys_follow_the_share(spark):

@@ -33,7 +33,7 @@ def read(spark, name):
 
 def test_gold_broadcasts_and_shuffles_only_partial_averages(spark):
     plan = plan_of(registered.queries()["gold_avg_stats"](spark, SF_DIR))
-    assert "BroadcastHashJoin" in plan and "partial_avg" in plan
+    assert "BroadcastHashJoin" in plan and "partial_sum" in plan
     assert plan.count("hashpartitioning") == 1
     assert "ReadSchema: struct<o_custkey:bigint,o_orderstatus:string,o_totalprice:double,o_orderpriority:string>" in plan
 

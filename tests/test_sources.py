@@ -12,6 +12,7 @@ from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 from podium.config import JdbcConfig, PublishConfig, TopicConfig
 from podium.functions import parse_messages
 from podium.plans import publish_facts
+from podium.sinks.jdbc import run_transaction
 from podium.sinks import append_batch, append_rows, write_topic
 from podium.sources import ingest_landing, read_csv, read_jdbc, read_topic, stream_topic
 from podium.sources.topic import file_options, kafka_options
@@ -67,11 +68,15 @@ def test_documents_split_without_multi_line(spark, tmp_path):
 
 
 @pytest.mark.parametrize("kind", ["parquet", "text"])
-def test_topic_loads_replace_themselves(spark, tmp_path, kind):
+def test_topic_loads_are_final(spark, tmp_path, kind):
     topic = TopicConfig(str(tmp_path / "topic"), kind)
     rows = spark.range(10).selectExpr("id", "concat('line\n', id) AS text")
-    for _ in range(2):
-        write_topic(rows, topic, ["id"], load_id="1")
+    write_topic(rows, topic, ["id"], load_id="1")
+    before = sorted(p.name for p in (tmp_path / "topic" / "load-1").iterdir())
+    write_topic(rows.limit(3), topic, ["id"], load_id="1")
+    assert sorted(p.name for p in (tmp_path / "topic" / "load-1").iterdir()) == before
+    # What an interrupted load left behind is not read.
+    rows.selectExpr("cast('x' as binary) key", "cast('x' as binary) value").write.parquet(f"{topic.name}/_loading-9")
     write_topic(rows, topic, ["id"], load_id="2")
     found = parse_messages(read_topic(spark, topic), rows.schema)
     assert found.count() == 20 and found.exceptAll(rows.union(rows)).isEmpty()
@@ -165,6 +170,18 @@ def test_batch_is_appended_once(spark, database):
     append_batch(rows, database, 1, ["k"])
     found = sorted((r.batch_id, r.k or "", r.v) for r in read_jdbc(spark, database).collect())
     assert [f[:2] for f in found] == [(0, ""), (0, "a"), (0, "c"), (1, ""), (1, "a"), (1, "c")]
+    append_batch(rows, database, 0, ["k"], stream=5)
+    append_batch(rows.union(rows), database, 2, ["k"])  # as if a task had repeated its rows
+    counts = {(r.stream_id, r.batch_id): r["count"] for r in read_jdbc(spark, database).groupBy("stream_id", "batch_id").count().collect()}
+    assert counts == {(0, 0): 3, (0, 1): 3, (5, 0): 3, (0, 2): 3}
+
+
+def test_failed_transaction_changes_nothing(spark, database):
+    rows = spark.createDataFrame([("a", 1.0)], "k string, v double")
+    append_batch(rows, database, 0, ["k"])
+    with pytest.raises(Exception, match="(?i)syntax|error"):
+        run_transaction(spark, database, [], [f"DELETE FROM {database.table}", "NO SQL"], [])
+    assert read_jdbc(spark, database).count() == 1
 
 
 def test_publish_table(spark, database, tmp_path):

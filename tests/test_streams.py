@@ -16,6 +16,7 @@ from podium.config import JdbcConfig, RollingConfig, SizingConfig, StreamConfig,
 from podium.operators import latest_per_key, rolling_averages
 from podium.schemas import RESULT_MESSAGE, TIMED_RESULT_MESSAGE
 from podium.sinks import read_history, write_topic
+from podium.sinks.history import stream_id
 from podium.sources import read_jdbc, read_topic
 from podium.streaming import features, prepare_dimension, read_features, run_feature_stream, run_rolling_stream
 from podium.functions import parse_messages
@@ -242,7 +243,7 @@ def test_replayed_batch_changes_no_sink(spark, both_sinks, dim, results):
 def test_failing_sink_does_not_stop_the_other_and_is_retried(spark, both_sinks, dim, results):
     stream = both_sinks
     write_topic(results, stream.topic)
-    working = sinks_of(stream)
+    working = sinks_of(stream, stream_id(spark, f"{stream.checkpoint}/main"))
     broken = {"topic": lambda df, i: 1 / 0, "table": working["table"]}
     with pytest.raises(StreamingQueryException, match="division by zero"):
         run_feature_stream(spark, stream, dim, RESULT_MESSAGE, broken)
@@ -258,10 +259,41 @@ def test_history_of_another_checkpoint_is_refused(spark, stream, dim, results):
     for load in range(2):
         write_topic(results.where(f"result_id % 2 = {load}"), stream.topic, load_id=str(load))
         run_feature_stream(spark, stream, dim, RESULT_MESSAGE)
-    before = batches(spark, stream, dim)
-    with pytest.raises(StreamingQueryException, match="older checkpoint"):
-        run_feature_stream(spark, replace(stream, checkpoint=f"{stream.checkpoint}2"), dim, RESULT_MESSAGE)
-    assert batches(spark, stream, dim) == before
+        before = batches(spark, stream, dim)
+        with pytest.raises(ValueError, match="another checkpoint"):
+            run_feature_stream(spark, replace(stream, checkpoint=f"{stream.checkpoint}2"), dim, RESULT_MESSAGE)
+        assert batches(spark, stream, dim) == before
+
+
+def test_replayed_load_counts_once(spark, stream, dim, results):
+    for load in (0, 1, 1):
+        write_topic(results.where(f"result_id % 2 = {load}"), stream.topic, load_id=str(load))
+        run_feature_stream(spark, stream, dim, RESULT_MESSAGE)
+    assert latest(spark, stream, dim) == batch_answer(results, dim)
+
+
+def test_large_dimension_joins_in_the_sessions_partitions(spark, stream, dim, results):
+    write_topic(results, stream.topic)
+    stream = replace(stream, sizing=SizingConfig(broadcast_bytes=-1), state_partitions=3)
+    (query,) = start_feature_stream(spark, stream, dim, RESULT_MESSAGE)
+    await_all([query])
+    plan = query._jsq.explainInternal(False)
+    assert ", 8)" in plan and ", 3)" not in plan
+    assert latest(spark, stream, dim) == batch_answer(results, dim)
+
+
+def test_fractional_dimension_keys_meet_nothing(spark, stream, dim, results):
+    write_topic(results, stream.topic)
+    halves = dim.withColumn("athlete_id", F.col("athlete_id").cast("double"))
+    off = halves.withColumn("athlete_id", F.col("athlete_id") + 0.5)
+    run_feature_stream(spark, stream, halves.union(off), RESULT_MESSAGE)
+    assert latest(spark, stream, dim) == batch_answer(results, dim)
+
+
+def test_rolling_without_event_time_is_an_error(spark, stream, dim, results):
+    write_topic(results, stream.topic)
+    with pytest.raises(ValueError, match="none of"):
+        run_rolling_stream(spark, stream, RollingConfig(), dim, TIMED_RESULT_MESSAGE)
 
 
 def test_complete_snapshot(spark, stream, dim, results, tmp_path):
