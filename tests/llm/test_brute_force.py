@@ -179,7 +179,8 @@ def test_repeated_passages(spark):
     for k in range(120):
         assert (found[k]["n_removed"] > 0) == (k % 2 == 1 and k >= 20), k
         if found[k]["n_removed"]:
-            assert found[k]["n_removed"] <= 60 and found[k]["kept_in"] == [k % 20]
+            assert 30 <= found[k]["n_removed"] <= 60 and k % 20 in found[k]["kept_in"]
+            assert {doc_id % 20 for doc_id in found[k]["kept_in"]} == {k % 20}
     assert found[200]["n_removed"] == 0
     assert found[202]["removed_from"] == [0] and found[202]["removed_to"] == [40] and found[202]["kept_in"] == [200]
 
@@ -279,8 +280,7 @@ def test_base_patterns():
 
 
 def test_network_adds_secrets_and_spares_plain_runs(spark):
-    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
-    net = secret_scan.train(docs)
+    net = secret_scan.train(spark.read.parquet("/root/testdata/sf0.1/documents.parquet"))
     added = spark.createDataFrame(
         [(1, "see 7F3A9C0E1D2B4F5A6C7D8E9F0A1B2C3D4E5F6071 there"), (2, "mail anna-maria.beispiel@mail7.example.com now")],
         "doc_id long, text string",
