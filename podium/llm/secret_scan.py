@@ -161,8 +161,10 @@ class Network:
         return 1 / (1 + np.exp(-np.clip(self.slope * logits + self.shift, -500, 500)))
 
 
-def fit(positive: np.ndarray, negative: np.ndarray, recall: float = 0.99, epochs: int = 12, seed: int = 3) -> Network:
-    """Train on windows of findings and of other runs."""
+def fit(
+    positive: np.ndarray, negative: np.ndarray, recall: float = 0.99, epochs: int = 12, least_steps: int = 400, seed: int = 3
+) -> Network:
+    """Train on windows of findings and of other runs; a small sample is gone through more often."""
     random = np.random.default_rng(seed)
     net = Network.new(random)
     if len(positive) < 3 or len(negative) < 3:
@@ -177,9 +179,9 @@ def fit(positive: np.ndarray, negative: np.ndarray, recall: float = 0.99, epochs
     blank[:LEFT] = blank[LEFT + HEAD + TAIL :] = True
     names = ("embed", "filters", "filter_bias", "out", "out_bias")
     moments = [[np.zeros_like(getattr(net, name)) for name in names] for _ in range(2)]
-    step = 0
-    for _ in range(epochs):
-        for batch in np.array_split(random.permutation(learn), max(1, len(learn) // 64)):
+    step, batches = 0, max(1, len(learn) // 64)
+    for _ in range(max(epochs, -(-least_steps // batches))):
+        for batch in np.array_split(random.permutation(learn), batches):
             own = windows[batch].copy()
             own[np.ix_(random.random(len(own)) < 0.5, blank)] = 0
             logits, kept = net.forward(own)
