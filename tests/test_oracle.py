@@ -8,6 +8,7 @@ import pytest
 
 import __spark_entry__ as registered
 from compare import connect, differences
+from podium.catalog import QUERIES
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
 
@@ -17,7 +18,7 @@ def duck():
     return connect(SF_DIR)
 
 
-@pytest.mark.parametrize("name", sorted(registered.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_sql(spark, duck, name):
     sql = registered.oracle_sql().get(name)
     frame = registered.queries()[name](spark, SF_DIR)
