@@ -8,7 +8,8 @@ same set are one representative with a weight, so copies are never compared with
 go on together to a child. A pair of similarity s shares at least one child of a node with chance 1-(1-s)²,
 and the chance that it is never separated has, at any depth, the fixed point of q = 1-(1-sq)²; that is 0.94 for
 s = 0.8, so ``runs`` trees miss a pair with chance (1-q)^runs, chosen below ``1 - recall``. Nodes of at
-most ``bucket`` members are compared by brute force on their sketches, larger ones are split again. A
+most ``bucket`` members are compared by brute force on their sketches, in blocks of bounded size; larger ones
+are split again. A
 crowd of near copies would never split: in a large node the members that the sketch puts within 0.1 of its
 first member are linked to that one member and leave (whatever is 0.8 similar to them is still close enough to
 be linked with it too), and the rest go on. What is large at the last level is compared in blocks.
@@ -28,6 +29,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -42,7 +44,8 @@ THRESHOLD = 0.8
 RECALL = 0.9999
 SKETCH = 128
 BRANCH = 2
-BUCKET = 512
+BUCKET = 4096
+BLOCK = 1024
 DEPTH = 6
 #: First members of large nodes whose sketches may be broadcast: about 10 MB.
 MAX_LEADS = 10_000
@@ -57,7 +60,10 @@ def runs_for(recall: float, threshold: float) -> int:
 
 
 def cutoff(threshold: float, recall: float) -> int:
-    """Equal sketch values below which a pair is dropped; a pair at the threshold falls below with a chance far under ``1 - recall``."""
+    """Equal sketch values below which a pair is dropped; a pair at the threshold falls below with a chance far under ``1 - recall``.
+
+    Buckets compare one byte of each value, so that unlike values agree now and then: that only adds candidates.
+    """
     chance, k = 0.0, 0
     while True:
         chance += math.comb(SKETCH, k) * threshold**k * (1 - threshold) ** (SKETCH - k)
@@ -75,7 +81,7 @@ def _sets(column: pa.Array, size: int) -> Iterator[tuple[int, np.ndarray, np.nda
 
 
 def sketches(docs: DataFrame, id_col: str, text_col: str, size: int = SHINGLE) -> DataFrame:
-    """(id, n, d1, d2, sketch): size, a 128-bit digest and the MinHash sketch of each document's set."""
+    """(id, n, d1, d2, sketch, brief): size, a 128-bit digest, the MinHash sketch and its low bytes, of each document's set."""
 
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -87,13 +93,14 @@ def sketches(docs: DataFrame, id_col: str, text_col: str, size: int = SHINGLE) -
                     np.cumsum(mix(values ^ np.uint64(salt)), out=total[1:], dtype=np.uint64)
                     digests.append((total[offsets[1:]] - total[offsets[:-1]]).view(np.int64))
                 tokens = minhash(values, offsets, SKETCH).view(np.int32)
+                brief = pa.array([row.tobytes() for row in (tokens & 255).astype(np.uint8)], pa.binary())
                 sketch = pa.ListArray.from_arrays(np.arange(0, tokens.size + 1, SKETCH, dtype=np.int32), tokens.ravel())
                 own = batch.column(0).slice(row, len(n))
-                yield pa.RecordBatch.from_arrays([own, pa.array(n), pa.array(digests[0]), pa.array(digests[1]), sketch], names)
+                yield pa.RecordBatch.from_arrays([own, pa.array(n), pa.array(digests[0]), pa.array(digests[1]), sketch, brief], names)
 
-    names = ["id", "n", "d1", "d2", "sketch"]
+    names = ["id", "n", "d1", "d2", "sketch", "brief"]
     rows = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string"))
-    return rows.mapInArrow(over, "id long, n long, d1 long, d2 long, sketch array<int>")
+    return rows.mapInArrow(over, "id long, n long, d1 long, d2 long, sketch array<int>, brief binary")
 
 
 def _children(path: str) -> Column:
@@ -109,15 +116,15 @@ def _matches(left: str, right: str) -> Column:
 
 
 def _bucket_edges(rows: DataFrame, least: int) -> DataFrame:
-    """Trees (a, b) over the pairs of each bucket (path, id, sketch) with ``least`` equal tokens or more."""
+    """Trees (a, b) over the pairs of each bucket (path, id, brief) with ``least`` equal bytes or more."""
 
     def over(table: pa.Table) -> pa.Table | None:
         table = table.combine_chunks().sort_by("id")
         ids = table["id"].to_numpy()
-        tokens = np.asarray(table["sketch"].combine_chunks().flatten()).reshape(len(ids), SKETCH)
+        tokens = np.frombuffer(b"".join(table["brief"].to_pylist()), np.uint8).reshape(len(ids), SKETCH).T.copy()
         equal = np.zeros((len(ids), len(ids)), np.int16)
         for k in range(SKETCH):
-            equal += tokens[:, k, None] == tokens[None, :, k]
+            equal += tokens[k, :, None] == tokens[k, None, :]
         root = roots(equal >= least)
         own = root != np.arange(len(ids))
         return pa.table({"a": ids[own], "b": ids[root[own]]}) if own.any() else None
@@ -125,8 +132,10 @@ def _bucket_edges(rows: DataFrame, least: int) -> DataFrame:
     return map_groups(rows, "path", over, "a long, b long")
 
 
-def candidates(reps: DataFrame, threshold: float, recall: float, bucket: int = BUCKET, depth: int = DEPTH) -> DataFrame:
-    """(a, b): links of representatives (id, sketch) that connect all pairs which could be similar."""
+def candidates(
+    reps: DataFrame, threshold: float, recall: float, bucket: int = BUCKET, depth: int = DEPTH, block: int = BLOCK
+) -> DataFrame:
+    """(a, b): links of representatives (id, sketch, brief) that connect all pairs which could be similar."""
     least = cutoff(threshold, recall)
     close = math.ceil(SKETCH * (1 - (1 - threshold) / 2))
     runs = runs_for(recall, threshold)
@@ -134,38 +143,34 @@ def candidates(reps: DataFrame, threshold: float, recall: float, bucket: int = B
     nodes = stored(trees.select("id", F.explode(_children("path")).alias("path")), "nodes")
     small, edges = [], []
     for level in range(1, depth + 1):
-        sizes = nodes.groupBy("path").agg(
-            F.count(F.lit(1)).alias("m"), F.min("id").alias("first"), F.bit_xor(F.xxhash64("id")).alias("who")
-        ).where("m > 1")
-        sizes = stored(sizes, "sizes")
-        few = sizes if level == depth else sizes.where(F.col("m") <= bucket)
-        # Trees often keep the same members together: one bucket of each kind is enough.
-        few = few.groupBy("m", "first", "who").agg(F.min("path").alias("path"))
-        small.append(stored(nodes.join(few.select("path", "m"), "path").select("path", "id", "m"), "buckets"))
-        large = sizes.where(F.col("m") > bucket).select("path", "first")
+        sizes = stored(nodes.groupBy("path").agg(F.count(F.lit(1)).alias("m")).where("m > 1"), "sizes")
+        met = stored(inner_join(nodes, sizes, ["path"]), "met")
+        small.append(met if level == depth else met.where(F.col("m") <= bucket))
+        large = met.where(F.col("m") > bucket)
         if level == depth or large.isEmpty():
             break
-        members = nodes.join(large, "path").join(reps, "id")
-        first = reps.select(F.col("id").alias("first"), F.col("sketch").alias("lead"))
-        leads = stored(inner_join(first, large.select("first").distinct(), ["first"]), "leads")
-        judged = inner_join(members, leads, ["first"], MAX_LEADS)
-        judged = stored(judged.select("path", "id", "first", "sketch", _matches("sketch", "lead").alias("equal")), "judged")
-        edges.append(judged.where((F.col("equal") >= least) & (F.col("id") != F.col("first"))).select(F.col("id").alias("a"), F.col("first").alias("b")))
-        rest = judged.where(F.col("equal") < close)
-        nodes = stored(rest.select("id", F.explode(_children("path")).alias("path")), "nodes")
-    pooled = small[0]
-    for rows in small[1:]:
-        pooled = pooled.union(rows)
-    # Only at the last level can a bucket exceed its size: pairs of its blocks are compared then.
-    blocks = F.greatest(F.lit(1), F.ceil(F.col("m") / bucket)).cast("int")
-    own = F.pmod(F.xxhash64("id", F.lit("block")), F.col("blocks")).cast("int")
-    pooled = pooled.withColumn("blocks", blocks).withColumn("own", own)
+        firsts = stored(large.groupBy("path").agg(F.min("id").alias("first")), "firsts")
+        leads = inner_join(reps.select(F.col("id").alias("first"), F.col("sketch").alias("lead")), firsts, ["first"])
+        members = inner_join(large.select("path", "id"), stored(leads, "leads"), ["path"], MAX_LEADS)
+        judged = stored(
+            members.join(reps.select("id", "sketch"), "id").select("path", "id", "first", "sketch", _matches("sketch", "lead").alias("equal")),
+            "judged",
+        )
+        linked = judged.where((F.col("equal") >= least) & (F.col("id") != F.col("first")))
+        edges.append(linked.select(F.col("id").alias("a"), F.col("first").alias("b")))
+        nodes = stored(judged.where(F.col("equal") < close).select("id", F.explode(_children("path")).alias("path")), "nodes")
+    pooled = reduce(DataFrame.union, small)
+    # Trees often keep the same members together: one bucket of each kind is enough.
+    kinds = pooled.groupBy("path", "m").agg(F.min("id").alias("first"), F.bit_xor(F.xxhash64("id")).alias("who"))
+    kinds = stored(kinds.groupBy("m", "first", "who").agg(F.min("path").alias("path")).select("path"), "kinds")
+    pooled = semi_join(pooled, kinds, ["path"])
+    # A bucket beyond the size of a block is compared in pairs of its blocks.
+    blocks = F.ceil(F.col("m") / block).cast("int")
+    pooled = pooled.withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("id", F.lit("block")), blocks).cast("int"))
     pooled = pooled.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    pooled = pooled.select(F.xxhash64("path", F.least("own", "other"), F.greatest("own", "other")).alias("path"), "id")
-    found = _bucket_edges(pooled.join(reps, "id").select("path", "id", "sketch"), least)
-    for rows in edges:
-        found = found.union(rows)
-    return stored(found.distinct(), "links")
+    pooled = stored(pooled.select(F.xxhash64("path", F.least("own", "other"), F.greatest("own", "other")).alias("path"), "id"), "pooled")
+    found = _bucket_edges(inner_join(reps.select("id", "brief"), pooled, ["id"]).select("path", "id", "brief"), least)
+    return stored(reduce(DataFrame.union, edges, found).distinct(), "links")
 
 
 def similarity_classes(
@@ -187,9 +192,10 @@ def similarity_classes(
     made = stored(sketches(docs, id_col, text_col, size), "sketches")
     sets = made.where("n > 0").groupBy("d1", "d2", "n").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("copies"))
     sets = stored(sets, "sets")
-    member = made.select("id", "n", "d1", "d2").join(sets, ["d1", "d2", "n"], "left")
-    reps = semi_join(made.select("id", "sketch"), sets.select(F.col("rep").alias("id")), ["id"])
-    reps = stored(reps.dropDuplicates(["id"]), "representatives")
+    reps = semi_join(made.select("id", "sketch", "brief"), sets.select(F.col("rep").alias("id")), ["id"])
+    if not reps.groupBy("id").count().where("count > 1").isEmpty():
+        reps = reps.dropDuplicates(["id"])
+    reps = stored(reps, "representatives")
     edges = candidates(reps, threshold, recall, bucket, depth)
     grouped = components(edges)
     clustered = grouped.select(F.col("root").alias("cluster"), F.col("node").alias("id"))
@@ -205,13 +211,13 @@ def similarity_classes(
 
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     texts = semi_join(texts, dealt.select("id").distinct(), ["id"])
-    gathered = dealt.join(texts.mapInArrow(over, "id long, values binary"), "id")
+    gathered = inner_join(texts.mapInArrow(over, "id long, values binary"), dealt, ["id"])
     found = stored(links(gathered, threshold), "found")
     counted = found.groupBy("id").agg(F.sum("links").alias("links"), F.sum("set_links").alias("set_links"))
     classes = components(found, "id", "root")
-    answers = counted.join(classes.select(F.col("node").alias("id"), "root"), "id", "left")
-    answers = answers.select(F.col("id").alias("rep"), "links", "set_links", "root")
-    return member.join(answers, "rep", "left").select(
+    answers = counted.join(classes.select(F.col("node").alias("id"), "root"), "id", "left").withColumnRenamed("id", "rep")
+    answered = sets.join(answers, "rep", "left")
+    return made.select("id", "n", "d1", "d2").join(answered, ["d1", "d2", "n"], "left").select(
         F.col("id").alias(id_col),
         F.coalesce("root", "rep", "id").alias("class_id"),
         (F.coalesce("links", F.lit(0)) + F.coalesce("copies", F.lit(1)) - 1).cast("long").alias("n_links"),

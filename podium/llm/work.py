@@ -92,18 +92,12 @@ def components(edges: DataFrame, first: str = "a", second: str = "b") -> DataFra
     """(node, root): the least node that each node of the edges is connected with.
 
     Alternating stars: each node points its larger neighbours, then its smaller ones, to the least of
-    them, until nothing changes. Groups are only ever reduced to their minimum, so a hub with any
-    number of links is never collected.
+    them, until every node points to a node that points nowhere. Groups are only ever reduced to their
+    minimum, so a hub with any number of links is never collected.
     """
     a, b = F.col(first).cast("long"), F.col(second).cast("long")
-    pairs = edges.where(a != b).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct()
-    pairs = stored(pairs, "edges")
-    seen = None
-    while True:
-        state = pairs.agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("u", "v")).alias("h")).first()
-        if not state["n"] or state == seen:
-            return pairs.select(F.col("u").alias("node"), F.col("v").alias("root"))
-        seen = state
+    pairs = stored(edges.where(a != b).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct(), "edges")
+    while not _all_stars(pairs):
         both = pairs.union(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
@@ -115,3 +109,12 @@ def components(edges: DataFrame, first: str = "a", second: str = "b") -> DataFra
             .distinct()
         )
         pairs = stored(pairs, "edges")
+    return pairs.select(F.col("u").alias("node"), F.col("v").alias("root"))
+
+
+def _all_stars(pairs: DataFrame) -> bool:
+    """Whether no node points to two nodes, and none that is pointed to points on."""
+    ends = pairs.select(F.col("u").alias("node"), F.lit(1).alias("out"), F.lit(0).alias("into"))
+    ends = ends.union(pairs.select("v", F.lit(0), F.lit(1)))
+    counts = ends.groupBy("node").agg(F.sum("out").alias("out"), F.max("into").alias("into"))
+    return counts.where("out > 1 or (out = 1 and into = 1)").isEmpty()
