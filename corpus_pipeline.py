@@ -45,8 +45,7 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each document, and the text decoded from them again."""
     ship(spark)
-    ids = byte_bpe.encode(docs, ranks_path(), split_pattern())
-    return byte_bpe.decode(ids, ranks_path())
+    return byte_bpe.round_trip(docs, ranks_path(), split_pattern())
 
 
 STAGES = [

@@ -38,9 +38,10 @@ from pyspark.sql import functions as F
 #: Ranks are sent to every executor; a larger file is refused.
 MAX_RANK_BYTES = 64 << 20
 #: What a worker remembers at most; beyond, it forgets and goes on.
-MAX_STATES = 150_000
-MAX_PAIRS = 300_000
-MAX_WORDS = 250_000
+MAX_STATES = 120_000
+MAX_PAIRS = 250_000
+MAX_WORDS = 150_000
+OUT_ROWS = 256
 
 _NONE = 1 << 30
 
@@ -302,38 +303,69 @@ def _id_type(rows: DataFrame, id_col: str) -> str:
     return rows.schema[id_col].dataType.simpleString()
 
 
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches of few rows, so that the ids of one are all that a worker holds besides its input."""
+    for batch in batches:
+        for begin in range(0, batch.num_rows, OUT_ROWS):
+            yield batch.slice(begin, OUT_ROWS)
+
+
+def _encoded(encoder: Encoder, texts: pa.Array) -> list[pa.Array]:
+    packed = [encoder.encode(text) for text in texts.to_pylist()]
+    return [pa.array([len(ids) // 4 for ids in packed], pa.int64()), pa.array(packed, pa.binary())]
+
+
+def _decoded(decoder: Decoder, packed: pa.Array) -> list[pa.Array]:
+    found = [decoder.decode(ids or b"") for ids in packed.to_pylist()]
+    return [pa.array([f[0] for f in found], pa.binary()), pa.array([f[1] == READY for f in found], pa.bool_())]
+
+
+_IDS = "n_tokens long, ids binary"
+_TEXTS = "decoded binary, well_formed boolean"
+
+
 def encode(
     docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """(id, n_tokens, ids): the ids of each whole text, packed as little-endian unsigned 32-bit integers."""
-    spark = docs.sparkSession
-    raw = spark.sparkContext.broadcast(read_ranks(spark, ranks_path))
+    raw = docs.sparkSession.sparkContext.broadcast(read_ranks(docs.sparkSession, ranks_path))
 
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(raw.value, pattern)
-        for batch in batches:
-            packed = [encoder.encode(text.as_py()) for text in batch.column(1)]
-            counts = pa.array([len(ids) // 4 for ids in packed], pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0), counts, pa.array(packed, pa.binary())], names)
+        for batch in _slices(batches):
+            yield pa.RecordBatch.from_arrays([batch.column(0), *_encoded(encoder, batch.column(1))], names)
 
     names = [id_col, "n_tokens", "ids"]
-    schema = f"`{id_col}` {_id_type(docs, id_col)}, n_tokens long, ids binary"
-    return docs.select(id_col, F.col(text_col).cast("string")).mapInArrow(over, schema)
+    rows = docs.select(id_col, F.col(text_col).cast("string"))
+    return rows.mapInArrow(over, f"`{id_col}` {_id_type(docs, id_col)}, {_IDS}")
 
 
-def decode(tokens: DataFrame, ranks_path: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
+def decode(tokens: DataFrame, ranks_path: str, id_col: str = "doc_id") -> DataFrame:
     """The rows of ``encode`` with ``decoded`` (bytes) and ``well_formed`` (whether they are whole UTF-8)."""
-    spark = tokens.sparkSession
-    raw = spark.sparkContext.broadcast(read_ranks(spark, ranks_path))
+    raw = tokens.sparkSession.sparkContext.broadcast(read_ranks(tokens.sparkSession, ranks_path))
 
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         decoder = _decoder(raw.value)
-        for batch in batches:
-            found = [decoder.decode(ids.as_py() or b"") for ids in batch.column(ids_col)]
-            columns = [*batch.columns, pa.array([f[0] for f in found], pa.binary()), pa.array([f[1] == READY for f in found])]
-            yield pa.RecordBatch.from_arrays(columns, [*names, "decoded", "well_formed"])
-
-    kept = tokens.select(id_col, "n_tokens", ids_col)
-    names = kept.columns
-    schema = f"`{id_col}` {_id_type(tokens, id_col)}, n_tokens long, `{ids_col}` binary, decoded binary, well_formed boolean"
-    return kept.mapInArrow(over, schema)
+        for batch in _slices(batches):
+            yield pa.RecordBatch.from_arrays([*batch.columns, *_decoded(decoder, batch.column(2))], names)
+
+    names = [id_col, "n_tokens", "ids", "decoded", "well_formed"]
+    rows = tokens.select(id_col, "n_tokens", "ids")
+    return rows.mapInArrow(over, f"`{id_col}` {_id_type(tokens, id_col)}, {_IDS}, {_TEXTS}")
+
+
+def round_trip(
+    docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """``decode(encode(docs))`` by one worker per task."""
+    raw = docs.sparkSession.sparkContext.broadcast(read_ranks(docs.sparkSession, ranks_path))
+
+    def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder, decoder = _encoder(raw.value, pattern), _decoder(raw.value)
+        for batch in _slices(batches):
+            encoded = _encoded(encoder, batch.column(1))
+            yield pa.RecordBatch.from_arrays([batch.column(0), *encoded, *_decoded(decoder, encoded[1])], names)
+
+    names = [id_col, "n_tokens", "ids", "decoded", "well_formed"]
+    rows = docs.select(id_col, F.col(text_col).cast("string"))
+    return rows.mapInArrow(over, f"`{id_col}` {_id_type(docs, id_col)}, {_IDS}, {_TEXTS}")

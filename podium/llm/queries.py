@@ -77,8 +77,7 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ids = byte_bpe.encode(table(spark, sf_dir, "documents"), ranks_path(), split_pattern())
-    return byte_bpe.decode(ids, ranks_path()).select(
+    return byte_bpe.round_trip(table(spark, sf_dir, "documents"), ranks_path(), split_pattern()).select(
         "doc_id",
         "n_tokens",
         F.sha2("ids", 256).alias("ids_sha256"),
