@@ -5,8 +5,14 @@ lower-cased; digits and ASCII punctuation separate words. Each n-gram is hashed
 table; the rows are averaged and a softmax over the languages reads the average. Table and softmax are
 trained by stochastic gradient descent in numpy on at most about ``sample`` labelled texts (a hash of the
 text picks them, whole texts are used). A held-back fifth of them sets the temperature of the scores and
-the score below which a text is rejected, so that of the texts rightly recognised the share
-``keep_share`` is kept.
+the score below which a text is rejected.
+
+A softmax must choose one of its languages and can be sure of a text in none of them. A text is therefore also
+rejected if its n-grams are too rare in the language that it is given: the mean log share of its n-grams among
+those of the learned texts is set against the usual mean, in units of the deviation that texts of its length show.
+Usual mean, deviations and cut come from the learned texts, each judged by the n-grams of all the others. Both cuts
+together keep the share ``keep_share`` of the texts rightly recognised. A text of a word or two deviates so much by
+chance that gibberish of that length often passes.
 
 Prediction multiplies table and softmax once (a few numbers per n-gram) and sums them over whole texts, in
 numpy, many texts at a time; nothing is shuffled.
@@ -20,7 +26,7 @@ a letter are rejected; an empty table gives an empty table; other columns, whate
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -78,36 +84,54 @@ def _has_letter(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 @dataclass(frozen=True)
 class LanguageModel:
-    """``weights``: bucket × language, the embedding table times the softmax matrix."""
+    """``weights``: bucket × language, the embedding table times the softmax matrix.
+
+    ``shares``: bucket × language, the log share of an n-gram among those of the language, against an even share.
+    ``usual`` is its usual mean over a text, ``spread`` its variance (constant, and per inverse number of n-grams),
+    ``least`` the deviation below which a text is rejected.
+    """
 
     languages: tuple[str, ...]
     weights: np.ndarray
     bias: np.ndarray
     temperature: float
     threshold: float
-
-    def logits(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-        texts = len(offsets) - 1
-        total, count = np.zeros((texts, len(self.languages))), np.zeros(texts)
+    shares: np.ndarray
+    usual: float = 0.0
+    spread: tuple[float, float] = (1.0, 0.0)
+    least: float = -np.inf
+
+    def logits(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Logits, mean log shares in each language, and numbers of n-grams."""
+        texts, languages = len(offsets) - 1, len(self.languages)
+        both = np.concatenate([self.weights, self.shares], 1)
+        total, count = np.zeros((texts, 2 * languages)), np.zeros(texts)
         for text, bucket in subwords(data, offsets):
             own = np.bincount(text, minlength=texts)
             first = np.cumsum(own) - own
             full = own > 0
             if full.any():
-                total[full] += np.add.reduceat(self.weights[bucket], first[full], axis=0, dtype=np.float64)
+                total[full] += np.add.reduceat(both[bucket], first[full], axis=0, dtype=np.float64)
             count += own
-        return total / np.maximum(count, 1)[:, None] + self.bias
+        total /= np.maximum(count, 1)[:, None]
+        return total[:, :languages] + self.bias, total[:, languages:], count
+
+    def deviation(self, share: np.ndarray, count: np.ndarray) -> np.ndarray:
+        """How far mean log shares of texts of so many n-grams lie from the usual mean."""
+        return (share - self.usual) / np.sqrt(self.spread[0] + self.spread[1] / np.maximum(count, 1))
 
     def predict(self, data: np.ndarray, offsets: np.ndarray) -> tuple[list[str], np.ndarray, np.ndarray]:
         """(language, score, accepted) of each text."""
         letter = _has_letter(data, offsets)
         if not self.languages:
             return [UNKNOWN] * len(letter), np.zeros(len(letter)), letter
-        chances = _softmax(self.logits(data, offsets) / self.temperature)
+        logits, shares, count = self.logits(data, offsets)
+        chances = _softmax(logits / self.temperature)
         best = chances.argmax(1)
         score = np.where(letter, chances[np.arange(len(best)), best], 0.0)
+        known = self.deviation(shares[np.arange(len(best)), best], count) >= self.least
         names = [self.languages[k] if ok else UNKNOWN for k, ok in zip(best, letter, strict=True)]
-        return names, score, letter & (score >= self.threshold)
+        return names, score, letter & (score >= self.threshold) & known
 
 
 def _softmax(x: np.ndarray) -> np.ndarray:
@@ -120,7 +144,8 @@ def fit(bags: list[tuple[str, np.ndarray, np.ndarray]], keep_share: float = 0.99
     bags = [bag for bag in bags if len(bag[1])]
     languages = tuple(sorted({label for label, _, _ in bags}))
     if not languages:
-        return LanguageModel((), np.zeros((1 << BUCKET_BITS, 0), np.float32), np.zeros(0), 1.0, 0.0)
+        none = np.zeros((1 << BUCKET_BITS, 0), np.float32)
+        return LanguageModel((), none, np.zeros(0), 1.0, 0.0, none)
     random = np.random.default_rng(seed)
     order = random.permutation(len(bags))
     held = order[: len(bags) // 5]
@@ -152,11 +177,47 @@ def fit(bags: list[tuple[str, np.ndarray, np.ndarray]], keep_share: float = 0.99
     temperature = min((0.1 * 1.25**k for k in range(30)), key=loss)
     chances = _softmax(logits / temperature)
     right = chances.argmax(1) == target[judged]
+    # Two cuts, so each may lose half of what may be lost.
+    lost = (1 - keep_share) / 2
     scores = np.sort(chances.max(1)[right])
-    cut = float(scores[int((1 - keep_share) * len(scores))]) if len(scores) else 0.0
-    # A short text that is right but unsure must not be lost either: never above an even chance.
-    threshold = min(cut, 1 / max(2, len(languages)) + 0.05)
-    return LanguageModel(languages, (table @ soft).astype(np.float32), bias, temperature, threshold)
+    cut = float(scores[int(lost * len(scores))]) if len(scores) else 0.0
+    shares, found, sizes = _shares(bags, languages)
+    usual = float(np.median(found))
+    spread = _spread(found - usual, sizes)
+    model = LanguageModel(languages, (table @ soft).astype(np.float32), bias, temperature, cut, shares, usual, spread)
+    deviations = np.sort(model.deviation(found, sizes))
+    return replace(model, least=float(deviations[int(lost * len(deviations))]))
+
+
+def _shares(
+    bags: list[tuple[str, np.ndarray, np.ndarray]], languages: tuple[str, ...]
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Log shares of the n-grams in each language, then mean log share and size of each text, judged by the others.
+
+    Equal texts count once, so that none is judged by its own copies.
+    """
+    bags = list({(label, keys.tobytes(), counts.tobytes()): (label, keys, counts) for label, keys, counts in bags}.values())
+    buckets = 1 << BUCKET_BITS
+    total = np.zeros((buckets, len(languages)))
+    for label, keys, counts in bags:
+        total[keys, languages.index(label)] += counts
+    sums = total.sum(0)
+
+    def log_share(times: np.ndarray, of: np.ndarray | float) -> np.ndarray:
+        return np.log((times + 0.5) / (of + 0.5 * buckets) * buckets)
+
+    found, sizes = np.zeros(len(bags)), np.zeros(len(bags))
+    for i, (label, keys, counts) in enumerate(bags):
+        k, sizes[i] = languages.index(label), counts.sum()
+        found[i] = counts @ log_share(total[keys, k] - counts, sums[k] - sizes[i]) / sizes[i]
+    return log_share(total, sums).astype(np.float32), found, sizes
+
+
+def _spread(off: np.ndarray, sizes: np.ndarray) -> tuple[float, float]:
+    """Variance of the mean log share: a constant, and a part that falls with the number of n-grams."""
+    x = np.stack([np.ones(len(sizes)), 1 / sizes], 1)
+    constant, part = np.linalg.lstsq(x, off**2, rcond=None)[0]
+    return max(float(constant), 1e-3), max(float(part), 0.0)
 
 
 def train(

@@ -14,6 +14,7 @@ import pytest
 import tiktoken
 from compare import connect, differences
 from llm_fixtures import SF_DIR, least_connected, shingle_set, similar_pairs, words
+from pyspark.sql import functions as F
 
 import __spark_entry__ as registered
 from podium.llm import byte_bpe, clusters, jaccard_join, line_dedup, paragraph_dedup, secret_scan
@@ -297,6 +298,26 @@ def test_language_held_out(spark):
     assert all(0 <= r["score"] <= 1 for r in found)
 
 
+def test_language_rejects_what_was_not_learned(spark):
+    from podium.llm import language
+
+    def accepted(model, rows):
+        return np.mean([r["accepted"] for r in language.predict(spark.createDataFrame(rows, "doc_id long, text string"), model).collect()])
+
+    pick = random.Random(8)
+    junk = [" ".join("".join(pick.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(pick.randrange(2, 10))) for _ in range(50)) for _ in range(200)]
+    junk = list(enumerate([*junk, "zxqj" * 50, "<div><p>x</p></div>" * 20]))
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text", "lang").where("text is not null")
+    rows = [(r["doc_id"], r["text"], r["lang"]) for r in docs.collect() if zlib.crc32(str(r["doc_id"]).encode()) % 4 == 2]
+    fold = F.crc32(F.col("doc_id").cast("string")) % 4
+    for unlearned in (None, "en", "es"):
+        model = language.train(docs, (fold != 2) & (F.col("lang") != (unlearned or "")))
+        assert accepted(model, junk) <= 0.01
+        assert accepted(model, [r[:2] for r in rows if r[2] != unlearned]) >= 0.99
+        if unlearned:
+            assert accepted(model, [r[:2] for r in rows if r[2] == unlearned and len(r[1]) >= 200]) <= 0.02
+
+
 def test_quality_held_out(spark):
     labels = {r["doc_id"]: r["quality"] for r in spark.read.parquet(f"{SF_DIR}/labels.parquet").collect()}
     rows = QUERIES["op8_quality"](spark, SF_DIR).collect()
