@@ -4,12 +4,15 @@ Base findings are exact: ``assign`` (a keyword, a separator and a value of 8 or
 ``access`` (AKIA and capitals or digits, 16 or more) and ``hex`` (32 or more lower-case hex digits), leftmost
 and not overlapping within a kind. Spans count code points, the end is exclusive.
 
-Further candidates are the runs of 16 or more characters of ``[A-Za-z0-9+/_.=-]`` with a digit and a letter or of 20 or more
-characters that overlap no base finding. The network reads a window of fixed length, the context to the
-left, the head and tail of the candidate and the context to the right: characters become embeddings, a bank of
+Further candidates are all runs of 8 or more characters of ``[A-Za-z0-9+/_.=-]``, after the base findings were cut
+out of them. The network reads a window of fixed length, the context to the left, the candidate and the context to the
+right; over a candidate of more than 48 characters the window slides by 16, so that any 32 characters in a row are
+read together, and its highest score counts. Characters become embeddings, a bank of
 filters of width 5 slides over them, the strongest answers go to a logistic unit. It is trained in numpy by Adam
-on labelled findings, that is base findings of a bounded sample of texts against the other runs there. In
-half of the training examples the context is blanked, so that the run itself must tell. A held-back third
+on labelled findings, that is base findings of a bounded sample of texts against the other runs there, shorter and
+longer ones alike. In
+half of the training examples the context is blanked, so that the run itself must tell, and in a quarter the run is
+in upper case, in either class. A held-back third
 calibrates the scores (a logistic curve) and sets the threshold: the highest score that still recalls the
 share ``recall`` of the held-back findings, and never less than an even chance. Candidates that reach it
 become ``network`` spans; base spans always stay.
@@ -31,6 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from podium.llm.words import mix
 from podium.llm.work import stored
 
 # The base patterns.
@@ -42,13 +46,16 @@ HEX = re.compile(r"[0-9a-f]{32,}")
 KINDS = ("assign", "access", "hex", "network")
 
 _KEYWORDS = ("password", "passwd", "secret", "token", "api")
-_RUN = re.compile(r"[A-Za-z0-9+/_.=-]{16,}")
-_DIGIT, _LETTER = re.compile(r"[0-9]"), re.compile(r"[A-Za-z]")
+MIN_RUN = 8
 
-#: Candidates of each class that the network is trained on at most.
+#: Findings, other runs under ``LONG`` characters and other runs from ``LONG`` on that the network is trained on at most, each.
 SAMPLE = 3_000
-LEFT, HEAD, TAIL, RIGHT = 24, 32, 16, 8
-WINDOW = LEFT + HEAD + TAIL + RIGHT
+LONG = 16
+LEFT, BODY, RIGHT = 24, 48, 8
+WINDOW = LEFT + BODY + RIGHT
+STEP = 16
+#: Windows that are scored together.
+SCORED = 1 << 16
 EMBED, FILTERS, WIDTH = 8, 16, 5
 
 Span = tuple[int, int, int]
@@ -66,18 +73,6 @@ def base_spans(text: str) -> list[Span]:
     return sorted(spans, key=lambda s: (s[0], s[2]))
 
 
-def other_runs(text: str, found: list[Span]) -> list[tuple[int, int]]:
-    """Candidates beside the base findings."""
-    out = []
-    for match in _RUN.finditer(text):
-        run = match.group()
-        if not _DIGIT.search(run) or not (len(run) >= 20 or _LETTER.search(run)):
-            continue
-        if all(end <= match.start() or start >= match.end() for start, end, _ in found):
-            out.append(match.span())
-    return out
-
-
 def _classes() -> np.ndarray:
     """Character classes of the network: 0 nothing, 1-95 printable ASCII, 96 white space, 97 anything else."""
     table = np.full(128, 97, np.uint8)
@@ -87,22 +82,46 @@ def _classes() -> np.ndarray:
 
 
 _CLASSES = _classes()
-
-
-def window(text: str, start: int, end: int) -> np.ndarray:
-    """Character classes of the context, the head and the tail of a candidate."""
-    out = np.zeros(WINDOW, np.uint8)
-
-    def put(part: str, at: int) -> None:
-        codes = np.frombuffer(part.encode("utf-32-le"), "<u4")
-        out[at : at + len(codes)] = np.where(codes < 128, _CLASSES[np.minimum(codes, 127)], 97)
-
-    left = text[max(0, start - LEFT) : start]
-    put(left, LEFT - len(left))
-    put(text[start : min(end, start + HEAD)], LEFT)
-    put(text[max(start + HEAD, end - TAIL) : end], LEFT + HEAD)
-    put(text[end : end + RIGHT], LEFT + HEAD + TAIL)
-    return out
+#: The class of the upper-case letter.
+_UPPER = np.arange(98, dtype=np.uint8)
+_UPPER[_CLASSES[0x61:0x7B]] = _CLASSES[0x41:0x5B]
+_IN_RUN = np.zeros(128, bool)
+_IN_RUN[[ord(c) for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_.=-"]] = True
+
+
+def _codes(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le"), "<u4")
+
+
+def other_runs(text: str, found: list[Span]) -> np.ndarray:
+    """Candidates beside the base findings, as rows (start, end)."""
+    codes = _codes(text)
+    inside = np.zeros(len(codes) + 2, bool)
+    inside[1:-1] = _IN_RUN[np.minimum(codes, 127)] & (codes < 128)
+    for start, end, _ in found:
+        inside[start + 1 : end + 1] = False
+    turns = np.flatnonzero(inside[1:] != inside[:-1]).reshape(-1, 2)
+    return turns[turns[:, 1] - turns[:, 0] >= MIN_RUN]
+
+
+def windows(text: str, runs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(row, character classes of the context and the run) of each window; a run that is too long for one has more."""
+    start, end = np.asarray(runs, np.int64).reshape(-1, 2).T
+    n = 1 + np.maximum(0, -(-(end - start - BODY) // STEP))
+    row = np.repeat(np.arange(len(n)), n)
+    place = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
+    last = place == n[row] - 1
+    at = np.where(last, np.maximum(end[row] - BODY, start[row]), start[row] + place * STEP)
+    stop = np.minimum(at + BODY, end[row])
+    codes = _codes(text)
+    classes = np.zeros(LEFT + len(codes) + BODY + RIGHT, np.uint8)
+    classes[LEFT : LEFT + len(codes)] = np.where(codes < 128, _CLASSES[np.minimum(codes, 127)], 97)
+    body = at[:, None] + np.arange(BODY)
+    out = np.zeros((len(row), WINDOW), np.uint8)
+    out[:, :LEFT] = classes[at[:, None] + np.arange(LEFT)]
+    out[:, LEFT : LEFT + BODY] = np.where(body < stop[:, None], classes[LEFT + body], 0)
+    out[:, LEFT + BODY :] = classes[LEFT + stop[:, None] + np.arange(RIGHT)]
+    return row, out
 
 
 @dataclass
@@ -155,9 +174,18 @@ class Network:
         ]
 
     def score(self, windows: np.ndarray) -> np.ndarray:
-        if not len(windows):
-            return np.zeros(0)
-        logits = np.concatenate([self.forward(windows[i : i + 512])[0] for i in range(0, len(windows), 512)])
+        """As ``forward``, with what each character adds to each filter looked up instead of multiplied out."""
+        places = WINDOW - WIDTH + 1
+        added = [(self.embed @ self.filters[k * EMBED : (k + 1) * EMBED]).astype(np.float32) for k in range(WIDTH)]
+        added[0] += self.filter_bias.astype(np.float32)
+        logits = np.zeros(len(windows))
+        for i in range(0, len(windows), 256):
+            own = windows[i : i + 256]
+            answers = added[0][own[:, :places]]
+            for k in range(1, WIDTH):
+                answers += added[k][own[:, k : k + places]]
+            np.maximum(answers, 0, out=answers)
+            logits[i : i + 256] = np.concatenate([answers.max(1), answers.mean(1)], 1) @ self.out + self.out_bias[0]
         return 1 / (1 + np.exp(-np.clip(self.slope * logits + self.shift, -500, 500)))
 
 
@@ -176,7 +204,7 @@ def fit(
     share = labels[learn].mean()
     weight = np.where(labels > 0, 0.5 / max(share, 1e-9), 0.5 / max(1 - share, 1e-9))
     blank = np.zeros(WINDOW, bool)
-    blank[:LEFT] = blank[LEFT + HEAD + TAIL :] = True
+    blank[:LEFT] = blank[LEFT + BODY :] = True
     names = ("embed", "filters", "filter_bias", "out", "out_bias")
     moments = [[np.zeros_like(getattr(net, name)) for name in names] for _ in range(2)]
     step, batches = 0, max(1, len(learn) // 64)
@@ -184,6 +212,8 @@ def fit(
         for batch in np.array_split(random.permutation(learn), batches):
             own = windows[batch].copy()
             own[np.ix_(random.random(len(own)) < 0.5, blank)] = 0
+            raised = np.ix_(random.random(len(own)) < 0.25, ~blank)
+            own[raised] = _UPPER[own[raised]]
             logits, kept = net.forward(own)
             error = (1 / (1 + np.exp(-np.clip(logits, -30, 30))) - labels[batch]) * weight[batch] / len(batch)
             step += 1
@@ -199,40 +229,73 @@ def fit(
     x = np.stack([logits, np.ones(len(logits))], 1)
     n_pos, n_neg = labels[held].sum(), (1 - labels[held]).sum()
     goal = np.where(labels[held] > 0, (n_pos + 1) / (n_pos + 2), 1 / (n_neg + 2))
+
+    def loss(at: np.ndarray) -> float:
+        return float((np.logaddexp(0, x @ at) - goal * (x @ at)).sum() + 5e-4 * at @ at)
+
     for _ in range(50):
         chance = 1 / (1 + np.exp(-np.clip(x @ at, -30, 30)))
         curvature = x.T @ (x * (chance * (1 - chance))[:, None]) + 1e-3 * np.eye(2)
-        at = at - np.linalg.solve(curvature, x.T @ (chance - goal) + 1e-3 * at)
+        move = np.linalg.solve(curvature, x.T @ (chance - goal) + 1e-3 * at)
+        # Classes that lie far apart make whole steps overshoot.
+        part = next((0.5**k for k in range(30) if loss(at - 0.5**k * move) <= loss(at)), 0.0)
+        at = at - part * move
     net.slope, net.shift = float(at[0]), float(at[1])
     found = np.sort(net.score(windows[held][labels[held] > 0]))
     net.threshold = max(0.5, float(found[int((1 - recall) * len(found))]))
     return net
 
 
+def _places(chars: np.ndarray) -> np.ndarray:
+    """A hash of each window."""
+    out = np.zeros(len(chars), np.uint64)
+    for part in np.ascontiguousarray(chars).view("<u8").T:
+        out = mix(out ^ part)
+    return out
+
+
 def train(docs: DataFrame, text_col: str = "text", sample: int = SAMPLE) -> Network:
-    """Fit on labelled findings: at most ``sample`` windows of either class, the first by a hash of the window."""
+    """Fit on labelled findings: at most ``sample`` windows of either class (others: short and long ones), the first by a hash of the window."""
 
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # A window that is among the first of the whole table is among the first of its task.
+        kept = [(np.zeros(0, np.uint64), np.zeros((0, WINDOW), np.uint8))] * 3
         for batch in batches:
-            rows: set[tuple[int, bytes]] = set()
-            for text in batch.column(0).to_pylist():
+            new: tuple[list, ...] = ([], [], [])
+            for i, text in enumerate(batch.column(0).to_pylist()):
                 found = base_spans(text or "")
-                rows.update((1, window(text, start, end).tobytes()) for start, end, _ in found)
-                rows.update((0, window(text, start, end).tobytes()) for start, end in other_runs(text or "", found))
-            made = sorted(rows)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([r[0] for r in made], pa.int32()), pa.array([r[1] for r in made], pa.binary())], ["label", "chars"]
-            )
-
-    found = docs.select(F.col(text_col).cast("string")).mapInArrow(over, "label int, chars binary")
-    found = stored(found.withColumn("place", F.xxhash64("chars")), "findings")
+                runs = other_runs(text or "", found)
+                long = runs[:, 1] - runs[:, 0] >= LONG
+                new[1].append(windows(text or "", np.array([span[:2] for span in found]))[1])
+                new[0].append(windows(text or "", runs[~long])[1])
+                new[2].append(windows(text or "", runs[long])[1])
+                if i % 256 == 255 or i == batch.num_rows - 1:
+                    kept = [first(*k, np.concatenate(n)) for k, n in zip(kept, new, strict=True)]
+                    new = ([], [], [])
+        for label, (place, chars) in enumerate(kept):
+            columns = [np.full(len(place), label, np.int32), place.view(np.int64), [c.tobytes() for c in chars]]
+            types = (pa.int32(), pa.int64(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], ["label", "place", "chars"])
+
+    def first(place: np.ndarray, chars: np.ndarray, more: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        added = _places(more)
+        if len(place) >= sample:
+            near = added <= place[-1]
+            added, more = added[near], more[near]
+        place, at = np.unique(np.concatenate([place, added]), return_index=True)
+        return place[:sample], np.concatenate([chars, more])[at[:sample]]
+
+    found = docs.select(F.col(text_col).cast("string")).mapInArrow(over, "label int, place long, chars binary")
+    found = stored(found, "findings")
+    # As in the tasks, places are in order as unsigned numbers.
+    order = [F.col("place").bitwiseXOR(F.lit(-(1 << 63)).cast("long")), "chars"]
     rows = {
-        label: found.where(F.col("label") == label).distinct().orderBy("place", "chars").limit(sample).select("chars").toArrow()
-        for label in (0, 1)
+        label: found.where(F.col("label") == label).distinct().orderBy(*order).limit(sample).select("chars").toArrow()["chars"].to_pylist()
+        for label in (0, 1, 2)
     }
     arrays = [
-        np.array([np.frombuffer(chars, np.uint8) for chars in rows[label]["chars"].to_pylist()], np.uint8).reshape(-1, WINDOW)
-        for label in (1, 0)
+        np.array([np.frombuffer(chars, np.uint8) for chars in own], np.uint8).reshape(-1, WINDOW)
+        for own in (rows[1], rows[0] + rows[2])
     ]
     return fit(*arrays)
 
@@ -246,23 +309,41 @@ def scan(docs: DataFrame, net: Network, id_col: str = "doc_id", text_col: str =
 
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            spans, places, windows = [], [], []
+            spans: list[list[tuple[int, int, int, float]]] = []
+            held: list[tuple[int, np.ndarray, np.ndarray, np.ndarray]] = []
+            n = 0
             for i, text in enumerate(batch.column(1).to_pylist()):
                 found = base_spans(text or "")
                 spans.append([(*span, 1.0) for span in found])
-                for start, end in other_runs(text or "", found):
-                    places.append((i, start, end))
-                    windows.append(window(text, start, end))
-            scores = sent.value.score(np.array(windows, np.uint8).reshape(-1, WINDOW))
-            for (i, start, end), score in zip(places, scores.tolist(), strict=True):
-                if score >= sent.value.threshold:
-                    spans[i].append((start, end, 3, score))
+                runs = other_runs(text or "", found)
+                if len(runs):
+                    held.append((i, runs, *windows(text or "", runs)))
+                    n += len(held[-1][2])
+                if n >= SCORED:
+                    judge(spans, held)
+                    held, n = [], 0
+            judge(spans, held)
             rows = [
                 [{"kind": KINDS[kind], "start": start, "end": end, "score": score} for start, end, kind, score in sorted(own, key=lambda s: (s[0], s[2]))]
                 for own in spans
             ]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, shape)], [id_col, "spans"])
 
+    def judge(spans: list[list], held: list[tuple[int, np.ndarray, np.ndarray, np.ndarray]]) -> None:
+        """Add the candidates that reach the threshold in any of their windows."""
+        if not held:
+            return
+        scores = sent.value.score(np.concatenate([h[3] for h in held]))
+        at = 0
+        for i, runs, row, chars in held:
+            own = scores[at : at + len(chars)]
+            at += len(chars)
+            if own.max() >= sent.value.threshold:
+                best = np.zeros(len(runs))
+                np.maximum.at(best, row, own)
+                for k in np.flatnonzero(best >= sent.value.threshold):
+                    spans[i].append((int(runs[k, 0]), int(runs[k, 1]), 3, float(best[k])))
+
     fields = [("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32()), ("score", pa.float64())]
     shape = pa.list_(pa.struct(fields))
     kind = docs.schema[id_col].dataType.simpleString()

@@ -290,6 +290,31 @@ def test_network_adds_secrets_and_spares_plain_runs(spark):
     assert found == {1: ["network"], 2: []}
 
 
+def test_every_run_is_a_whole_candidate():
+    def runs(text):
+        return [text[start:end] for start, end in secret_scan.other_runs(text, secret_scan.base_spans(text))]
+
+    assert runs("key qWeRtYuIoPaSdFgHjKlZ now") == ["qWeRtYuIoPaSdFgHjKlZ"]
+    assert runs("pwd abcd1234 ſecretſecret short1") == ["abcd1234"]
+    assert runs("Q7xY2kLm9Z" + "a1" * 16 + "Z9mLk2Yx7Q") == ["Q7xY2kLm9Z", "Z9mLk2Yx7Q"]
+    assert runs('token = "abcdefgh"') == []
+    for n in (8, 48, 49, 64, 65, 500):
+        text = "a b " + "".join(chr(0x41 + (i * i + i // 7) % 26) for i in range(n)) + " c d"
+        row, chars = secret_scan.windows(text, [(4, 4 + n)])
+        whole = secret_scan._CLASSES[secret_scan._codes(text)].tobytes()
+        bodies = [c[secret_scan.LEFT : secret_scan.LEFT + secret_scan.BODY].tobytes().rstrip(b"\0") for c in chars]
+        assert set(row.tolist()) == {0} and all(body in whole for body in bodies)
+        assert all(any(whole[at : at + min(n, 32)] in body for body in bodies) for at in range(4, 4 + n - min(n, 32) + 1))
+
+
+def test_a_secret_amid_a_long_run(spark):
+    net = secret_scan.train(spark.read.parquet("/root/testdata/sf0.1/documents.parquet"))
+    secret = "7F3A9C0E1D2B4F5A6C7D8E9F0A1B2C3D4E5F6071"
+    rows = [(1, "/".join(["reports"] * 9) + "/" + secret + "/" + "/".join(["reports"] * 9)), (2, "/".join(["reports"] * 18))]
+    found = {r["doc_id"]: [s["kind"] for s in r["spans"]] for r in secret_scan.scan(spark.createDataFrame(rows, "doc_id long, text string"), net).collect()}
+    assert found == {1: ["network"], 2: []}
+
+
 def test_language_held_out(spark):
     labels = {r["doc_id"]: r["lang"] for r in spark.read.parquet(f"{SF_DIR}/documents.parquet").collect()}
     found = [r for r in QUERIES["op9_language"](spark, SF_DIR).collect() if r["held_out"]]
