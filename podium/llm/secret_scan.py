@@ -14,7 +14,8 @@ longer ones alike. In
 half of the training examples the context is blanked, so that the run itself must tell, and in a quarter the run is
 in upper case, in either class. A held-back third
 calibrates the scores (a logistic curve) and sets the threshold: the highest score that still recalls the
-share ``recall`` of the held-back findings, and never less than an even chance. Candidates that reach it
+share ``recall`` of the held-back findings. Candidates stand beside no keyword, so of an ``assign`` finding the network
+is given the value alone, keyword, separator and quotes cut out of its context. Candidates that reach the threshold
 become ``network`` spans; base spans always stay.
 
 Texts are scanned whole and once, per row, without a shuffle. Results by case: null and empty texts have
@@ -242,10 +243,28 @@ def fit(
         at = at - part * move
     net.slope, net.shift = float(at[0]), float(at[1])
     found = np.sort(net.score(windows[held][labels[held] > 0]))
-    net.threshold = max(0.5, float(found[int((1 - recall) * len(found))]))
+    net.threshold = float(found[int((1 - recall) * len(found))])
     return net
 
 
+def finding_windows(text: str, found: list[Span]) -> np.ndarray:
+    """Windows of the base findings as candidates would look: values without their keyword."""
+    out = [np.zeros((0, WINDOW), np.uint8)]
+    values = []
+    for start, end, kind in found:
+        if kind == 0:
+            match = ASSIGN.match(text, start)
+            value, quote = match.group(2), text[match.start(2) - 1]
+            values.append((start, end))
+            after = end + (quote in "\"'" and text[end : end + 1] == quote)
+            before = text[max(0, start - LEFT) : start]
+            out.append(windows(before + value + text[after : after + RIGHT], [(len(before), len(before) + len(value))])[1])
+    # What lies in a value stands beside its keyword, and is read with the value.
+    own = [(start, end) for start, end, kind in found if kind and not any(b < end and start < e for b, e in values)]
+    out.append(windows(text, own)[1])
+    return np.concatenate(out)
+
+
 def _places(chars: np.ndarray) -> np.ndarray:
     """A hash of each window."""
     out = np.zeros(len(chars), np.uint64)
@@ -266,7 +285,7 @@ def train(docs: DataFrame, text_col: str = "text", sample: int = SAMPLE) -> Netw
                 found = base_spans(text or "")
                 runs = other_runs(text or "", found)
                 long = runs[:, 1] - runs[:, 0] >= LONG
-                new[1].append(windows(text or "", np.array([span[:2] for span in found]))[1])
+                new[1].append(finding_windows(text or "", found))
                 new[0].append(windows(text or "", runs[~long])[1])
                 new[2].append(windows(text or "", runs[long])[1])
                 if i % 256 == 255 or i == batch.num_rows - 1:

@@ -315,6 +315,34 @@ def test_a_secret_amid_a_long_run(spark):
     assert found == {1: ["network"], 2: []}
 
 
+def test_recall_alone_sets_the_threshold():
+    pick = np.random.default_rng(2)
+
+    def runs(n, low, high):
+        out = np.zeros((n, secret_scan.WINDOW), np.uint8)
+        body = slice(secret_scan.LEFT, secret_scan.LEFT + 20)
+        out[:, body] = pick.integers(low, high, (n, 20))
+        return out
+
+    # A tenth of the findings look like plain runs.
+    def findings(n):
+        return np.concatenate([runs(n * 9 // 10, 1, 40), runs(n // 10, 50, 90)])
+
+    net = secret_scan.fit(findings(1500), runs(1500, 50, 90))
+    assert net.threshold < 0.5
+    assert (net.score(findings(3000)) >= net.threshold).mean() >= 0.97
+
+
+def test_values_are_learned_without_their_keyword():
+    def found(text):
+        return secret_scan.finding_windows(text, secret_scan.base_spans(text))
+
+    value = "9b0b3c6a43eb78aa99cbd7049c572391524f37a8"
+    for told in (f'token = "{value}"', f"password={value}", f"Secret: '{value}'"):
+        assert found(f"see {told} there").tolist() == found(f"see {value} there").tolist()
+    assert found("see api_key=abcdefgh there").tolist() == secret_scan.windows("see abcdefgh there", [(4, 12)])[1].tolist()
+
+
 def test_language_held_out(spark):
     labels = {r["doc_id"]: r["lang"] for r in spark.read.parquet(f"{SF_DIR}/documents.parquet").collect()}
     found = [r for r in QUERIES["op9_language"](spark, SF_DIR).collect() if r["held_out"]]
