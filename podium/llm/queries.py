@@ -138,6 +138,42 @@ def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("entries", F.array_join("entries", ","))
 
 
+_URL_DEPTHS = r"""
+WITH p AS (
+    SELECT page_id, nullif(lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]+)', 1)), '') AS h,
+           '/p/q/r/' || (page_id % 3) || '/t' AS path
+    FROM pages
+), c AS (SELECT page_id, 'a.b.c.d.e.f.' || h AS host, path FROM p),
+e AS (
+    SELECT DISTINCT 'b.c.d.e.f.' || h AS on_host, '' AS on_path FROM p WHERE length(h) % 2 = 0
+    UNION SELECT 'a.b.c.d.e.f.' || h, '/p/q/r' FROM p WHERE length(h) % 3 = 0
+    UNION SELECT 'f.' || h, '/p/q/r/1/t' FROM p
+), found AS (
+    SELECT page_id, string_agg(on_host || on_path, ',' ORDER BY on_host || on_path) AS entries
+    FROM c JOIN e ON (host = on_host OR ends_with(host, '.' || on_host))
+       AND (on_path = '' OR path = on_path OR starts_with(path, on_path || '/'))
+    WHERE on_host IS NOT NULL GROUP BY page_id
+)
+SELECT page_id, host, coalesce(entries, '') AS entries, entries IS NOT NULL AS listed FROM c LEFT JOIN found USING (page_id)
+"""
+
+
+@query(_URL_DEPTHS)
+def url_filter_depths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages moved to long hosts and deep paths, against entries of as many labels and path parts."""
+    pages = table(spark, sf_dir, "pages").select("page_id", url_filter.host_of("url").alias("h"))
+    path = F.concat(F.lit("/p/q/r/"), (F.col("page_id") % 3).cast("string"), F.lit("/t"))
+    captures = pages.select(
+        "page_id", F.concat(F.lit("https://a.b.c.d.e.f."), "h", path).alias("url"), F.lit("2024-01-10 00:00:00").alias("fetched_at")
+    )
+    size = F.length("h")
+    patterns = pages.where(size % 2 == 0).select(F.concat(F.lit("b.c.d.e.f."), "h").alias("pattern"))
+    patterns = patterns.union(pages.where(size % 3 == 0).select(F.concat(F.lit("a.b.c.d.e.f."), "h", F.lit("/p/q/r"))))
+    patterns = patterns.union(pages.select(F.concat(F.lit("f."), "h", F.lit("/p/q/r/1/t")))).distinct()
+    found = url_filter.listed(captures, patterns.select("pattern", F.lit("2024-01-01 00:00:00").alias("at"), F.lit(True).alias("added")))
+    return found.withColumn("entries", F.array_join("entries", ","))
+
+
 @query()
 def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.similarity_classes(table(spark, sf_dir, "documents"))

@@ -3,8 +3,8 @@
 A list is a log of dated changes: a pattern is added or removed. Each addition becomes a validity interval
 up to the pattern's next change. Patterns are hosts (``example.com`` also covers its subdomains) or a
 host followed by the first parts of a path (``example.com/en``). A capture asks for every pattern that could cover it,
-its host and the suffixes of its host, each with the leading path parts, so that matching is an equality, and an
-as-of join by pattern and span of time picks the entries active at the fetch time.
+its host and the suffixes of its host, each with the leading path parts, in all numbers of labels and parts that entries
+of the list have together, so that matching is an equality, and an as-of join by pattern and span of time picks the entries active at the fetch time.
 
 No step gathers a pattern's changes or a host's captures in one place: the next change is looked up within
 (pattern, span) and, for the last one of a span, among the first changes of later spans; the join is by
@@ -26,8 +26,6 @@ from pyspark.sql import functions as F
 from podium.llm.work import inner_join, stored
 
 SPAN_DAYS = 7
-MAX_LABELS = 6
-MAX_PARTS = 2
 
 
 def host_of(url: str | Column) -> Column:
@@ -42,17 +40,28 @@ def path_parts(url: str) -> Column:
     return F.filter(F.split(path, "/"), lambda part: part != "")
 
 
-def patterns_of(url: str) -> Column:
-    """Every pattern that covers a URL."""
-    labels = F.split(host_of(url), r"\.")
-    n = F.least(F.size(labels), F.lit(MAX_LABELS))
-    hosts = F.transform(F.sequence(F.lit(1), n), lambda k: F.array_join(F.slice(labels, -k, k), "."))
-    # The whole host is asked for even if it has more labels.
-    hosts = F.array_distinct(F.concat(hosts, F.array(host_of(url))))
-    parts = path_parts(url)
-    depth = F.least(F.size(parts), F.lit(MAX_PARTS))
-    tails = F.transform(F.sequence(F.lit(0), depth), lambda k: F.array_join(F.concat(F.array(F.lit("")), F.slice(parts, 1, k)), "/"))
-    return F.flatten(F.transform(hosts, lambda h: F.transform(tails, lambda t: F.concat(h, t))))
+def depths_of(entries: DataFrame) -> list[tuple[int, int]]:
+    """The numbers of labels and path parts that patterns have together."""
+    parts = F.split("pattern", "/")
+    labels = F.split(F.element_at(parts, 1), r"\.")
+    found = entries.select(F.size(labels).alias("labels"), (F.size(parts) - 1).alias("parts")).distinct()
+    return sorted((row["labels"], row["parts"]) for row in found.collect())
+
+
+def patterns_of(url: str, depths: list[tuple[int, int]]) -> Column:
+    """Every pattern of these numbers of labels and path parts that covers a URL."""
+    labels, parts = F.split(host_of(url), r"\."), path_parts(url)
+    known = F.array(*(F.struct(F.lit(k).alias("labels"), F.lit(n).alias("parts")) for k, n in depths or [(1, 0)]))
+    own = F.filter(known, lambda d: (d["labels"] <= F.size(labels)) & (d["parts"] <= F.size(parts)))
+    return F.transform(
+        own,
+        lambda d: F.array_join(
+            F.concat(
+                F.array(F.array_join(F.slice(labels, -d["labels"], d["labels"]), ".")), F.slice(parts, 1, d["parts"])
+            ),
+            "/",
+        ),
+    )
 
 
 def _span(time: str, days: int) -> Column:
@@ -83,12 +92,12 @@ def listed(
     asked = rows.where("url is not null and at is not null")
     bounds = asked.agg(F.min(_span("at", days)).alias("low"), F.max(_span("at", days)).alias("high")).first()
     low, high = (0, 0) if bounds["low"] is None else bounds
-    asked = asked.select("id", "at", _span("at", days).alias("span"), F.explode(patterns_of("url")).alias("pattern"))
     valid = intervals(entries, days)
     begins = F.greatest(_span("valid_from", days), F.lit(low))
     ends = F.least(F.coalesce(_span("valid_to", days), F.lit(high)), F.lit(high))
     valid = valid.withColumn("begins", begins).withColumn("ends", ends).where("begins <= ends")
     valid = stored(valid.select("pattern", "valid_from", "valid_to", F.explode(F.sequence("begins", "ends")).alias("span")), "intervals")
+    asked = asked.select("id", "at", _span("at", days).alias("span"), F.explode(patterns_of("url", depths_of(valid))).alias("pattern"))
     met = inner_join(asked, valid, ["pattern", "span"]).where("at >= valid_from and (valid_to is null or at < valid_to)")
     found = met.groupBy("id").agg(F.array_sort(F.collect_set("pattern")).alias("entries"))
     judged = rows.select("id", host_of("url").alias("host")).join(found, "id", "left")

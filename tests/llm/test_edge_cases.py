@@ -184,3 +184,14 @@ def test_url_lists(spark):
     assert url_filter.listed(captures.limit(0), changes).count() == 0
     assert url_filter.listed(captures, changes.limit(0)).where("listed").count() == 0
     assert url_filter.drop_listed(captures, changes).columns == captures.columns
+
+
+def test_url_lists_of_any_depth(spark):
+    captures = spark.createDataFrame(
+        [(1, "https://a.b.c.d.e.f.example.com/x/y/z/w?q"), (2, "https://example.com/x/y"), (3, "https://b.c.d.e.f.example.com/")],
+        "page_id long, url string",
+    ).withColumn("fetched_at", F.lit("2024-01-10 00:00:00"))
+    patterns = ["example.com/x/y/z", "example.com/x/y/z/w/v", "b.c.d.e.f.example.com", "e.f.example.com/x/y/z/w"]
+    changes = spark.createDataFrame([(p, "2024-01-05 00:00:00", True) for p in patterns], "pattern string, at string, added boolean")
+    found = {r["page_id"]: r["entries"] for r in url_filter.listed(captures, changes).collect()}
+    assert found == {1: ["b.c.d.e.f.example.com", "e.f.example.com/x/y/z/w", "example.com/x/y/z"], 2: [], 3: ["b.c.d.e.f.example.com"]}
