@@ -6,9 +6,9 @@ words, but not none, is one window. Tasks hash every window of a document at onc
 the benchmark's, and compare the words of each hit, so that a chance collision marks nothing. Documents are
 read once and not shuffled.
 
-The windows are broadcast after their number was counted. A benchmark beyond ``max_windows`` takes another
-way to the same rows: documents' windows meet the benchmark's by hash in a shuffled join, and the words are
-then compared.
+The windows are broadcast after their number was counted, once for each item that has them. A benchmark beyond
+``max_windows`` takes another way to the same rows: windows that occur in no document by hash are dropped in a
+shuffled join, and if the others are too many as well, a numbered copy of the documents is scanned block by block.
 
 Results by case: null and empty documents have no words and no hits; null and empty items have no windows,
 and null item ids are ignored; repeated items and items with equal texts count by their distinct ids;
@@ -23,10 +23,11 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from podium.llm.words import Words, cut_words, pieces, window_hashes, words_of
+from podium.llm.work import stored
 
 WINDOW = 10
 MAX_WINDOWS = 2_000_000
@@ -176,36 +177,49 @@ def contamination(
 ) -> DataFrame:
     """(id, n_words, items, hit_from, hit_to), one row per document: sorted item ids, and runs of hit words.
 
-    ``max_windows`` bounds what is broadcast. Of a larger benchmark only the windows whose hash occurs in
-    the documents are kept (a shuffled join); if these are too many as well, the documents are scanned once
-    for each block of ``max_windows`` windows and the marks are united.
+    ``max_windows`` bounds what is broadcast at once, in pairs of a window and an item, about. Of a larger
+    benchmark only the windows whose hash occurs in the documents are kept (a shuffled join); if these are too
+    many as well, the documents are scanned once for each block of pairs and the marks of each row are united.
     """
     spark = docs.sparkSession
     windows = benchmark_windows(items, window, item_col, item_text_col)
-    if windows.limit(max_windows + 1).count() > max_windows:
-        windows = _matching(docs, windows, text_col)
-    grouped = windows.groupBy("size", "hash", "words").agg(F.sort_array(F.collect_list("item")).alias("items"))
-    n = grouped.count()
+    n = windows.limit(max_windows + 1).count()
+    if n > max_windows:
+        windows = stored(_matching(docs, windows, text_col), "windows")
+        n = windows.count()
     blocks = max(1, -(-n // max_windows))
+    if blocks == 1:
+        return _scan(docs, _scanner(spark, windows), id_col, text_col)
+    # Rows with one id, or none, stay apart by their number; the copy keeps it the same in all scans.
+    numbered = docs.select(
+        F.struct(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id")).alias("key"), F.col(text_col).cast("string").alias("text")
+    )
+    numbered = stored(numbered, "numbered")
     found = None
     for block in range(blocks):
-        own = grouped if blocks == 1 else grouped.where(F.pmod(F.xxhash64("words"), F.lit(blocks)) == block)
-        sent = spark.sparkContext.broadcast([tuple(row) for row in own.collect()])
-        rows = _scan(docs, lambda sent=sent: _Scanner(_lookup(sent.value)), id_col, text_col)
+        own = windows.where(F.pmod(F.xxhash64("words", "item"), F.lit(blocks)) == block)
+        rows = _scan(numbered, _scanner(spark, own), "key", "text")
         found = rows if found is None else found.union(rows)
-    return found if blocks == 1 else _united(found, id_col)
+    return _united(found, id_col)
+
+
+def _scanner(spark: SparkSession, windows: DataFrame) -> Callable[[], _Scanner]:
+    """A scanner over broadcast windows."""
+    grouped = windows.groupBy("size", "hash", "words").agg(F.sort_array(F.collect_list("item")).alias("items"))
+    sent = spark.sparkContext.broadcast([tuple(row) for row in grouped.collect()])
+    return lambda: _Scanner(_lookup(sent.value))
 
 
 def _united(rows: DataFrame, id_col: str) -> DataFrame:
-    """The marks of several scans of the same documents as one row per document."""
+    """The marks of several scans of the same rows (key: row and id) as one row each."""
     places = F.flatten(F.transform(F.arrays_zip("hit_from", "hit_to"), lambda r: F.sequence(r["hit_from"], r["hit_to"] - 1)))
-    marked = rows.groupBy(id_col, "n_words").agg(
+    marked = rows.groupBy("key", "n_words").agg(
         F.sort_array(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
         F.sort_array(F.array_distinct(F.flatten(F.collect_list(places)))).alias("w"),
     )
     begins = F.filter("w", lambda x: ~F.array_contains("w", x - 1))
     ends = F.transform(F.filter("w", lambda x: ~F.array_contains("w", x + 1)), lambda x: x + 1)
-    return marked.select(id_col, "n_words", "items", begins.alias("hit_from"), ends.alias("hit_to"))
+    return marked.select(F.col("key.id").alias(id_col), "n_words", "items", begins.alias("hit_from"), ends.alias("hit_to"))
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", **settings) -> DataFrame:

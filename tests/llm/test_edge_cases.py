@@ -116,6 +116,31 @@ def test_contamination_beyond_the_broadcast_limit(hard, items):
     assert {r["doc_id"]: tuple(map(str, r)) for r in few.collect()} == {r["doc_id"]: tuple(map(str, r)) for r in all_.collect()}
 
 
+def test_contamination_in_blocks_keeps_every_row(spark, hard, items):
+    """Repeated rows, null ids, and different texts of as many words under one id."""
+    passage = "the old mill and the children watched the boats drift"
+    rows = [(None, passage), (None, passage), (None, passage.replace("old", "new")), (50, passage), (50, passage.upper()), (50, passage.replace("mill", "barn"))]
+    docs = hard.select("doc_id", "text").union(spark.createDataFrame(rows, "doc_id long, text string"))
+    more = items.union(spark.createDataFrame([(100 + k, passage) for k in range(6)], items.schema))
+    few, all_ = (sorted(map(str, decontaminate.contamination(docs, more, max_windows=n).collect())) for n in (2, 1_000))
+    assert len(few) == len(IDS) + 6
+    assert few == all_
+
+
+def test_blocks_are_bounded_by_pairs(spark, hard, items, monkeypatch):
+    sizes = []
+    lookup = decontaminate._scanner
+
+    def seen(spark, windows):
+        sizes.append(windows.count())
+        return lookup(spark, windows)
+
+    monkeypatch.setattr(decontaminate, "_scanner", seen)
+    same = spark.createDataFrame([(k, "the old mill and the children watched the boats drift") for k in range(200)], items.schema)
+    decontaminate.contamination(hard, same, max_windows=50)
+    assert len(sizes) == 4 and sum(sizes) == 200 and max(sizes) <= 80
+
+
 def test_removed_spans(hard, items):
     cut = by_id(decontaminate.remove_spans(hard, items))
     assert cut[1]["text"] == PROSE.replace("the old mill and the children watched the boats drift", " ")
