@@ -9,11 +9,11 @@ from pyspark.sql import functions as F
 
 from podium.catalog.registry import Query, table
 from podium.llm import (
-    byte_bpe, decontaminate, exact_dedup, jaccard_join, language, line_dedup, paragraph_dedup, quality, secret_scan,
-    url_filter,
+    alignment, byte_bpe, decontaminate, exact_dedup, jaccard_join, language, line_dedup, paragraph_dedup, periodic_runs,
+    quality, secret_scan, url_filter, warc,
 )
-from podium.llm.work import ship
-from podium.session import utc
+from podium.llm.work import ship, stored
+from podium.session import utc, work_folder
 
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
@@ -255,3 +255,80 @@ def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op10_paragraph_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return paragraph_dedup.repeated_passages(table(spark, sf_dir, "documents"))
+
+
+_WARC = """
+WITH p AS (
+    SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest
+    FROM pages
+), f AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first_id FROM p)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 100 AND page_id <> first_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 100 AND page_id <> first_id THEN first_id END AS refers_to
+FROM f
+"""
+
+
+@query(_WARC)
+def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to archives, and what the records read back say."""
+    folder = work_folder(spark, "archives")
+    warc.write_archives(table(spark, sf_dir, "pages"), folder)
+    records = stored(warc.read_archives(spark, folder, with_payload=False, strict=True), "records")
+
+    def page(headers: str) -> Column:
+        return F.element_at(headers, warc.PAGE_ID).cast("long")
+
+    return warc.resolved(records).select(
+        page("headers").alias("page_id"), "payload_bytes", "payload_digest", "record_type", page("refers_to").alias("refers_to")
+    )
+
+
+def alignment_models() -> tuple[str, str]:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+
+
+@query()
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = alignment.aligned(table(spark, sf_dir, "documents"), *alignment_models())
+    digest = F.when(F.col("groups") == "", F.lit("")).otherwise(F.sha2("groups", 256))
+    return found.select(
+        "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", digest.alias("groups_sha256")
+    )
+
+
+def rearranged(docs: DataFrame) -> DataFrame:
+    """(doc_id, text): the words of a tenth of the documents, picked by a checksum of the id, are made periodic."""
+    words = F.filter(F.split(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    rows = docs.select("doc_id", "text", F.crc32(F.col("doc_id").cast("string").cast("binary")).alias("h"))
+    rows = rows.withColumn("w", F.when(F.col("h") % 10 == 0, words)).withColumn("n", F.size("w"))
+    rows = rows.withColumn("g", F.floor(F.col("h") / 10)).withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n")))
+    rows = rows.withColumn("p", 1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8)))
+    begin = F.slice("w", F.lit(1), F.col("a").cast("int"))
+    unit = F.slice("w", (F.col("a") + 1).cast("int"), F.col("p").cast("int"))
+    # The period is at most a third of the rest and one more, so a few copies of it fill the rest.
+    rest = F.flatten(F.array_repeat(unit, F.ceil((F.col("n") - F.col("a")) / F.col("p")).cast("int")))
+    rest = F.slice(rest, F.lit(1), (F.col("n") - F.col("a")).cast("int"))
+    made = F.array_join(F.concat(begin, rest), " ")
+    return rows.select("doc_id", F.when(F.col("n") > 0, made).otherwise(F.col("text")).alias("text"))
+
+
+@query()
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.periodic_runs(rearranged(table(spark, sf_dir, "documents")))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    order = F.transform("runs", lambda r: F.struct((-r["length"]).alias("l"), r["start"].alias("s"), r["period"].alias("p")))
+    longest = F.array_min(order)
+    start, length, period = longest["s"], -longest["l"], longest["p"]
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        start.alias("start"),
+        length.alias("length"),
+        period.alias("period"),
+        F.floor(1000 * length / period).alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
