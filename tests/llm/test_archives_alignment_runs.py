@@ -181,12 +181,14 @@ def test_strict_reading_fails(spark, tmp_path):
 # ---- alignment
 
 
+BYTE_OF = alignment._byte_table()
+
+
 def pieces_of(text, a_model, b_model):
     """Bytes of both tokenizers' tokens, from the libraries' own tables."""
-    plain = {i: c for c, i in a_model.get_vocab().items()}
     a = a_model.encode(" " + text, add_special_tokens=False).ids
     b = b_model.encode(text)
-    a_bytes = [bytes(alignment._byte_table()[c] for c in plain[i]) for i in a]
+    a_bytes = [bytes(BYTE_OF[c] for c in a_model.id_to_token(i)) for i in a]
     b_bytes = [
         bytes([int(p[3:5], 16)]) if re.fullmatch("<0x[0-9A-F]{2}>", p) else p.replace("▁", " ").encode()
         for p in map(b_model.id_to_piece, b)
@@ -205,12 +207,11 @@ def brute_alignment(texts):
             a, b, a_bytes, b_bytes = pieces_of(text, a_model, b_model)
             if b"".join(a_bytes) == b"".join(b_bytes) == (" " + text).encode():
                 a_ends, b_ends = np.cumsum([*map(len, a_bytes)]).tolist(), np.cumsum([*map(len, b_bytes)]).tolist()
-                low = 0
+                i = j = 0
                 for cut in sorted({*a_ends} & {*b_ends}):
-                    found.append(
-                        ([i for i, e in zip(a, a_ends) if low < e <= cut], [i for i, e in zip(b, b_ends) if low < e <= cut])
-                    )
-                    low = cut
+                    to_i, to_j = a_ends.index(cut, i) + 1, b_ends.index(cut, j) + 1
+                    found.append((a[i:to_i], b[j:to_j]))
+                    i, j = to_i, to_j
         groups.append(found)
         counts.update({(x, y) for left, right in found for x in left for y in right})
     most = defaultdict(int)
