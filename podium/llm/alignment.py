@@ -14,8 +14,8 @@ when the models are loaded). So texts are cut there, each distinct chunk is enco
 (a bounded memory, dropped when full), and a text's groups are those of its chunks.
 
 **Counts.** Distinct links of each document are stored once; a count with partial sums gives the number of documents
-of each id pair, and the highest count of each id of A. The documents' links meet the counts in a join that is broadcast when
-measured small and salted for hot pairs otherwise, and are summed per row.
+of each id pair, and the highest count of each id of A. While the counts measure small they are broadcast as sorted arrays and
+looked up where the documents lie; beyond that the links meet them in a join, salted for hot pairs, and are summed per row.
 
 Results by case: null and empty texts, and texts whose tokens do not spell the text (the piece character
 U+2581 itself, say), have no tokens: zeros, no groups, and no part in the counts; ties for the highest count are all best;
@@ -47,9 +47,11 @@ _JOINED = 1 << 15
 _SPACE_PIECE = "▁".encode()
 
 SCHEMA = (
-    "id long, n_a long, n_b long, n_groups long, n_links long, groups string, pairs array<long>, times array<long>"
+    "id long, n_a long, n_b long, n_groups long, n_links long, groups string, a_ids array<int>, b_ids array<int>, times array<int>"
 )
 SHIFT = 32
+#: Of a count in the broadcast arrays.
+COUNT_BYTES = 24
 
 
 def pointers(a_end: np.ndarray, b_end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -232,6 +234,23 @@ class Chunks:
         self.sums = np.zeros((0, 4), np.int64)
         self.pairs = np.zeros(0, np.int64)
         self.first = np.zeros(1, np.int64)
+        self.hits = np.zeros(0, np.int64)
+
+    def thin(self) -> None:
+        """Keep the chunks that came more than once lately, at most half of the memory; the others can be aligned again."""
+        chunks = list(self.known)
+        size = np.diff(self.first)
+        short = np.fromiter(map(len, chunks), np.int64, len(chunks)) <= CHUNK_BYTES
+        keep = np.flatnonzero((self.hits > 1) & short & (size <= CHUNK_BYTES))
+        keep = np.sort(keep[np.argsort(-self.hits[keep], kind="stable")][: CHUNKS // 2])
+        shown, size, sums, hits = self.shown, size[keep], self.sums[keep], self.hits[keep] // 2
+        pairs = self.pairs[np.arange(size.sum()) + np.repeat(self.first[keep] - (np.cumsum(size) - size), size)]
+        self.forget()
+        if pairs.size <= 8 * CHUNKS:
+            self.known = {chunks[k]: at for at, k in enumerate(keep.tolist())}
+            self.shown = [shown[k] for k in keep.tolist()]
+            self.sums, self.pairs, self.hits = sums, pairs, hits
+            self.first = np.concatenate([[0], np.cumsum(size)])
 
     def add(self, chunks: list[bytes]) -> None:
         """Encode and align chunks, each a space and what follows it."""
@@ -281,13 +300,16 @@ class Chunks:
         self.sums = np.concatenate([self.sums, sums])
         self.pairs = np.concatenate([self.pairs, pairs])
         self.first = np.concatenate([self.first, self.first[-1] + np.cumsum(sums[:, 3])])
+        self.hits = np.concatenate([self.hits, np.zeros(len(chunks), np.int64)])
 
     def numbers(self, chunks: list[bytes]) -> np.ndarray:
         """The number of each chunk; new ones are aligned together."""
         fresh = [c for c in dict.fromkeys(chunks) if c not in self.known]
         if fresh:
             self.add(fresh)
-        return np.fromiter(map(self.known.__getitem__, chunks), np.int64, len(chunks))
+        found = np.fromiter(map(self.known.__getitem__, chunks), np.int64, len(chunks))
+        self.hits += np.bincount(found, minlength=len(self.hits))
+        return found
 
 
 _REMEMBERED: dict[tuple[bytes, bytes], Chunks] = {}
@@ -309,13 +331,13 @@ def chunk_bounds(data: np.ndarray) -> np.ndarray:
 
 
 def _align(column: pa.Array, chunks: Chunks) -> Iterator[list]:
-    """(n_a, n_b, n_groups, n_links, groups, pairs, times) of each text of a column."""
+    """(n_a, n_b, n_groups, n_links, groups, distinct pairs, times) of each text of a column."""
     data, offsets = text_buffer(column)
     row, rows = 0, len(offsets) - 1
     while row < rows:
         stop = max(row + 1, int(np.searchsorted(offsets, offsets[row] + _PIECE, "right")) - 1)
         if chunks.large or len(chunks.known) > CHUNKS or len(chunks.pairs) > 16 * CHUNKS:
-            chunks.forget()
+            chunks.thin()
         parts, counts = [], []
         for i in range(row, stop):
             own = data[offsets[i] : offsets[i + 1]]
@@ -346,17 +368,19 @@ def _align(column: pa.Array, chunks: Chunks) -> Iterator[list]:
         row = stop
 
 
-def _lists(values: list) -> pa.Array:
-    offsets = np.concatenate([[0], np.cumsum([len(v) for v in values])]).astype(np.int32)
-    flat = np.concatenate([np.zeros(0, np.int64), *(np.asarray(v, np.int64) for v in values)])
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
+def _lists(pairs: list, times: list) -> list[pa.Array]:
+    """Columns of the ids of A, those of B, and the times."""
+    offsets = pa.array(np.concatenate([[0], np.cumsum([len(p) for p in pairs])]).astype(np.int32))
+    flat, often = (np.concatenate([np.zeros(0, np.int64), *(np.asarray(v, np.int64) for v in c)]) for c in (pairs, times))
+    columns = (flat >> SHIFT, flat & ((1 << SHIFT) - 1), often)
+    return [pa.ListArray.from_arrays(offsets, pa.array(c.astype(np.int32))) for c in columns]
 
 
 def links(docs: DataFrame, a_path: str, b_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, n_a, n_b, n_groups, n_links, groups, pairs, times), one row per document.
+    """(id, n_a, n_b, n_groups, n_links, groups, a_ids, b_ids, times), one row per document.
 
-    ``groups`` is ``a1,a2|b1;a3|b2,b3`` in ids; ``pairs`` are the distinct linked pairs, ``a << 32 | b``, and
-    ``times`` how often each is linked in the document.
+    ``groups`` is ``a1,a2|b1;a3|b2,b3`` in ids; ``a_ids`` and ``b_ids`` are the distinct linked pairs, and
+    ``times`` says how often each is linked in the document.
     """
     # The models are read here and shipped, since executors need not see the files.
     with open(a_path, "rb") as a_file, open(b_path, "rb") as b_file:
@@ -372,7 +396,7 @@ def links(docs: DataFrame, a_path: str, b_path: str, id_col: str = "doc_id", tex
                 columns = list(zip(*rows, strict=True))
                 arrays = [batch.column(0).slice(begun, len(rows))]
                 arrays += [pa.array(c, pa.int64()) for c in columns[:4]]
-                arrays += [pa.array(columns[4], pa.string()), _lists(columns[5]), _lists(columns[6])]
+                arrays += [pa.array(columns[4], pa.string()), *_lists(columns[5], columns[6])]
                 return pa.RecordBatch.from_arrays(arrays, names)
 
             for row in _align(batch.column(1), chunks):
@@ -388,12 +412,59 @@ def links(docs: DataFrame, a_path: str, b_path: str, id_col: str = "doc_id", tex
     return rows.mapInArrow(over, SCHEMA)
 
 
-def pair_counts(linked: DataFrame) -> DataFrame:
-    """(pair, n, best): documents that hold each id pair, and whether no other pair of its id of A is in more."""
-    counts = linked.select(F.explode("pairs").alias("pair")).groupBy("pair").agg(F.count(F.lit(1)).alias("n"))
-    counts = stored(counts.withColumn("a", F.shiftright("pair", SHIFT)), "pair-counts")
+def held_pairs(linked: DataFrame) -> DataFrame:
+    """(row, pair, times) of each distinct pair of each document; a pair is ``a << 32 | b``."""
+    held = linked.select("row", F.explode(F.arrays_zip("a_ids", "b_ids", "times")).alias("h"))
+    pair = F.shiftleft(F.col("h.a_ids").cast("long"), SHIFT).bitwiseOR(F.col("h.b_ids").cast("long"))
+    return held.select("row", pair.alias("pair"), F.col("h.times").alias("times"))
+
+
+def pair_counts(held: DataFrame) -> DataFrame:
+    """(pair, n, best): documents that hold each id pair, and 1 where no other pair of its id of A is in more.
+
+    Pairs of a single document whose id of A has a better one are left out: theirs are 1 and 0.
+    """
+    counts = held.groupBy("pair").agg(F.count(F.lit(1)).alias("n")).withColumn("a", F.shiftright("pair", SHIFT))
+    counts = stored(counts, "pair-counts")
     most = counts.groupBy("a").agg(F.max("n").alias("most"))
-    return counts.join(most, "a").select("pair", "n", (F.col("n") == F.col("most")).cast("long").alias("best"))
+    best = (F.col("n") == F.col("most")).cast("long")
+    return counts.join(most, "a").where("n > 1 or most = 1").select("pair", "n", best.alias("best"))
+
+
+def summed_here(linked: DataFrame, counts: DataFrame) -> DataFrame:
+    """The documents with their sums, looked up in a broadcast of the counts; nothing moves."""
+    table = counts.orderBy("pair").toArrow()
+    columns = tuple(table[c].combine_chunks().to_numpy() for c in ("pair", "n", "best"))
+    shipped = linked.sparkSession.sparkContext.broadcast(columns)
+
+    def sums(a: pa.Array, b: pa.Array, times: pa.Array) -> pa.Array:
+        known, n, best = shipped.value
+        pair = (a.flatten().to_numpy().astype(np.int64) << SHIFT) | b.flatten().to_numpy()
+        often = times.flatten().to_numpy().astype(np.int64)
+        # Pairs that are not counted are in one document, and not the best of their id of A.
+        place = np.minimum(np.searchsorted(known, pair), max(len(known) - 1, 0))
+        there = known[place] == pair if len(known) else np.zeros(len(pair), bool)
+        first = np.concatenate([[0], np.cumsum(times.value_lengths().fill_null(0).to_numpy())])
+        out = []
+        for values, default in ((best, 0), (n, 1)):
+            each = np.full(len(pair), default, np.int64)
+            each[there] = values[place[there]]
+            total = np.concatenate([[0], np.cumsum(each * often)])
+            out.append(pa.array(total[first[1:]] - total[first[:-1]]))
+        return pa.StructArray.from_arrays(out, ["n_best", "count_sum"])
+
+    sums.__annotations__ = {"a": pa.Array, "b": pa.Array, "times": pa.Array, "return": pa.Array}
+    found = F.arrow_udf(sums, "n_best long, count_sum long")("a_ids", "b_ids", "times")
+    return linked.withColumn("sums", found).select(*linked.columns, "sums.*")
+
+
+def summed_by_join(linked: DataFrame, counts: DataFrame, sizing: SizingConfig) -> DataFrame:
+    """The documents with their sums, by a join of all pairs with the counts."""
+    sums = enrich(held_pairs(linked), counts, "pair", how="left", sizing=sizing).groupBy("row").agg(
+        F.sum(F.col("times") * F.coalesce("best", F.lit(0))).alias("n_best"),
+        F.sum(F.col("times") * F.coalesce("n", F.lit(1))).alias("count_sum"),
+    )
+    return linked.join(sums, "row", "left")
 
 
 def aligned(
@@ -407,17 +478,14 @@ def aligned(
     """(id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups), one row per document.
 
     ``n_best`` are the links whose pair is in as many documents as any pair of its id of A, ``count_sum`` is the sum, over
-    the links, of the documents that hold the pair.
+    the links, of the documents that hold the pair. The counts are broadcast when they measure less than
+    ``sizing`` allows (24 bytes a pair).
     """
     linked = links(docs, a_path, b_path, id_col, text_col)
-    linked = stored(linked.withColumn("row", F.monotonically_increasing_id()), "links")
-    held = linked.select("row", F.explode(F.arrays_zip("pairs", "times")).alias("h")).select("row", "h.pairs", "h.times")
-    held = held.withColumnRenamed("pairs", "pair")
-    counts = stored(pair_counts(linked), "counts")
-    sums = enrich(held, counts, "pair", sizing=sizing).groupBy("row").agg(
-        F.sum(F.col("times") * F.col("best")).alias("n_best"), F.sum(F.col("times") * F.col("n")).alias("count_sum")
-    )
-    rows = linked.select("row", "id", "n_a", "n_b", "n_groups", "n_links", "groups").join(sums, "row", "left")
+    linked = stored(linked.withColumn("row", F.monotonically_increasing_id()), "links", compression="zstd")
+    counts = stored(pair_counts(held_pairs(linked)), "counts")
+    small = counts.count() * COUNT_BYTES <= sizing.broadcast_bytes
+    rows = summed_here(linked, counts) if small else summed_by_join(linked, counts, sizing)
     return rows.select(
         F.col("id").alias(id_col),
         "n_a",

@@ -35,10 +35,10 @@ def ship(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def stored(rows: DataFrame, label: str) -> DataFrame:
+def stored(rows: DataFrame, label: str, compression: str | None = None) -> DataFrame:
     """The rows, written once to the shared work folder and read from there; cuts the lineage."""
     folder = work_folder(rows.sparkSession, label)
-    rows.write.parquet(folder)
+    rows.write.parquet(folder, compression=compression)
     return rows.sparkSession.read.schema(rows.schema).parquet(folder)
 
 
