@@ -40,10 +40,11 @@ from podium.llm.work import stored
 from podium.operators.joins import enrich
 
 #: Chunks that a worker remembers, and the longest one that it does.
-CHUNKS = 300_000
+CHUNKS = 200_000
 CHUNK_BYTES = 256
 _PIECE = 1 << 20
 _JOINED = 1 << 15
+_ROWS = 256
 _SPACE_PIECE = "▁".encode()
 
 SCHEMA = (
@@ -389,7 +390,7 @@ def links(docs: DataFrame, a_path: str, b_path: str, id_col: str = "doc_id", tex
 
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chunks = remembered(*shipped.value)
-        for batch in batches:
+        for batch in (whole.slice(i, _ROWS) for whole in batches for i in range(0, whole.num_rows, _ROWS)):
             rows, begun, size = [], 0, 0
 
             def packed(rows: list, begun: int) -> pa.RecordBatch:
@@ -437,7 +438,7 @@ def summed_here(linked: DataFrame, counts: DataFrame) -> DataFrame:
     columns = tuple(table[c].combine_chunks().to_numpy() for c in ("pair", "n", "best"))
     shipped = linked.sparkSession.sparkContext.broadcast(columns)
 
-    def sums(a: pa.Array, b: pa.Array, times: pa.Array) -> pa.Array:
+    def of(a: pa.Array, b: pa.Array, times: pa.Array) -> list[np.ndarray]:
         known, n, best = shipped.value
         pair = (a.flatten().to_numpy().astype(np.int64) << SHIFT) | b.flatten().to_numpy()
         often = times.flatten().to_numpy().astype(np.int64)
@@ -445,13 +446,18 @@ def summed_here(linked: DataFrame, counts: DataFrame) -> DataFrame:
         place = np.minimum(np.searchsorted(known, pair), max(len(known) - 1, 0))
         there = known[place] == pair if len(known) else np.zeros(len(pair), bool)
         first = np.concatenate([[0], np.cumsum(times.value_lengths().fill_null(0).to_numpy())])
-        out = []
+        found = []
         for values, default in ((best, 0), (n, 1)):
             each = np.full(len(pair), default, np.int64)
             each[there] = values[place[there]]
             total = np.concatenate([[0], np.cumsum(each * often)])
-            out.append(pa.array(total[first[1:]] - total[first[:-1]]))
-        return pa.StructArray.from_arrays(out, ["n_best", "count_sum"])
+            found.append(total[first[1:]] - total[first[:-1]])
+        return found
+
+    def sums(a: pa.Array, b: pa.Array, times: pa.Array) -> pa.Array:
+        parts = [of(*(c.slice(i, _ROWS) for c in (a, b, times))) for i in range(0, len(a), _ROWS)]
+        columns = [np.concatenate([np.zeros(0, np.int64), *c]) for c in zip(*parts, strict=True)] or [[], []]
+        return pa.StructArray.from_arrays([pa.array(c, pa.int64()) for c in columns], ["n_best", "count_sum"])
 
     sums.__annotations__ = {"a": pa.Array, "b": pa.Array, "times": pa.Array, "return": pa.Array}
     found = F.arrow_udf(sums, "n_best long, count_sum long")("a_ids", "b_ids", "times")
