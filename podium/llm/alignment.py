@@ -40,7 +40,7 @@ from podium.llm.work import stored
 from podium.operators.joins import enrich
 
 #: Chunks that a worker remembers, and the longest one that it does.
-CHUNKS = 200_000
+CHUNKS = 120_000
 CHUNK_BYTES = 256
 _PIECE = 1 << 20
 _JOINED = 1 << 15
