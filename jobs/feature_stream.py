@@ -13,7 +13,7 @@ from podium.config import StreamJobConfig, load
 from podium.schemas import RESULT_MESSAGE, TIMED_RESULT_MESSAGE
 from podium.session import build_session
 from podium.sources import read_jdbc, read_parquet
-from podium.streaming import run_feature_stream, run_refreshed_stream, run_rolling_stream
+from podium.streaming import run_feature_stream, run_parked_stream, run_refreshed_stream, run_rolling_stream
 
 
 def main(arguments: list[str] | None = None) -> None:
@@ -29,6 +29,8 @@ def main(arguments: list[str] | None = None) -> None:
 
     if job.rolling:
         run_rolling_stream(spark, job.stream, job.rolling, dim(), TIMED_RESULT_MESSAGE)
+    elif job.parking:
+        run_parked_stream(spark, job.stream, job.parking, dim, TIMED_RESULT_MESSAGE)
     elif job.stream.refresh_seconds:
         run_refreshed_stream(spark, job.stream, dim, RESULT_MESSAGE)
     else:

@@ -13,7 +13,7 @@ from pyspark.sql.types import StructType
 
 from podium.catalog.messages import EVENT_MESSAGE, events
 from podium.catalog.registry import query, settled, table
-from podium.config import FeatureConfig, RollingConfig, SizingConfig, StreamConfig, TopicConfig
+from podium.config import FeatureConfig, ParkingConfig, RollingConfig, SizingConfig, StreamConfig, TopicConfig
 from podium.functions import parse_messages
 from podium.operators import enrich, latest_per_key, rolling_averages
 from podium.session import work_folder
@@ -21,10 +21,12 @@ from podium.sinks import read_history, write_topic
 from podium.sources import read_topic, stream_topic
 from podium.streaming import (
     Dimension,
+    decided,
     feature_schema,
     prepare_dimension,
     read_features,
     run_feature_stream,
+    run_parked_stream,
     run_refreshed_stream,
     run_rolling_stream,
 )
@@ -248,6 +250,55 @@ def stream_refreshed_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(latest_per_key(read_features(spark, stream, EVENT_MESSAGE, dim), EVENT_FEATURES.keys))
 
 
+def _late_customers(spark: SparkSession, sf_dir: str, root: str, timeout: str) -> tuple[StreamConfig, ParkingConfig]:
+    """Weekly loads; a fifth of the customers comes a week after each of the first five, the rest of a week's after its load."""
+    stream = event_stream(root)
+    parking = ParkingConfig(f"{root}/parked", TopicConfig(f"{root}/ready"), event_time="ts", timeout=timeout)
+    dim = customers(spark, sf_dir)
+
+    def after(n: int) -> None:
+        known = dim.where(F.col("user_id") % 5 < n)
+        run_parked_stream(spark, stream, parking, lambda: known, EVENT_MESSAGE, rounds=1)
+
+    i = -1
+    for i, _ in enumerate(publish_weekly(spark, sf_dir, stream.topic)):
+        after(i)
+    after(max(i + 1, 5))
+    return stream, parking
+
+
+@query(_LATEST)
+def stream_parked_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events before their customers: they wait, and all of them count in the end."""
+    stream, _ = _late_customers(spark, sf_dir, work_folder(spark, "parked"), "1000 days")
+    history = read_features(spark, stream, EVENT_MESSAGE, customers(spark, sf_dir))
+    return rounded(latest_per_key(history, EVENT_FEATURES.keys))
+
+
+@query(
+    """
+WITH b AS (SELECT week, row_number() OVER (ORDER BY week) - 1 AS i, newest FROM (
+    SELECT date_trunc('week', ts) AS week, max(max(ts)) OVER (ORDER BY date_trunc('week', ts)) AS newest FROM events GROUP BY week)),
+last AS (SELECT max(i) AS i FROM b),
+e AS (
+  SELECT event_type, ts, b.i, CASE WHEN c_custkey IS NOT NULL THEN least(greatest(b.i, c_custkey % 5 + 1), last.i + 1) END AS met, last.i AS last
+  FROM events JOIN b ON date_trunc('week', ts) = week CROSS JOIN last LEFT JOIN customer ON user_id = c_custkey),
+s AS (
+  SELECT event_type, met, ts < (SELECT newest FROM b WHERE b.i = coalesce(met - 1, last)) - INTERVAL 10 DAY
+                          AND e.i <= coalesce(met - 1, last) AS late FROM e)
+SELECT event_type, CASE WHEN late THEN 'expired' WHEN met IS NULL THEN 'parked' ELSE 'ready' END AS status, count(*) AS n_rows
+FROM s GROUP BY ALL
+"""
+)
+def stream_expired_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same loads, when messages wait ten days: how many went on, wait, or were given up."""
+    root = work_folder(spark, "expired")
+    _, parking = _late_customers(spark, sf_dir, root, "10 days")
+    kind = StructType([EVENT_MESSAGE["event_type"]])
+    rows = parse_messages(decided(spark, parking), kind, keep=["status"])
+    return rows.groupBy("event_type", "status").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
 @query(f"SELECT sink, l.* FROM ({_LATEST}) l, (VALUES ('steady'), ('flaky')) s(sink)")
 def stream_failing_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A sink that fails at first: the other gets the batch, the run fails, the next run completes both."""

@@ -159,6 +159,19 @@ class RollingConfig:
     delay: str = "1 hour"
 
 
+@dataclass(frozen=True)
+class ParkingConfig:
+    """Messages that wait for their dimension row, in event time.
+
+    ``folder`` holds their versions, ``ready`` is the topic that matched ones go on to.
+    """
+
+    folder: str
+    ready: TopicConfig
+    event_time: str = "timestamp"
+    timeout: str = "30 days"
+
+
 @dataclass(frozen=True)
 class StreamJobConfig:
     """A feature stream and where its dimension lives: a database table or a Parquet path."""
@@ -167,6 +180,7 @@ class StreamJobConfig:
     dim_table: JdbcConfig | None = None
     dim_path: str | None = None
     rolling: RollingConfig | None = None  # windows instead of averages since the start
+    parking: ParkingConfig | None = None  # with refresh_seconds: messages wait for late dimension rows
 
 
 def from_dict(kind: type, values: dict[str, Any]):

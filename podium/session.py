@@ -75,6 +75,21 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return files.exists(target)
 
 
+def names_in(spark: SparkSession, folder: str) -> list[str]:
+    """Names of the finished entries of a folder, sorted; none where there is no folder."""
+    target, files = _file_system(spark, folder)
+    if not files.exists(target):
+        return []
+    names = (status.getPath().getName() for status in files.listStatus(target))
+    return sorted(name for name in names if not name.startswith(("_", ".")))
+
+
+def mark(spark: SparkSession, path: str) -> None:
+    """An empty file that says that something is done."""
+    target, files = _file_system(spark, path)
+    files.create(target, True).close()
+
+
 def move_into_place(spark: SparkSession, source: str, target: str) -> None:
     """Rename a finished folder; readers see all of it or nothing."""
     path, files = _file_system(spark, source)

@@ -28,18 +28,22 @@ def write_topic(
     Without an id rows are appended. Kafka may see a replayed load twice: consumers tell by the message
     key and the stream and batch id in the message.
     """
-    records = to_records(df, key_columns)
+    write_records(to_records(df, key_columns), topic, load_id)
+
+
+def write_records(records: DataFrame, topic: TopicConfig, load_id: str | None = None) -> None:
+    """Publish (key, value) records as they are, under the same rules."""
     if topic.format == "kafka":
         records.write.format("kafka").option("topic", topic.name).options(**topic.options).save()
         return
     if topic.format == "text":
-        records = records.select("value")
+        records = records.select(F.col("value").cast("string"))
     else:
         records = records.select(*(F.col(c).cast("binary") for c in ("key", "value")))
     if load_id is None:
         records.write.format(topic.format).mode("append").options(**topic.options).save(topic.name)
     else:
-        spark = df.sparkSession
+        spark = records.sparkSession
         target = f"{topic.name}/load-{load_id}"
         if path_exists(spark, target):
             return
