@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import replace
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,6 +14,8 @@ from podium.functions import clean_text, try_number
 from podium.operators import enrich, feature_averages, number_columns, valid_features
 from podium.plans import feature_table, run_lake
 from podium.session import work_folder
+from podium.sinks import replace_table
+from podium.sources import read_table
 
 ORDER_FEATURES = FeatureConfig(
     key="custkey",
@@ -328,3 +331,35 @@ def gold_decimal_plans(spark: SparkSession, sf_dir: str) -> DataFrame:
         "n_plans",
         *(settled(F.col(f"avg_{m}").cast("double"), 4).alias(f"avg_{m}") for m in features.measures),
     )
+
+
+@query(
+    """
+WITH o AS (SELECT *, 'before' AS state FROM orders WHERE o_orderkey % 3 <> 0
+           UNION ALL SELECT *, 'failed' FROM orders WHERE o_orderkey % 3 <> 0 UNION ALL SELECT *, 'after' FROM orders)
+SELECT state, o_orderstatus, c_mktsegment, avg(CAST(o_totalprice AS FLOAT)) AS avg_o_totalprice FROM o JOIN customer ON o_custkey = c_custkey GROUP BY ALL
+"""
+)
+def lake_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A gold table replaced three times: the second run fails in the middle of its write, and readers keep the first."""
+    root = work_folder(spark, "gold-versions")
+    features = replace(ORDER_FEATURES, fact_keys=("o_orderstatus",), dim_keys=("c_mktsegment",), dim_measures=())
+    orders, dim = _orders(spark, sf_dir), _customers(spark, sf_dir)
+    most = orders.where("o_orderkey % 3 <> 0")
+    states = {}
+
+    def replaced(rows: DataFrame, state: str) -> None:
+        try:
+            replace_table(rows, f"{root}/gold")
+        except PySparkException:
+            if state != "failed":
+                raise
+        states[state] = read_table(spark, f"{root}/gold").withColumn("state", F.lit(state))
+
+    whole = feature_table(orders, dim, features)
+    replaced(feature_table(most, dim, features), "before")
+    measure = "avg_o_totalprice"
+    broken = F.when(F.hash("o_orderstatus", "c_mktsegment") % 2 == 0, F.raise_error(F.lit("lost"))).otherwise(F.col(measure))
+    replaced(whole.withColumn(measure, broken.cast(whole.schema[measure].dataType)), "failed")
+    replaced(whole, "after")
+    return states["before"].unionByName(states["failed"]).unionByName(states["after"])

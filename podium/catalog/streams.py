@@ -17,8 +17,9 @@ from podium.config import FeatureConfig, ParkingConfig, RollingConfig, SizingCon
 from podium.functions import parse_messages
 from podium.operators import enrich, latest_per_key, rolling_averages
 from podium.session import work_folder
-from podium.sinks import read_history, write_topic
-from podium.sources import read_topic, stream_topic
+from podium.sinks import read_history, read_latest, write_topic
+from podium.sinks.topic import write_records
+from podium.sources import read_table, read_topic, stream_once, stream_topic
 from podium.streaming import (
     Dimension,
     decided,
@@ -250,6 +251,47 @@ def stream_refreshed_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(latest_per_key(read_features(spark, stream, EVENT_MESSAGE, dim), EVENT_FEATURES.keys))
 
 
+@query(_LATEST)
+def stream_compacted_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run per weekly load, the history compacted after every second batch; the newest rows from the last snapshot on."""
+    stream = event_stream(work_folder(spark, "compacted"), compact_every=2)
+    dim = customers(spark, sf_dir)
+    dimension = prepare_dimension(spark, dim, stream, EVENT_MESSAGE)
+    for _ in publish_weekly(spark, sf_dir, stream.topic):
+        run_feature_stream(spark, stream, dimension, EVENT_MESSAGE)
+    schema = feature_schema(stream, EVENT_MESSAGE, dim)
+    return rounded(read_latest(spark, stream.history, schema, EVENT_FEATURES.keys))
+
+
+@query(_EVERY_BATCH)
+def stream_output_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every batch in the output topic twice, as after a replay on Kafka; a reader meets each row once."""
+    root = work_folder(spark, "once")
+    stream = event_stream(root, out_topic=TopicConfig(f"{root}/out"))
+    dim = customers(spark, sf_dir)
+    dimension = prepare_dimension(spark, dim, stream, EVENT_MESSAGE)
+    for week in publish_weekly(spark, sf_dir, stream.topic):
+        run_feature_stream(spark, stream, dimension, EVENT_MESSAGE)
+    write_records(read_topic(spark, stream.out_topic), stream.out_topic, load_id="again")
+    rows = stream_once(
+        spark, stream.out_topic, feature_schema(stream, EVENT_MESSAGE, dim), EVENT_FEATURES.keys, "calculated_at", "1 day"
+    )
+    await_all([start(rows.writeStream.option("path", f"{root}/rows"), f"{root}/reader")])
+    return rounded(spark.read.parquet(f"{root}/rows"), "batch_id")
+
+
+@query(_LATEST)
+def stream_versioned_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Complete mode into a table whose versions appear whole: at no time is there none to read."""
+    root = work_folder(spark, "versions")
+    stream = event_stream(root, snapshot=f"{root}/snapshot", snapshot_versioned=True)
+    dim = customers(spark, sf_dir)
+    dimension = prepare_dimension(spark, dim, stream, EVENT_MESSAGE)
+    for _ in publish_weekly(spark, sf_dir, stream.topic):
+        run_feature_stream(spark, stream, dimension, EVENT_MESSAGE)
+    return rounded(read_table(spark, stream.snapshot))
+
+
 def _late_customers(spark: SparkSession, sf_dir: str, root: str, timeout: str) -> tuple[StreamConfig, ParkingConfig]:
     """Weekly loads; a fifth of the customers comes a week after each of the first five, the rest of a week's after its load."""
     stream = event_stream(root)

@@ -114,6 +114,8 @@ class LakeConfig:
     features: FeatureConfig = field(default_factory=FeatureConfig)
     sizing: SizingConfig = field(default_factory=SizingConfig)
     multi_line: bool = False
+    # Layer tables as versions that appear by one rename; read them with read_table.
+    versioned: bool = False
     null_token: str | None = "None"
     keep_spaces: bool = False
 
@@ -133,6 +135,8 @@ class StreamConfig:
     snapshot: str | None = None  # complete-mode diagnostic output
     trigger: str | None = None  # e.g. "30 seconds"; None = process what is there, then stop
     snapshot_trigger: str | None = None
+    snapshot_versioned: bool = False  # each snapshot as a version that appears by one rename
+    compact_every: int | None = None  # batches between compactions of the history
     # Used where the dimension is broadcast: partitions of the state alone.
     state_partitions: int | None = None
     # Seconds between rounds that take the dimension anew; None keeps its rows as of the start.
@@ -157,6 +161,8 @@ class RollingConfig:
     slide: str | None = None
     offset: str | None = None
     delay: str = "1 hour"
+    # Sliding windows from partial sums per pane; a checkpoint that was begun without goes on without.
+    panes: bool = True
 
 
 @dataclass(frozen=True)

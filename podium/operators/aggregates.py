@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, DecimalType
 
@@ -52,23 +53,32 @@ def collapse(df: DataFrame, keys: Sequence[str], measures: Sequence[str]) -> Dat
     return df.groupBy(*keys).agg(*parts)
 
 
-def _average(kind: DataType, total: Column, count: Column, weight: Column) -> Column:
-    """Sum over count, in one arithmetic whatever the rows were collapsed to before.
+def _partials(kind: DataType, total: Column, count: Column, weight: Column) -> tuple[Column, Column]:
+    """Sum and count as aggregates, in one arithmetic whatever the rows were collapsed to before.
 
     ``kind`` is the type of the measure. Decimals are summed exactly, so that the way of joining cannot show;
     weights must leave room in 38 digits. Other numbers are doubles: products of counts may leave the range
     of long.
     """
     if not isinstance(kind, DecimalType):
-        return F.try_divide(F.sum(total * weight), F.sum(count.cast("double") * weight))
+        return F.sum(total * weight), F.sum(count.cast("double") * weight)
     digits = 38 - 1 - (kind.precision + 10)
     if digits < 6:
         raise ValueError(f"averages take decimals of at most 21 digits: {kind.simpleString()}")
     weight = weight.cast(DecimalType(digits, 0))
     total = total.cast(DecimalType(kind.precision + 10, kind.scale))
-    n = F.sum(count.cast(DecimalType(20, 0)) * weight.cast(DecimalType(min(digits, 17), 0)))
+    return F.sum(total * weight), F.sum(count.cast(DecimalType(20, 0)) * weight.cast(DecimalType(min(digits, 17), 0)))
+
+
+def _quotient(kind: DataType, total: Column, count: Column) -> Column:
+    if not isinstance(kind, DecimalType):
+        return F.try_divide(total, count)
     result = DecimalType(kind.precision + 4, min(kind.scale + 4, kind.precision + 4))
-    return F.try_divide(F.sum(total * weight), n.cast(DecimalType(20, 0))).cast(result)
+    return F.try_divide(total, count.cast(DecimalType(20, 0))).cast(result)
+
+
+def _average(kind: DataType, total: Column, count: Column, weight: Column) -> Column:
+    return _quotient(kind, *_partials(kind, total, count, weight))
 
 
 def weighted_averages(
@@ -134,13 +144,7 @@ def collapse_dimension(dim: DataFrame, features: FeatureConfig) -> DataFrame:
     return collapse(dim, [features.key, *features.dim_keys], features.dim_measures)
 
 
-def collapsed_averages(
-    joined: DataFrame,
-    features: FeatureConfig,
-    time_column: str | None = None,
-    window: Column | None = None,
-) -> DataFrame:
-    """Averages of rows enriched with a collapsed dimension, batch or stream, per window if given."""
+def _collapsed_weights(joined: DataFrame, features: FeatureConfig) -> dict[str, tuple[DataType, Column, Column, Column]]:
     weights = {}
     for m in features.fact_measures:
         kind = joined.schema[m].dataType
@@ -150,8 +154,81 @@ def collapsed_averages(
         if isinstance(kind, DecimalType):
             kind = DecimalType(kind.precision - 10, kind.scale)  # a sum has ten digits more
         weights[m] = (kind, F.col(_sum(m)), F.col(_count(m)), F.lit(1))
+    return weights
+
+
+def collapsed_averages(
+    joined: DataFrame,
+    features: FeatureConfig,
+    time_column: str | None = None,
+    window: Column | None = None,
+) -> DataFrame:
+    """Averages of rows enriched with a collapsed dimension, batch or stream, per window if given."""
     keys = [*features.keys] if window is None else [window.alias("window"), *features.keys]
-    return weighted_averages(joined, keys, weights, time_column)
+    return weighted_averages(joined, keys, _collapsed_weights(joined, features), time_column)
+
+
+def pane_length(spark: SparkSession, *lengths: str) -> tuple[str, bool]:
+    """The greatest length that divides all these intervals, and whether it is shorter than the first of them."""
+    shown = ", ".join(f"unix_micros(timestamp_micros(0) + INTERVAL {text})" for text in lengths)
+    micros = spark.sql(f"SELECT {shown}").first()
+    pane = math.gcd(*micros)
+    return f"{pane} microseconds", pane < micros[0]
+
+
+def paned_averages(
+    df: DataFrame,
+    event_time: str,
+    size: str,
+    slide: str,
+    offset: str | None,
+    keys: Sequence[str],
+    weights: dict[str, tuple[DataType, Column, Column, Column]],
+    time_column: str | None = None,
+    rows: str | None = None,
+) -> DataFrame:
+    """Averages per sliding window from partial sums per pane.
+
+    A row counts in one pane, as long as the greatest common divisor of size and slide; only panes, one row per
+    group, are copied to the windows that hold them. In a stream both steps keep state, in append mode. ``rows`` names a
+    column for the number of rows, which plain rows have.
+    """
+    pane, _ = pane_length(df.sparkSession, size, slide)
+    parts = [F.count(F.lit(1)).alias(_ROWS)]
+    for m, (kind, total, count, weight) in weights.items():
+        total, count = _partials(kind, total, count, weight)
+        parts += [total.alias(_sum(m)), count.alias(_count(m))]
+    panes = df.groupBy(F.window(event_time, pane, pane, offset).alias("pane"), *keys).agg(*parts)
+    windows = panes.groupBy(F.window("pane", size, slide, offset).alias("window"), *keys)
+    totals = {m: (kind, F.sum(_sum(m)), F.sum(_count(m))) for m, (kind, *_) in weights.items()}
+    if rows:
+        # Rows that were not collapsed before: decimals are divided in the type of their plain sum, as avg does.
+        for m, (kind, total, count) in totals.items():
+            if isinstance(kind, DecimalType):
+                totals[m] = (kind, total.cast(DecimalType(min(kind.precision + 10, 38), kind.scale)), count)
+    return windows.agg(
+        *(_quotient(*parts).alias(f"avg_{m}") for m, parts in totals.items()),
+        *([F.sum(_ROWS).alias(rows)] if rows else []),
+        *_processing_time(time_column),
+    )
+
+
+def collapsed_windows(
+    joined: DataFrame,
+    features: FeatureConfig,
+    event_time: str,
+    size: str,
+    slide: str | None,
+    offset: str | None,
+    time_column: str | None = None,
+    panes: bool = True,
+) -> DataFrame:
+    """Averages per event-time window of rows enriched with a collapsed dimension, sliding ones from panes."""
+    slide = slide or size
+    if panes and pane_length(joined.sparkSession, size, slide)[1]:
+        weights = _collapsed_weights(joined, features)
+        return paned_averages(joined, event_time, size, slide, offset, features.keys, weights, time_column)
+    return collapsed_averages(joined, features, time_column, F.window(event_time, size, slide, offset))
 
 
 def window_bounds(df: DataFrame) -> DataFrame:
@@ -171,10 +248,18 @@ def rolling_averages(
     slide: str | None = None,
     delay: str | None = None,
 ) -> DataFrame:
-    """Averages per event-time window. With ``delay`` a stream waits that long for late rows."""
+    """Averages per event-time window. With ``delay`` a stream waits that long for late rows.
+
+    Sliding windows of a batch are put together from panes; a stream, whose output mode is not known here, copies its rows.
+    """
     if delay:
         df = df.withWatermark(event_time, delay)
-    window = F.window(event_time, size, slide or size).alias("window")
+    slide = slide or size
+    if not df.isStreaming and pane_length(df.sparkSession, size, slide)[1]:
+        kinds = {m: df.schema[m].dataType for m in measures}
+        weights = {m: (k, _summed(m, k), F.col(m).isNotNull().cast("int"), F.lit(1)) for m, k in kinds.items()}
+        return window_bounds(paned_averages(df, event_time, size, slide, None, keys, weights, rows="n_rows"))
+    window = F.window(event_time, size, slide).alias("window")
     averaged = df.groupBy(window, *keys).agg(*_averages(measures), F.count(F.lit(1)).alias("n_rows"))
     return window_bounds(averaged)
 

@@ -7,8 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from podium.config import FeatureConfig, LakeConfig, SizingConfig
 from podium.operators.aggregates import joined_averages
 from podium.operators.rows import clean_strings, distinct_rows, number_columns
-from podium.sinks.files import overwrite_parquet
-from podium.sources.files import ingest_landing, read_parquet
+from podium.sinks.files import overwrite_parquet, replace_table
+from podium.sources.files import ingest_landing, read_parquet, read_table
 
 
 def clean_layer(
@@ -30,25 +30,34 @@ def feature_table(
     return joined_averages(facts, dim, features, sizing)
 
 
+def _write(df: DataFrame, path: str, lake: LakeConfig) -> None:
+    if lake.versioned:
+        replace_table(df, path)
+    else:
+        overwrite_parquet(df, path)
+
+
+def _read(spark: SparkSession, path: str, lake: LakeConfig) -> DataFrame:
+    return read_table(spark, path) if lake.versioned else read_parquet(spark, path)
+
+
 def landing_to_bronze(spark: SparkSession, lake: LakeConfig) -> None:
     for table in lake.tables:
-        overwrite_parquet(
-            ingest_landing(spark, lake.landing, table, lake.multi_line), f"{lake.bronze}/{table}"
-        )
+        _write(ingest_landing(spark, lake.landing, table, lake.multi_line), f"{lake.bronze}/{table}", lake)
 
 
 def bronze_to_silver(spark: SparkSession, lake: LakeConfig) -> None:
     for table in lake.tables:
         cleaned = clean_layer(
-            read_parquet(spark, f"{lake.bronze}/{table}"), lake.null_token, lake.keep_spaces
+            _read(spark, f"{lake.bronze}/{table}", lake), lake.null_token, lake.keep_spaces
         )
-        overwrite_parquet(cleaned, f"{lake.silver}/{table}")
+        _write(cleaned, f"{lake.silver}/{table}", lake)
 
 
 def silver_to_gold(spark: SparkSession, lake: LakeConfig) -> None:
-    facts = read_parquet(spark, f"{lake.silver}/{lake.facts_table}")
-    dim = read_parquet(spark, f"{lake.silver}/{lake.dim_table}")
-    overwrite_parquet(feature_table(facts, dim, lake.features, lake.sizing), f"{lake.gold}/avg_stats")
+    facts = _read(spark, f"{lake.silver}/{lake.facts_table}", lake)
+    dim = _read(spark, f"{lake.silver}/{lake.dim_table}", lake)
+    _write(feature_table(facts, dim, lake.features, lake.sizing), f"{lake.gold}/avg_stats", lake)
 
 
 STAGES = {
@@ -59,7 +68,10 @@ STAGES = {
 
 
 def run_lake(spark: SparkSession, lake: LakeConfig) -> DataFrame:
-    """All stages in order. Each replaces its output, so a failed run is simply run again."""
+    """All stages in order. Each replaces its output, so a failed run is simply run again.
+
+    With ``versioned`` tables readers keep the version before until a stage has written all of its output.
+    """
     for stage in STAGES.values():
         stage(spark, lake)
-    return read_parquet(spark, f"{lake.gold}/avg_stats")
+    return _read(spark, f"{lake.gold}/avg_stats", lake)

@@ -75,13 +75,19 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return files.exists(target)
 
 
-def names_in(spark: SparkSession, folder: str) -> list[str]:
-    """Names of the finished entries of a folder, sorted; none where there is no folder."""
+def names_in(spark: SparkSession, folder: str, hidden: bool = False) -> list[str]:
+    """Names of the finished (or the hidden) entries of a folder, sorted; none where there is no folder."""
     target, files = _file_system(spark, folder)
     if not files.exists(target):
         return []
     names = (status.getPath().getName() for status in files.listStatus(target))
-    return sorted(name for name in names if not name.startswith(("_", ".")))
+    return sorted(name for name in names if name.startswith(("_", ".")) == hidden)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder that the library made itself, if it is there."""
+    target, files = _file_system(spark, path)
+    files.delete(target, True)
 
 
 def mark(spark: SparkSession, path: str) -> None:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from podium.sinks.files import table_versions, version_path
+
 
 def read_csv(
     spark: SparkSession, path: str, schema: StructType | None = None, multi_line: bool = False
@@ -26,6 +28,14 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """The newest version of a table that ``replace_table`` keeps; an error before the first one."""
+    known = table_versions(spark, path)
+    if not known:
+        raise FileNotFoundError(f"no version of a table in {path}")
+    return spark.read.parquet(version_path(path, known[-1]))
+
+
 def ingest_landing(spark: SparkSession, landing: str, table: str, multi_line: bool = False) -> DataFrame:
     """One landed table: ``<landing>/<table>.csv``, a file or a folder of files."""
     return read_csv(spark, f"{landing}/{table}.csv", multi_line=multi_line)

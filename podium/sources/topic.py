@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import LongType, StructField, StructType
 
 from podium.config import TopicConfig
+from podium.functions.messages import parse_messages
 from podium.schemas import TOPIC_RECORD
 
 
@@ -51,3 +55,16 @@ def stream_topic(spark: SparkSession, topic: TopicConfig) -> DataFrame:
 def read_topic(spark: SparkSession, topic: TopicConfig) -> DataFrame:
     """The records present now, as a batch."""
     return _open(spark.read, topic, streaming=False)
+
+
+def stream_once(
+    spark: SparkSession, topic: TopicConfig, schema: StructType, keys: Sequence[str], time_column: str, delay: str = "1 hour"
+) -> DataFrame:
+    """Rows of an output topic, each once, although a replayed batch may stand in the topic twice.
+
+    Rows are the same when stream, batch and ``keys`` are. State holds a key per row until the watermark of
+    ``time_column`` has passed it by ``delay``; a repetition must come within that time.
+    """
+    tags = [StructField("stream_id", LongType()), StructField("batch_id", LongType())]
+    rows = parse_messages(stream_topic(spark, topic), StructType([*schema.fields, *tags]))
+    return rows.withWatermark(time_column, delay).dropDuplicatesWithinWatermark([t.name for t in tags] + [*keys])

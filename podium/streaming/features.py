@@ -21,8 +21,8 @@ from podium.operators.sizing import SideProfile, fits_broadcast, profile_side
 from podium.schemas import averages
 from podium.session import read_if_present, settings
 from podium.sinks.fanout import FanOut, Sink
-from podium.sinks.files import overwrite_parquet
-from podium.sinks.history import claim_history, read_history, stream_id, with_batch_id
+from podium.sinks.files import overwrite_parquet, replace_table
+from podium.sinks.history import claim_history, compact_history, read_history, stream_id, with_batch_id
 from podium.sinks.jdbc import append_batch
 from podium.sinks.topic import write_topic
 from podium.sources.topic import read_topic, stream_topic
@@ -196,6 +196,14 @@ def sinks_of(stream: StreamConfig, owner: int, keys: Sequence[str] = ()) -> dict
     return found
 
 
+def _compaction(spark: SparkSession, stream: StreamConfig, schema: StructType) -> Sink:
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        if (batch_id + 1) % stream.compact_every == 0:
+            compact_history(spark, stream.history, schema, stream.features.keys)
+
+    return sink
+
+
 def start_feature_stream(
     spark: SparkSession,
     stream: StreamConfig,
@@ -209,12 +217,15 @@ def start_feature_stream(
     owner = stream_id(spark, f"{stream.checkpoint}/main")
     claim_history(spark, stream.history, owner)
     with settings(spark, state_settings(stream, dimension)):
-        fan_out = FanOut(stream.history, sinks_of(stream, owner) if sinks is None else sinks)
+        sinks = dict(sinks_of(stream, owner) if sinks is None else sinks)
+        if stream.compact_every:
+            sinks["compaction"] = _compaction(spark, stream, running.schema)
+        fan_out = FanOut(stream.history, sinks)
         main = running.writeStream.outputMode("update").foreachBatch(fan_out)
         started = [start(main, f"{stream.checkpoint}/main", stream.trigger)]
         if stream.snapshot:
             everything = running.writeStream.outputMode("complete").foreachBatch(
-                lambda batch, _: batch.write.mode("overwrite").parquet(stream.snapshot)
+                lambda batch, _: (replace_table if stream.snapshot_versioned else overwrite_parquet)(batch, stream.snapshot)
             )
             started.append(
                 start(everything, f"{stream.checkpoint}/snapshot", stream.snapshot_trigger)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from podium.config import RollingConfig, StreamConfig
-from podium.operators.aggregates import collapsed_averages, window_bounds
+from podium.operators.aggregates import collapsed_windows, window_bounds
 from podium.session import settings
 from podium.sinks.fanout import FanOut
 from podium.sinks.history import claim_history, stream_id
@@ -38,8 +38,10 @@ def rolling_stream(
         F.count(F.lit(1)).alias("n_rows"),
         F.count_if(F.col(rolling.event_time).isNull()).alias("n_without_time"),
     )
-    window = F.window(rolling.event_time, rolling.size, rolling.slide or rolling.size, rolling.offset)
-    averaged = collapsed_averages(joined, stream.features, stream.features.time_column, window)
+    averaged = collapsed_windows(
+        joined, stream.features, rolling.event_time, rolling.size, rolling.slide, rolling.offset,
+        stream.features.time_column, rolling.panes,
+    )
     return window_bounds(averaged)
 
 
