@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from podium.llm.words import Words, cut_words, pieces, window_hashes, words_of
-from podium.llm.work import stored
+from podium.llm.work import row_key, stored
 
 WINDOW = 10
 MAX_WINDOWS = 2_000_000
@@ -223,19 +223,19 @@ def _united(rows: DataFrame, id_col: str) -> DataFrame:
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", **settings) -> DataFrame:
-    """The documents without any occurrence, with all their columns."""
-    hit = contamination(docs, items, id_col=id_col, **settings).where(F.size("items") > 0)
-    hit = hit.select(F.col(id_col).alias("__hit"))
-    return docs.join(hit, docs[id_col] == hit["__hit"], "left_anti")
+    """The documents without any occurrence, with all their columns; a row is judged by its id and text."""
+    keyed = docs.withColumn("__row", row_key(id_col, settings.get("text_col", "text")))
+    hit = contamination(keyed, items, id_col="__row", **settings).where(F.size("items") > 0).select("__row").distinct()
+    return keyed.join(hit, "__row", "left_anti").select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
 def remove_spans(
     docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", **settings
 ) -> DataFrame:
     """The documents with each run of hit words replaced by one space, with all their columns."""
-    hits = contamination(docs, items, id_col=id_col, text_col=text_col, **settings).where(F.size("items") > 0)
-    hits = hits.select(F.col(id_col).alias("__hit"), "hit_from", "hit_to").dropDuplicates(["__hit"])
-
-    joined = docs.join(hits, docs[id_col] == hits["__hit"], "left")
-    text = F.arrow_udf(cut_words, "string")(docs[text_col], hits["hit_from"], hits["hit_to"])
-    return joined.select(*(text.alias(c) if c == text_col else docs[c] for c in docs.columns))
+    keyed = docs.withColumn("__row", row_key(id_col, text_col))
+    hits = contamination(keyed, items, id_col="__row", text_col=text_col, **settings).where(F.size("items") > 0)
+    hits = hits.select("__row", "hit_from", "hit_to").dropDuplicates(["__row"])
+    joined = keyed.join(hits, "__row", "left")
+    text = F.arrow_udf(cut_words, "string")(keyed[text_col], hits["hit_from"], hits["hit_to"])
+    return joined.select(*(text.alias(c) if c == text_col else keyed[c] for c in docs.columns))

@@ -58,6 +58,8 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents that stay, with all their columns."""
-    dropped = exact_groups(docs, id_col, text_col).where("not kept").select(F.col(id_col).alias("__dropped"))
-    return docs.join(dropped, docs[id_col] == dropped["__dropped"], "left_anti")
+    """The documents that stay, with all their columns; a row is judged by its id and text."""
+    dropped = exact_groups(docs, id_col, text_col).where("not kept")
+    dropped = dropped.select(F.col(id_col).alias("__dropped"), F.col("text_sha256").alias("__text")).distinct()
+    same = docs[id_col].eqNullSafe(dropped["__dropped"]) & (F.sha2(normalised(text_col), 256) == dropped["__text"])
+    return docs.join(dropped, same, "left_anti")

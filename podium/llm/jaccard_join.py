@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 
 from podium.llm.clusters import links, packed_sets, roots, tasks
 from podium.llm.words import SHINGLE, distinct_sets, minhash, mix, pieces, shingles, words_of
-from podium.llm.work import components, inner_join, map_groups, semi_join, stored
+from podium.llm.work import ambiguous_ids, components, inner_join, map_groups, semi_join, stored
 
 THRESHOLD = 0.8
 RECALL = 0.9999
@@ -151,11 +151,10 @@ def candidates(
             break
         firsts = stored(large.groupBy("path").agg(F.min("id").alias("first")), "firsts")
         leads = inner_join(reps.select(F.col("id").alias("first"), F.col("sketch").alias("lead")), firsts, ["first"])
-        members = inner_join(large.select("path", "id"), stored(leads, "leads"), ["path"], MAX_LEADS)
-        judged = stored(
-            members.join(reps.select("id", "sketch"), "id").select("path", "id", "first", "sketch", _matches("sketch", "lead").alias("equal")),
-            "judged",
-        )
+        # Only the sketches of members of large nodes move, and the leads meet them where they are.
+        own = stored(semi_join(reps.select("id", "sketch"), stored(large.select("id").distinct(), "members"), ["id"]), "own")
+        members = inner_join(large.select("path", "id").join(own, "id"), stored(leads, "leads"), ["path"], MAX_LEADS)
+        judged = stored(members.select("path", "id", "first", "sketch", _matches("sketch", "lead").alias("equal")), "judged")
         linked = judged.where((F.col("equal") >= least) & (F.col("id") != F.col("first")))
         edges.append(linked.select(F.col("id").alias("a"), F.col("first").alias("b")))
         nodes = stored(judged.where(F.col("equal") < close).select("id", F.explode(_children("path")).alias("path")), "nodes")
@@ -227,7 +226,11 @@ def similarity_classes(
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **settings) -> DataFrame:
-    """One document of each class, the one with the least id, with all its columns."""
+    """One document of each class, the one with the least id, with all its columns.
+
+    Texts that share an id all stay: the class of one says nothing of another.
+    """
     rows = similarity_classes(docs, id_col=id_col, text_col=text_col, **settings)
-    dropped = rows.where(F.col("class_id") != F.col(id_col)).select(F.col(id_col).alias("__dropped"))
+    dropped = rows.where(F.col("class_id") != F.col(id_col)).select(F.col(id_col).alias("__dropped")).distinct()
+    dropped = dropped.join(ambiguous_ids(docs, id_col, text_col), F.col("__dropped") == F.col("__many"), "left_anti")
     return docs.join(dropped, docs[id_col] == dropped["__dropped"], "left_anti")

@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from podium.llm.words import mix
-from podium.llm.work import components, inner_join, semi_join, stored
+from podium.llm.work import ambiguous_ids, components, inner_join, semi_join, stored
 
 MIN_CHARS = 12
 _BASE = 0x9E3779B97F4A7C15
@@ -163,9 +163,13 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 
 def drop_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents without their dropped lines, with all their columns; a text may become empty."""
+    """The documents without their dropped lines, with all their columns; a text may become empty.
+
+    Texts that share an id stay as they are: the lines of one say nothing of another.
+    """
     gone = repeated_lines(docs, id_col, text_col).where("n_dropped > 0")
     gone = gone.select(F.col(id_col).alias("__id"), F.col("dropped").alias("__dropped")).dropDuplicates(["__id"])
+    gone = gone.join(ambiguous_ids(docs, id_col, text_col), F.col("__id") == F.col("__many"), "left_anti")
     joined = docs.join(gone, docs[id_col] == gone["__id"], "left")
     kept = F.filter(F.split(docs[text_col].cast("string"), "\n"), lambda x, i: ~F.array_contains(gone["__dropped"], i))
     text = F.when(gone["__dropped"].isNull(), docs[text_col].cast("string")).otherwise(F.array_join(kept, "\n"))

@@ -37,7 +37,7 @@ from podium.llm.clusters import links, packed_sets, tasks
 from podium.llm.words import (
     SHINGLE, Words, cut_words, distinct_sets, minhash, mix, pieces, shingles, window_hashes, words_of,
 )
-from podium.llm.work import components, inner_join, stored
+from podium.llm.work import ambiguous_ids, components, inner_join, stored
 
 THRESHOLD = 0.8
 RECALL = 0.9995
@@ -248,9 +248,13 @@ def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def remove_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **settings) -> DataFrame:
-    """The documents with each removed run of words replaced by one space, with all their columns."""
+    """The documents with each removed run of words replaced by one space, with all their columns.
+
+    Texts that share an id stay as they are: the runs of one say nothing of another.
+    """
     spans = repeated_passages(docs, id_col=id_col, text_col=text_col, **settings).where("n_removed > 0")
     spans = spans.select(F.col(id_col).alias("__id"), "removed_from", "removed_to").dropDuplicates(["__id"])
+    spans = spans.join(ambiguous_ids(docs, id_col, text_col), F.col("__id") == F.col("__many"), "left_anti")
     joined = docs.join(spans, docs[id_col] == spans["__id"], "left")
     text = F.arrow_udf(cut_words, "string")(docs[text_col], spans["removed_from"], spans["removed_to"])
     return joined.select(*(text.alias(c) if c == text_col else docs[c] for c in docs.columns))

@@ -110,6 +110,8 @@ def listed(
 
 
 def drop_listed(captures: DataFrame, entries: DataFrame, id_col: str = "page_id", **settings) -> DataFrame:
-    """The captures that no active entry covered, with all their columns."""
-    gone = listed(captures, entries, id_col=id_col, **settings).where("listed").select(F.col(id_col).alias("__gone")).distinct()
-    return captures.join(gone, captures[id_col] == gone["__gone"], "left_anti")
+    """The captures that no active entry covered, with all their columns; a row is judged by its id, URL and time."""
+    url, time = settings.get("url_col", "url"), settings.get("time_col", "fetched_at")
+    keyed = captures.withColumn("__row", F.struct(F.col(id_col).alias("id"), F.xxhash64(url).alias("u"), F.xxhash64(time).alias("t")))
+    gone = listed(keyed, entries, id_col="__row", **settings).where("listed").select("__row").distinct()
+    return keyed.join(gone, "__row", "left_anti").select(*(F.col(f"`{c}`") for c in captures.columns))

@@ -8,7 +8,7 @@ from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import podium
@@ -54,6 +54,18 @@ def inner_join(rows: DataFrame, keys: DataFrame, on: list[str], limit: int = BRO
     return rows.join(F.broadcast(keys) if few else keys.hint("merge"), on)
 
 
+def row_key(id_col: str, text_col: str) -> Column:
+    """Tells rows apart by their id and text, null ids included: rows alike in both share every verdict."""
+    return F.struct(F.col(id_col).alias("id"), F.xxhash64(F.col(text_col).cast("string")).alias("text"))
+
+
+def ambiguous_ids(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """Ids that stand for different texts, as column ``__many``."""
+    text = F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
+    many = docs.where(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("__many"))
+    return many.agg(F.min(text).alias("low"), F.max(text).alias("high")).where("low != high").select("__many")
+
+
 def map_groups(
     rows: DataFrame, key: str, function: Callable[[pa.Table], pa.Table | None], schema: str
 ) -> DataFrame:
