@@ -105,6 +105,20 @@ GROUP BY variant, has_id, has_type, has_value
 )
 def malformed_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every event as a good message and spoiled in eleven ways; what each field parses to."""
+    records = spoiled_records(spark, sf_dir)
+    schema = StructType([f for f in EVENT_MESSAGE.fields if f.name in ("event_id", "event_type", "value")])
+    parsed = parse_messages(records, schema, keep=["variant"])
+    valid = is_number(F.col("value")) & (F.col("event_type") != "error")
+    return parsed.groupBy("variant").agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count("event_id").alias("n_ids"),
+        F.count("event_type").alias("n_types"),
+        F.count_if(valid).alias("n_valid"),
+    )
+
+
+def spoiled_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(variant, value) of every event, as a good message and spoiled in eleven ways."""
     number, kind, value = F.col("event_id").cast("string"), F.col("event_type"), F.col("value")
     good = F.col("good")
 
@@ -133,13 +147,4 @@ def malformed_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     rows = table(spark, sf_dir, "events")
     rows = rows.withColumn("good", message("event_id", "event_type", "value"))
-    records = rows.select(F.explode(variants).alias("r")).select("r.*")
-    schema = StructType([f for f in EVENT_MESSAGE.fields if f.name in ("event_id", "event_type", "value")])
-    parsed = parse_messages(records, schema, keep=["variant"])
-    valid = is_number(F.col("value")) & (F.col("event_type") != "error")
-    return parsed.groupBy("variant").agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        F.count("event_id").alias("n_ids"),
-        F.count("event_type").alias("n_types"),
-        F.count_if(valid).alias("n_valid"),
-    )
+    return rows.select(F.explode(variants).alias("r")).select("r.*")

@@ -11,10 +11,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from podium.catalog.messages import EVENT_MESSAGE, events
+from podium.catalog.messages import EVENT_MESSAGE, events, spoiled_records
 from podium.catalog.registry import query, settled, table
 from podium.config import FeatureConfig, ParkingConfig, RollingConfig, SizingConfig, StreamConfig, TopicConfig
-from podium.functions import parse_messages
+from podium.functions import message, parse_messages
 from podium.operators import enrich, latest_per_key, rolling_averages
 from podium.session import work_folder
 from podium.sinks import read_history, read_latest, write_topic
@@ -26,6 +26,7 @@ from podium.streaming import (
     feature_schema,
     prepare_dimension,
     read_features,
+    read_rejects,
     run_feature_stream,
     run_parked_stream,
     run_refreshed_stream,
@@ -292,6 +293,37 @@ def stream_versioned_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(read_table(spark, stream.snapshot))
 
 
+@query(
+    """
+SELECT reason, wrong, count(*) AS n_rows, TRUE AS has_place FROM events, (VALUES
+  ('wrong type', 'user_id'), ('wrong type', 'user_id'), ('wrong type', 'user_id'),
+  ('incomplete', 'value'), ('incomplete', 'value'), ('no json', NULL), ('no json', NULL), ('no object', NULL), ('empty', NULL), ('missing', NULL)
+) v(reason, wrong) GROUP BY ALL
+UNION ALL
+SELECT 'features', NULL, count(*), TRUE FROM (SELECT DISTINCT event_type, c_mktsegment FROM events JOIN customer ON user_id = c_custkey
+                                       WHERE event_type <> 'error')
+"""
+)
+def stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Good and spoiled messages of every event in one topic: features of the good ones, the others kept with the reason."""
+    root = work_folder(spark, "rejects")
+    stream = event_stream(root, rejects=f"{root}/rejects")
+    # The spoiled id of the variants is the stream's key here.
+    records = spoiled_records(spark, sf_dir).withColumn("value", F.replace("value", F.lit('"event_id"'), F.lit('"user_id"')))
+    good = events(spark, sf_dir).select(F.lit(None).cast("binary").alias("key"), message().cast("binary").alias("value"))
+    spoiled = records.where(~F.col("variant").isin("good", "more fields"))
+    spoiled = spoiled.select(F.lit(None).cast("binary").alias("key"), F.col("value").cast("binary").alias("value"))
+    write_records(good.union(spoiled), stream.topic, load_id="all")
+    dim = customers(spark, sf_dir)
+    run_feature_stream(spark, stream, dim, EVENT_MESSAGE)
+    wrong = F.when(F.size("wrong") > 0, F.array_join("wrong", ","))
+    found = read_rejects(spark, stream).groupBy("reason", wrong.alias("wrong"))
+    found = found.agg(F.count(F.lit(1)).alias("n_rows"), F.bool_and(F.col("source").contains("/topic/")).alias("has_place"))
+    latest = latest_per_key(read_features(spark, stream, EVENT_MESSAGE, dim), EVENT_FEATURES.keys)
+    nothing = F.lit(None).cast("string")
+    return found.union(latest.agg(F.lit("features"), nothing, F.count(F.lit(1)), F.lit(True)))
+
+
 def _late_customers(spark: SparkSession, sf_dir: str, root: str, timeout: str) -> tuple[StreamConfig, ParkingConfig]:
     """Weekly loads; a fifth of the customers comes a week after each of the first five, the rest of a week's after its load."""
     stream = event_stream(root)

@@ -137,6 +137,7 @@ class StreamConfig:
     snapshot_trigger: str | None = None
     snapshot_versioned: bool = False  # each snapshot as a version that appears by one rename
     compact_every: int | None = None  # batches between compactions of the history
+    rejects: str | None = None  # folder for messages that are not whole, with the reason
     # Used where the dimension is broadcast: partitions of the state alone.
     state_partitions: int | None = None
     # Seconds between rounds that take the dimension anew; None keeps its rows as of the start.

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 # Full microseconds; the default formats cut to milliseconds. Parsing takes any ISO form by default.
 TIME_FORMATS = {
@@ -31,3 +31,41 @@ def parse_messages(
     """
     parsed = F.from_json(F.col(value).cast("string"), schema)
     return records.select(*keep, F.inline(F.array(parsed)))
+
+
+_RAW, _PARSED = "__raw", "__parsed"
+
+
+def judge_messages(
+    records: DataFrame, schema: StructType, value: str = "value", keep: Sequence[str] = (), required: Sequence[str] = ()
+) -> DataFrame:
+    """Like ``parse_messages``, with the ``reason`` why a message is not whole, and the ``wrong`` fields.
+
+    Reasons are ``missing`` (no value), ``empty``, ``no json``, ``no object``, ``wrong type`` (some fields hold what their
+    type cannot; the others are read) and ``incomplete`` (a ``required`` field is absent or null); NULL means whole. A
+    message is parsed once; only what that parse marks as corrupt is looked at further.
+    """
+    text = F.col(value).cast("string")
+    told = StructType([*schema.fields, StructField(_RAW, StringType())])
+    parsed = F.from_json(text, told, {"columnNameOfCorruptRecord": _RAW, "mode": "PERMISSIVE"})
+    rows = records.select(*keep, text.alias("raw"), F.inline(F.array(parsed)))
+    held = F.filter(
+        F.array(*(F.when(F.get_json_object("raw", f"$['{f.name}']").isNotNull() & F.col(f.name).isNull(), F.lit(f.name)) for f in schema.fields)),
+        lambda name: name.isNotNull(),
+    )
+    gaps = F.filter(
+        F.array(*(F.when(F.col(name).isNull(), F.lit(name)) for name in required), F.lit(None).cast("string")),
+        lambda name: name.isNotNull(),
+    )
+    corrupt = F.col(_RAW).isNotNull()
+    reason = (
+        F.when(F.col("raw").isNull(), "missing")
+        .when(F.trim("raw") == "", "empty")
+        .when(corrupt & F.try_parse_json("raw").isNull(), "no json")
+        .when(~F.ltrim("raw").startswith("{"), "no object")
+        .when(corrupt, "wrong type")
+        .when(F.size(gaps) > 0, "incomplete")
+    )
+    rows = rows.withColumn("reason", reason)
+    wrong = F.when(F.col("reason") == "wrong type", held).when(F.col("reason") == "incomplete", gaps)
+    return rows.withColumn("wrong", wrong).select(*keep, *schema.fieldNames(), "raw", "reason", "wrong")

@@ -223,6 +223,10 @@ def start_feature_stream(
         fan_out = FanOut(stream.history, sinks)
         main = running.writeStream.outputMode("update").foreachBatch(fan_out)
         started = [start(main, f"{stream.checkpoint}/main", stream.trigger)]
+        if stream.rejects:
+            from podium.streaming.rejects import start_rejects
+
+            started.append(start_rejects(spark, stream, schema))
         if stream.snapshot:
             everything = running.writeStream.outputMode("complete").foreachBatch(
                 lambda batch, _: (replace_table if stream.snapshot_versioned else overwrite_parquet)(batch, stream.snapshot)

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampType
 
 from podium.config import FeatureConfig, LakeConfig, ParkingConfig, RollingConfig, SizingConfig, StreamConfig, TopicConfig
+from podium.functions import judge_messages
 from podium.operators import latest_per_key, rolling_averages
 from podium.operators.aggregates import pane_length
 from podium.plans import run_lake
@@ -21,7 +22,7 @@ from podium.sinks import compact_history, read_history, read_latest, replace_tab
 from podium.sinks.files import table_versions
 from podium.sinks.topic import write_records
 from podium.sources import read_table, read_topic, stream_once
-from podium.streaming import decided, read_features, run_feature_stream, run_parked_stream
+from podium.streaming import decided, read_features, read_rejects, run_feature_stream, run_parked_stream
 from podium.streaming.features import await_all, feature_schema, start
 from podium.streaming.parking import Gate, versions
 from podium.streaming.rolling import run_rolling_stream
@@ -293,3 +294,39 @@ def test_sliding_stream(spark, stream, dims, panes, tmp_path):
     assert len(got) == len(found)
     assert sorted(got) == sorted(wanted)
     assert got == pytest.approx({key: sum(v) / len(v) for key, v in wanted.items()})
+
+
+# ---- rejected messages
+
+
+def test_reasons(spark):
+    schema = StructType([StructField("a", LongType()), StructField("b", StringType()), StructField("t", TimestampType())])
+    told = {
+        '{"a":1,"b":"x"}': (None, None), '{"a":1}': (None, None), '{"b":"x"}': ("incomplete", ["a"]), "{}": ("incomplete", ["a"]),
+        '{"a":null}': ("incomplete", ["a"]), '{"a":"one","b":"x"}': ("wrong type", ["a"]), '{"a":1,"t":"noon"}': ("wrong type", ["t"]),
+        '{"a":1': ("no json", None), "words": ("no json", None), "[1]": ("no object", None), "17": ("no object", None),
+        '"text"': ("no object", None), "  ": ("empty", None), "": ("empty", None), None: ("missing", None),
+        '  {"a":2} ': (None, None), '{"a":1,"more":{"x":[1]}}': (None, None),
+    }
+    rows = spark.createDataFrame([(i, v) for i, v in enumerate(told)], "i int, value string")
+    found = judge_messages(rows, schema, keep=["i"], required=["a"]).orderBy("i").collect()
+    assert {r.raw: (r.reason, r.wrong) for r in found} == told
+    assert found[0].a == 1 and found[5].b == "x" and found[5].a is None
+
+
+def test_rejects_of_a_stream(spark, stream, dims, tmp_path):
+    stream = replace(stream, rejects=str(tmp_path / "rejects"))
+    good = facts_of(spark, [(1, "a", 1, "2024-01-01")])
+    write_topic(good, stream.topic, load_id="0")
+    run_feature_stream(spark, stream, dims(1), FACT)
+    assert read_rejects(spark, stream).count() == 0
+    bad = spark.createDataFrame([(None, '{"k":1,"g":"a"}'), (None, "{"), (None, '{"k":"x","g":"a","v":1}')], "key string, value string")
+    write_records(bad, stream.topic, load_id="1")
+    for _ in range(2):
+        run_feature_stream(spark, stream, dims(1), FACT)
+    found = read_rejects(spark, stream).collect()
+    assert sorted((r.reason, r.raw, r.batch_id) for r in found) == [
+        ("incomplete", '{"k":1,"g":"a"}', 1), ("no json", "{", 1), ("wrong type", '{"k":"x","g":"a","v":1}', 1),
+    ]
+    assert all("load-1" in r.source for r in found)
+    assert totals(spark, stream, dims(1)) == {("a", "d1"): (1.0, 10.0)}
