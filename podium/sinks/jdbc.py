@@ -39,7 +39,8 @@ def append_batch(
     spark = batch.sparkSession
     tagged = with_batch_id(batch, batch_id, stream)
     append_rows(spark.createDataFrame([], tagged.schema), table)  # creates the table if missing
-    staging = replace(table, table=f"{table.table}_{uuid.uuid4().hex[:8]}", partition_column=None)
+    mine = uuid.uuid4().hex[:8]
+    staging = replace(table, table=f"{table.table}_{mine}", partition_column=None)
     group = F.xxhash64(*(F.coalesce(F.col(k).cast("string"), F.lit("\0")) for k in keys))
     mark = (F.rand() * (1 << 62)).cast("long")
     append_rows(tagged.withColumns({"staged_group": group, "staged_mark": mark}), staging)
@@ -49,7 +50,8 @@ def append_batch(
     run_transaction(
         spark,
         table,
-        before=[f"CREATE INDEX {staging.table}_i ON {staging.table} ({same})"],
+        # Unqualified: an index lies in its table's schema.
+        before=[f"CREATE INDEX staged_{mine} ON {staging.table} ({same})"],
         statements=[
             f"DELETE FROM {table.table} WHERE {quote('stream_id')} = {stream} AND {quote('batch_id')} = {batch_id}",
             f"INSERT INTO {table.table} ({columns}) SELECT {columns} FROM {staging.table} s WHERE NOT EXISTS "
