@@ -8,6 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from podium.session import move_into_place, names_in, remove
 
+# A task reads whole row groups, and a message costs a parse: with groups of the usual 128 MB, millions of messages would be one
+# task's. Spark makes no split smaller than 4 MB.
+MESSAGE_FILES = {"parquet.block.size": str(4 << 20)}
+
 
 def overwrite_parquet(df: DataFrame, path: str) -> None:
     """Replace the table at ``path``; running a stage again gives the same table."""

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from podium.config import TopicConfig
 from podium.functions.messages import message
 from podium.session import move_into_place, path_exists
+from podium.sinks.files import MESSAGE_FILES
 
 
 def to_records(df: DataFrame, key_columns: Sequence[str] = ()) -> DataFrame:
@@ -40,8 +41,9 @@ def write_records(records: DataFrame, topic: TopicConfig, load_id: str | None =
         records = records.select(F.col("value").cast("string"))
     else:
         records = records.select(*(F.col(c).cast("binary") for c in ("key", "value")))
+    options = {**(MESSAGE_FILES if topic.format == "parquet" else {}), **topic.options}
     if load_id is None:
-        records.write.format(topic.format).mode("append").options(**topic.options).save(topic.name)
+        records.write.format(topic.format).mode("append").options(**options).save(topic.name)
     else:
         spark = records.sparkSession
         target = f"{topic.name}/load-{load_id}"
@@ -49,5 +51,5 @@ def write_records(records: DataFrame, topic: TopicConfig, load_id: str | None =
             return
         # Readers skip names that begin with an underscore.
         hidden = f"{topic.name}/_loading-{load_id}-{uuid.uuid4().hex}"
-        records.write.format(topic.format).options(**topic.options).save(hidden)
+        records.write.format(topic.format).options(**options).save(hidden)
         move_into_place(spark, hidden, target)

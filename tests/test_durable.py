@@ -7,6 +7,7 @@ from collections import Counter
 from dataclasses import replace
 from pathlib import Path
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
@@ -314,6 +315,29 @@ def test_reasons(spark):
     assert found[0].a == 1 and found[5].b == "x" and found[5].a is None
 
 
+def test_a_corrupt_message_is_looked_at_once(spark):
+    rows = spark.createDataFrame([(i, v) for i, v in enumerate(['{"a":"x"}', '{"a":1', "x", '{"a":1}x', "NaN", "true", "{\n"])], "i int, value string")
+    found = judge_messages(rows, StructType([StructField("a", LongType())]), keep=["i"], required=["a"]).where("reason is not null")
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("VariantExpressionEvalUtils.parseJson") == 1 and "get_json_object" not in plan
+    reasons = ["wrong type", "no json", "no json", "no json", "no object", "no json"]
+    assert [r.reason for r in found.orderBy("i").collect()] == reasons
+
+
+def row_groups(folder):
+    """Row groups that hold the most rows of a file there."""
+    files = [pq.ParquetFile(path).metadata for path in Path(folder).rglob("*.parquet")]
+    return max(files, key=lambda m: m.num_rows).num_row_groups
+
+
+def test_tasks_can_share_a_file_of_messages(spark, stream, dims, parking):
+    facts = spark.range(150_000).coalesce(1).selectExpr(
+        "id k", "'a' g", "id v", "timestamp '2024-01-01' at", "sha2(id || '', 256) more"
+    )
+    write_topic(facts, stream.topic, load_id="0")
+    assert row_groups(stream.topic.name) > 1
+
+
 def test_rejects_of_a_stream(spark, stream, dims, tmp_path):
     stream = replace(stream, rejects=str(tmp_path / "rejects"))
     good = facts_of(spark, [(1, "a", 1, "2024-01-01")])
