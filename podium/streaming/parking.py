@@ -28,6 +28,7 @@ from podium.operators.joins import enrich
 from podium.schemas import TOPIC_RECORD
 from podium.session import mark, move_into_place, names_in, path_exists
 from podium.sinks.fanout import Sink
+from podium.sinks.files import MESSAGE_FILES
 from podium.sinks.history import stream_id
 from podium.sinks.topic import write_records
 from podium.sources.topic import stream_topic
@@ -127,7 +128,7 @@ class Gate:
         status = F.when(F.col("__key").isNull() | F.col("__met"), "ready").when(late, "expired").otherwise("parked")
         rows = met.select(*columns, status.alias("status"), F.lit(version.number).cast("long").alias("version"))
         hidden = f"{self.parking.folder}/_making-{uuid.uuid4().hex}"
-        rows.write.parquet(hidden)
+        rows.write.options(**MESSAGE_FILES).parquet(hidden)
         move_into_place(self.spark, hidden, f"{self.parking.folder}/{version.name}")
         self.publish(version)
         return version

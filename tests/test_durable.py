@@ -336,6 +336,9 @@ def test_tasks_can_share_a_file_of_messages(spark, stream, dims, parking):
     )
     write_topic(facts, stream.topic, load_id="0")
     assert row_groups(stream.topic.name) > 1
+    run_parked_stream(spark, stream, parking, lambda: dims(1), FACT, rounds=1)
+    assert row_groups(parking.folder) > 1
+    assert decided(spark, parking).count() == 150_000
 
 
 def test_rejects_of_a_stream(spark, stream, dims, tmp_path):
