@@ -7,6 +7,7 @@ from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, replace
 from hashlib import sha256
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
@@ -85,7 +86,12 @@ def _remembered_hot_keys(
     kind = StructType([StructField("parts", IntegerType()), StructField("key", key.dataType)])
     stored = read_if_present(spark, path, kind)
     if stored is None:
-        waiting = parse_messages(read_topic(spark, stream.topic), StructType([key]))
+        try:
+            waiting = parse_messages(read_topic(spark, stream.topic), StructType([key]))
+        except AnalysisException as error:
+            if error.getCondition() == "PATH_NOT_FOUND":  # nothing was published yet
+                return {}
+            raise
         hot = hot_keys(waiting, key.name, stream.sizing)
         if hot or not waiting.isEmpty():
             rows = [(parts, k) for parts, keys in hot.items() for k in keys]

@@ -149,6 +149,17 @@ def test_hot_keys_are_looked_up_once(spark, stream, dim, results, monkeypatch):
     assert prepare_dimension(spark, dim, stream, RESULT_MESSAGE).hot == first.hot
 
 
+def test_large_dimension_before_the_first_message(spark, stream, dim, results):
+    stream = replace(stream, sizing=SizingConfig(broadcast_bytes=-1, hot_share=0.05))
+    prepared = prepare_dimension(spark, dim, stream, RESULT_MESSAGE)  # there is no topic yet
+    assert prepared.hot == {}
+    write_topic(results, stream.topic, load_id="0")
+    run_feature_stream(spark, stream, prepared, RESULT_MESSAGE)
+    assert latest(spark, stream, dim) == batch_answer(results, dim)
+    # Nothing was remembered of the empty start.
+    assert list(prepare_dimension(spark, dim, stream, RESULT_MESSAGE).hot.values()) == [[7]]
+
+
 def test_text_keys_in_messages(spark, stream, dim, results):
     schema = StructType([StructField("athlete_id", StringType()), *RESULT_MESSAGE.fields[2:]])
     write_topic(results.withColumn("athlete_id", F.col("athlete_id").cast("string")), stream.topic)
