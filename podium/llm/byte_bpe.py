@@ -1,13 +1,15 @@
 """Byte-level BPE encoding and decoding.
 
-**Encoding.** The split pattern cuts a text into words; the merges of a rank file are compiled into a
-finite-state transducer that reads a word byte by byte, left to right. The last token of the encoding
-of a prefix is fixed by the prefix alone, and two neighbouring tokens stand together exactly if encoding
-their joined bytes gives them back. So after each byte only the places matter where some token could
-still begin and run past what was read; a token is emitted as soon as all of them agree on it, that is
-after a lookahead bounded by the vocabulary's longest tokens. A state is the last emitted token with the
-bytes not yet decided; states and hops are built when first met and dropped together when there are
-too many. A word's cost grows with its length, also for one endless word.
+**Encoding.** The split pattern cuts a text into words; the merges of a rank file are compiled into
+finite-state transducers. The last token of the encoding of a prefix is fixed by the prefix alone, and two
+neighbouring tokens stand together exactly if encoding their joined bytes gives them back. The first
+transducer reads a word byte by byte, left to right; its state is the longest end of what was read that
+begins some token, and a hop gives the tokens that may end there. The second takes of these the longest
+that stands together with the last token before it. The third reads the last tokens off from right to
+left. One machine for all three would need a state for every set of earlier tokens, nearly one per
+prefix. States and hops are built when first met and dropped together when there are too many. In long
+words, tokens are settled part by part, as soon as all places agree where a token could still begin. A
+word's cost grows with its length, also for one endless word.
 
 **Decoding** looks bytes up and follows an incremental UTF-8 state machine from token to token, so that
 characters spread over several tokens, or over two calls, are judged without joining the text.
@@ -39,11 +41,15 @@ from pyspark.sql import functions as F
 MAX_RANK_BYTES = 64 << 20
 #: What a worker remembers at most; beyond, it forgets and goes on.
 MAX_STATES = 120_000
-MAX_PAIRS = 250_000
-MAX_WORDS = 150_000
+MAX_PAIRS = 400_000
+MAX_WORDS = 300_000
 OUT_ROWS = 256
+#: Of a longer word, tokens are settled after so many bytes each.
+PART_BYTES = 1 << 16
 
 _NONE = 1 << 30
+#: Stands for the token before a word's first.
+_FIRST = (1 << 32) - 1
 
 
 @cache
@@ -66,47 +72,56 @@ def _spelled_out(pattern: str) -> re.Pattern | None:
     return None if r"\p" in pattern else re.compile(pattern)
 
 
-class _State:
-    """Places where a token may still begin: (vocabulary trie node since then, token before, tokens since the last emitted).
+class _State(dict):
+    """The longest end of what was read that begins some token, as a node of the vocabulary trie.
 
-    The last place is the end of what was read, so its tokens complete the word if it ends here.
+    Maps a byte to the next state and the tokens that may end there, longest first and the shortest by itself;
+    hops are built when asked for.
     """
 
-    __slots__ = ("hops", "open", "rest")
+    __slots__ = ("longer", "machine", "node", "shortest")
 
-    def __init__(self, open_: tuple[tuple[int, int, tuple[int, ...]], ...]) -> None:
-        self.open = open_
-        self.rest = open_[-1][2]
-        self.hops: dict[int, tuple[_State, tuple[int, ...]]] = {}
+    def __init__(self, machine: Transducer, node: int) -> None:
+        self.machine, self.node = machine, node
+        self.longer, self.shortest = (), -1
+
+    def __missing__(self, byte: int) -> tuple[_State, tuple[int, ...], int]:
+        hop = self[byte] = self.machine._hop(self.node, byte)
+        return hop
 
 
 class Transducer:
-    """The merges as a transducer from bytes to token ids, built as words ask for it."""
+    """The merges as transducers from bytes to token ids, built as words ask for them."""
 
     def __init__(self, ranks: dict[bytes, int], max_states: int = MAX_STATES) -> None:
         self.ranks = ranks
         self.bytes_of: dict[int, bytes] = {rank: token for token, rank in ranks.items()}
+        self._size = {rank: len(token) for token, rank in ranks.items()}
         # A trie of the tokens that merges alone form: node and byte to node, and the token that ends at a node.
         self._step: dict[int, int] = {}
-        self._token, self._goes_on = [-1], [True]
+        self._token, self._depth = [-1], [0]
         for token, rank in ranks.items():
             if self.merge(token) != [rank]:
                 continue
             node = 0
-            for byte in token:
-                self._goes_on[node] = True
+            for depth, byte in enumerate(token, 1):
                 node = self._step.setdefault(node << 8 | byte, len(self._token))
                 if node == len(self._token):
                     self._token.append(-1)
-                    self._goes_on.append(False)
+                    self._depth.append(depth)
             self._token[node] = rank
+        # The node of a node's longest proper end in the trie.
+        self._end = [0] * len(self._token)
+        for key, node in sorted(self._step.items(), key=lambda item: self._depth[item[1]]):
+            if key >> 8:
+                self._end[node] = self._next(self._end[key >> 8], key & 255)
         self.max_states = max_states
         self._pairs: dict[int, bool] = {}
         self._reset()
 
     def _reset(self) -> None:
-        self.root = _State(((0, -1, ()),))
-        self._states = {self.root.open: self.root}
+        self.root = _State(self, 0)
+        self._states = {0: self.root}
 
     def merge(self, word: bytes) -> list[int]:
         """The definition: join the neighbours of lowest rank, leftmost first, until none can be joined."""
@@ -123,74 +138,104 @@ class Transducer:
                 ranks[i] = get(parts[i] + parts[i + 1], _NONE)
         return [self.ranks[part] for part in parts]
 
-    def _together(self, left: int, right: int) -> bool:
-        """Whether two tokens may stand side by side."""
-        joined = self.bytes_of[left] + self.bytes_of[right]
+    def _together(self, pair: int) -> bool:
+        """Whether two tokens may stand side by side; every token may begin a word."""
+        left, right = pair >> 32, pair & _FIRST
         if len(self._pairs) >= MAX_PAIRS:
             self._pairs.clear()
-        known = self._pairs[left << 32 | right] = self.merge(joined) == [left, right]
+        known = self._pairs[pair] = (
+            left == _FIRST or self.merge(self.bytes_of[left] + self.bytes_of[right]) == [left, right]
+        )
         return known
 
-    def _hop(self, state: _State, byte: int) -> tuple[_State, tuple[int, ...]]:
-        end = None
-        open_ = []
-        for node, left, chain in state.open:
-            node = self._step.get(node << 8 | byte)
-            if node is None:
-                continue
-            token = self._token[node]
-            if token >= 0 and end is None:
-                known = left < 0 or self._pairs.get(left << 32 | token)
-                if known or known is None and self._together(left, token):
-                    end = (0, token, (*chain, token))
-            if self._goes_on[node]:
-                open_.append((node, left, chain))
-        if end is None:
-            raise ValueError(f"no token ends with byte {byte} here")
-        open_.append(end)
-        done = 0
-        if open_[0][2]:
-            last = end[2]
-            shared = min([len(chain) for _, _, chain in open_])
-            while done < shared and all([chain[done] == last[done] for _, _, chain in open_]):
-                done += 1
-        if done:
-            open_ = [(node, left, chain[done:]) for node, left, chain in open_]
-        key = tuple(open_)
-        target = self._states.get(key)
-        if target is None:
+    def _next(self, node: int, byte: int) -> int:
+        while (found := self._step.get(node << 8 | byte)) is None and node:
+            node = self._end[node]
+        return found or 0
+
+    def _hop(self, node: int, byte: int) -> tuple[_State, tuple[int, ...], int]:
+        node = self._next(node, byte)
+        state = self._states.get(node)
+        if state is None:
             if len(self._states) >= self.max_states:
                 self._reset()
-            target = self._states[key] = _State(key)
-        hop = state.hops[byte] = (target, end[2][:done])
-        return hop
+            state = self._states[node] = _State(self, node)
+            tokens = []
+            while node:
+                if self._token[node] >= 0:
+                    tokens.append(self._token[node])
+                node = self._end[node]
+            state.longer, state.shortest = tuple(tokens[:-1]), tokens[-1] if tokens else -1
+        if state.shortest < 0:
+            raise ValueError(f"no token ends with byte {byte} here")
+        return state, state.longer, state.shortest
+
+    def _settled(self, state: _State, lasts: list[int]) -> int:
+        """Where the ways back from all places meet at which a token may yet begin: tokens up to there stay."""
+        here, node = len(lasts) - 1, state.node
+        places = {here}
+        while node:
+            places.add(here - self._depth[node])
+            node = self._end[node]
+        while len(places) > 1:
+            places.remove(end := max(places))
+            places.add(end - self._size[lasts[end]])
+        return places.pop()
+
+    def _back(self, lasts: list[int], end: int) -> list[int]:
+        """The tokens up to a place, read off from the last one back."""
+        out = []
+        while end:
+            token = lasts[end]
+            out.append(token)
+            end -= self._size[token]
+        return out[::-1]
 
     def encode(self, word: bytes) -> list[int]:
         """Token ids of one word."""
         whole = self.ranks.get(word)
         if whole is not None:
             return [whole]
-        state, out = self.root, []
-        for byte in word:
-            state, emitted = state.hops.get(byte) or self._hop(state, byte)
-            if emitted:
-                out += emitted
-        return [*out, *state.rest]
+        # Of each prefix from the last settled place on: the last token.
+        state, out, lasts = self.root, [], [_FIRST]
+        size, known, add = self._size, self._pairs.get, lasts.append
+        for begin in range(0, len(word), PART_BYTES):
+            if begin:
+                settled = self._settled(state, lasts)
+                out += self._back(lasts, settled)
+                del lasts[:settled]
+            for n, byte in enumerate(word[begin : begin + PART_BYTES], len(lasts)):
+                state, longer, last = state[byte]
+                for token in longer:
+                    pair = lasts[n - size[token]] << 32 | token
+                    together = known(pair)
+                    if together or together is None and self._together(pair):
+                        last = token
+                        break
+                add(last)
+        return out + self._back(lasts, len(lasts) - 1)
 
 
 class Encoder(dict):
-    """Texts to ids as little-endian unsigned 32-bit integers; remembers short words, up to a number."""
+    """Texts to ids as little-endian unsigned 32-bit integers; remembers short words, up to a number.
+
+    Half of them are the latest; of the half before, words that come again go over to these.
+    """
 
     def __init__(self, ranks: dict[bytes, int], pattern: str) -> None:
         super().__init__()
         self.transducer = Transducer(ranks)
         self.pattern, self.plain = regex.compile(pattern), _spelled_out(pattern)
+        self.before: dict[str, bytes] = {}
 
     def __missing__(self, word: str) -> bytes:
-        found = self.transducer.encode(word.encode())
-        ids = struct.pack(f"<{len(found)}I", *found)
+        ids = self.before.get(word)
+        if ids is None:
+            found = self.transducer.encode(word.encode())
+            ids = struct.pack(f"<{len(found)}I", *found)
         if len(word) <= 64:
-            if len(self) >= MAX_WORDS:
+            if len(self) >= MAX_WORDS // 2:
+                self.before = dict(self)
                 self.clear()
             self[word] = ids
         return ids

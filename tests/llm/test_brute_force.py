@@ -214,6 +214,56 @@ def test_transducer_forgets_and_goes_on():
         assert small.encode(word) == large.encode(word) == ([ranks[word]] if word in ranks else large.merge(word))
 
 
+def test_new_words_build_few_hops(monkeypatch):
+    """A word of known tokens in a new order needs no states of its own."""
+    transducer = byte_bpe.Transducer(byte_bpe.parse_ranks(open(ranks_path(), "rb").read()))
+    built = []
+    hop = byte_bpe.Transducer._hop
+    monkeypatch.setattr(byte_bpe.Transducer, "_hop", lambda *args: built.append(1) or hop(*args))
+    pick = random.Random(7)
+    tokens = pick.sample([token for token in transducer.ranks if token.isalpha()], 60)
+    words = [b"".join(pick.choices(tokens, k=pick.randrange(2, 6))) for _ in range(2_000)]
+    for word in words:
+        assert transducer.encode(word) == ([transducer.ranks[word]] if word in transducer.ranks else transducer.merge(word))
+    assert len(built) < sum(map(len, words)) / 5
+
+
+@pytest.mark.parametrize("part", (1, 2, 5, 64))
+def test_long_words_are_settled_in_parts(monkeypatch, part):
+    transducer = byte_bpe.Transducer(byte_bpe.parse_ranks(open(ranks_path(), "rb").read()))
+    monkeypatch.setattr(byte_bpe, "PART_BYTES", part, raising=False)
+    pick = random.Random(8)
+    words = [bytes(pick.choices(b"aentil", k=pick.randrange(1, 200))) for _ in range(300)]
+    words += ["".join(pick.choices("eéñ漢字😀 =", k=pick.randrange(1, 80))).encode() for _ in range(300)]
+    for word in [*words, b"a" * 999, b"ab" * 500, b" " * 777, b"=" * 500]:
+        assert transducer.encode(word) == ([transducer.ranks[word]] if word in transducer.ranks else transducer.merge(word))
+
+
+def test_settled_tokens_are_not_held(monkeypatch):
+    transducer = byte_bpe.Transducer(byte_bpe.parse_ranks(open(ranks_path(), "rb").read()))
+    held = []
+    back = byte_bpe.Transducer._back
+    monkeypatch.setattr(byte_bpe.Transducer, "_back", lambda self, lasts, end: held.append(len(lasts)) or back(self, lasts, end))
+    monkeypatch.setattr(byte_bpe, "PART_BYTES", 1_000)
+    pick = random.Random(9)
+    for word in (bytes(pick.choices(b"aentil", k=50_000)), b"a" * 50_000, "漢字".encode() * 8_000):
+        transducer.encode(word)
+    assert len(held) > 100 and max(held) < 2_000
+
+
+def test_words_met_again_are_remembered(monkeypatch):
+    """Filling the memory with words met once does not drop those that come all the time."""
+    encoder = byte_bpe.Encoder(byte_bpe.parse_ranks(open(ranks_path(), "rb").read()), split_pattern())
+    monkeypatch.setattr(byte_bpe, "MAX_WORDS", 20)
+    encoded = []
+    encode = encoder.transducer.encode
+    monkeypatch.setattr(encoder.transducer, "encode", lambda word: encoded.append(word) or encode(word))
+    for i in range(500):
+        encoder.encode(f" often q{chr(97 + i % 26)}x{chr(97 + i // 26)}")
+        assert len(encoder) + len(encoder.before) <= 20
+    assert encoded.count(b" often") == 1
+
+
 def test_decoding_in_parts():
     ranks = byte_bpe.parse_ranks(open(ranks_path(), "rb").read())
     decoder = byte_bpe.Decoder(ranks)
