@@ -9,6 +9,7 @@ import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
+from podium.catalog import tables
 from podium.config import JdbcConfig, PublishConfig, TopicConfig
 from podium.functions import parse_messages
 from podium.plans import publish_facts
@@ -140,6 +141,15 @@ def test_secrets_come_from_the_environment(monkeypatch, database):
         replace(database, user_env="NOT_SET").connection()
 
 
+@pytest.mark.parametrize("scheme", ("", "file:", "file://"))
+def test_embedded_database_below_a_folder_with_a_scheme(spark, tmp_path, monkeypatch, scheme):
+    monkeypatch.setattr(tables, "work_folder", lambda _, label: f"{scheme}{tmp_path}/{label}")
+    found = tables.database(spark, "rows")
+    append_rows(spark.range(3), found)
+    assert read_jdbc(spark, found).count() == 3
+    assert (tmp_path / "derby").is_dir()
+
+
 def test_jdbc_partitioned_read(spark, database):
     rows = spark.range(100).selectExpr("id AS k", "id * 0.5D AS v")
     append_rows(rows, database)
